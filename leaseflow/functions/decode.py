@@ -40,7 +40,7 @@ def decode_decimal(encoded: Column | str, scale: int = 2, precision: int = 19) -
     top = limb(1, 8)
     top = F.when(top >= 2**31, top - 2**32).otherwise(top)
     unscaled = F.try_add(
-        F.try_multiply(top.cast("decimal(10,0)"), F.lit(2**96).cast("decimal(29,0)")),
+        F.try_multiply(top.cast("decimal(10,0)"), F.lit(str(2**96)).cast("decimal(29,0)")),
         (limb(9, 12).cast("decimal(15,0)") * F.lit(2**48).cast("decimal(15,0)")
          + limb(21, 12).cast("decimal(15,0)")),
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from leaseflow.functions.fields import row_count, typed_null
 from leaseflow.operators import enrich as E
 from leaseflow.operators import summaries as M
 
-Facts = dict[str, DataFrame]
+Facts = Mapping[str, DataFrame]
 
 
 def funnel_monotone(funnel: DataFrame) -> DataFrame:

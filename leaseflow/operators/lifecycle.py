@@ -6,6 +6,8 @@ its facility. :mod:`leaseflow.operators.replay` is the order-exact form.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leaseflow import schemas as S
@@ -20,7 +22,7 @@ OUTCOME_STATUS = {"dwd_audit_approve": APPROVED, "dwd_audit_reject": REJECTED,
                   "dwd_audit_cancel": CANCELLED}
 FACILITY_COLUMNS = ["lease_organization", "business_partner_id", "industry_id", "salesman_id"]
 
-Raw = dict[str, DataFrame]
+Raw = Mapping[str, DataFrame]
 
 
 def auditor_of_facility(status: DataFrame) -> DataFrame:

@@ -15,17 +15,21 @@ fact is a row-local condition on them:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leaseflow import schemas as S
 from leaseflow.operators import lifecycle as L
-from leaseflow.operators.skew import HOT_ROWS, Last, running_last, split_hot_logs
+from leaseflow.operators.skew import HOT_ROWS, Last, Scan, scan_by_key
 
 FACILITY, STATUS, REPLY, CREDIT = "facility", "status", "reply", "credit"
 KEY, ORDER = "credit_facility_id", "seq"
 
+# Table name -> change rows with ``op`` and ``seq``.
+Changes = Mapping[str, DataFrame]
+
 AUDIT_FACTS = list(L.OUTCOME_STATUS)
 CREDIT_FACTS = list(L.CREDIT_MILESTONE)
 STAGE_ONE_FACTS = AUDIT_FACTS + CREDIT_FACTS
@@ -38,7 +42,7 @@ def _image(table: str, *leave_out: str) -> Column:
     return F.struct(*[F.col(c) for c, _ in S.RAW[table] if c not in leave_out])
 
 
-def facility_log(changes: dict[str, DataFrame], kinds: tuple[str, ...] = (
+def facility_log(changes: Changes, kinds: tuple[str, ...] = (
         FACILITY, STATUS, REPLY, CREDIT)) -> DataFrame:
     """Change rows of the four facility tables as one keyed, ordered log.
 
@@ -78,7 +82,7 @@ def _present(kind: str, column: str) -> Column:
     return F.when(F.col(kind).isNotNull(), F.struct(f"{kind}.{column}"))
 
 
-def audit_state(log: DataFrame, limit: int | None = HOT_ROWS) -> DataFrame:
+def audit_state(log: DataFrame, scan: Scan) -> DataFrame:
     """Running context and waiting outcome per facility."""
     auditor = F.when(_status_is(*L.AUDITOR_STATUSES), F.col("status.employee_id"))
     values = {
@@ -89,15 +93,15 @@ def audit_state(log: DataFrame, limit: int | None = HOT_ROWS) -> DataFrame:
     }
     for fact, code in L.OUTCOME_STATUS.items():
         values[f"at_{fact}"] = Last(F.when(_status_is(code), F.struct("status.create_time")))
-    return running_last(log, KEY, ORDER, values, limit)
+    return scan(log, values)
 
 
-def credit_state(log: DataFrame, limit: int | None = HOT_ROWS) -> DataFrame:
+def credit_state(log: DataFrame, scan: Scan) -> DataFrame:
     """Running amounts, then the waiting credit event per fact and facility."""
-    known = running_last(log, KEY, ORDER, {
+    known = scan(log, {
         "cfi": Last(_present(FACILITY, "credit_amount")),
         "crp": Last(_present(REPLY, "credit_amount")),
-    }, limit)
+    })
     reply_amount, apply_amount = F.col("crp.credit_amount"), F.col("cfi.credit_amount")
     both = apply_amount.isNotNull() & reply_amount.isNotNull()
     flush = (F.col("kind").isin(FACILITY, REPLY)
@@ -108,7 +112,7 @@ def credit_state(log: DataFrame, limit: int | None = HOT_ROWS) -> DataFrame:
         waits = _is_event(fact) & ~F.col("at_once")
         values[f"wait_{fact}"] = Last(
             F.when(waits, F.struct(ORDER, KEY, CREDIT)), before=True)
-    return running_last(known, KEY, ORDER, values, limit)
+    return scan(known, values)
 
 
 def _is_event(fact: str) -> Column:
@@ -163,7 +167,7 @@ def emitted(fact: str) -> list[Column]:
     return [named[c].cast(S.FACTS[fact][c].dataType).alias(c) for c in S.FACTS[fact].names]
 
 
-def stage_one_fact(changes: dict[str, DataFrame], fact: str, limit: int | None = HOT_ROWS,
+def stage_one_fact(changes: Changes, fact: str, limit: int | None = HOT_ROWS,
                    keep_order: bool = False) -> DataFrame:
     """One fact, reading only the tables it depends on.
 
@@ -176,16 +180,17 @@ def stage_one_fact(changes: dict[str, DataFrame], fact: str, limit: int | None =
     log = facility_log(changes, kinds)
     if REPLY not in kinds:
         log = log.withColumn(REPLY, F.lit(None).cast("struct<id:bigint>"))
-    tagged = split_hot_logs(log, KEY, ORDER, limit)
-    state = (audit_state if audit else credit_state)(tagged, limit)
+    state = audit_state if audit else credit_state
     order = [F.col(ORDER)] if keep_order else []
-    return state.filter(emits(fact)).select(*emitted(fact), *order)
+
+    def step(part: DataFrame, scan: Scan) -> DataFrame:
+        return state(part, scan).filter(emits(fact)).select(*emitted(fact), *order)
+
+    return scan_by_key(log, KEY, ORDER, step, limit)
 
 
-def tagged_facts(changes: dict[str, DataFrame], limit: int | None = HOT_ROWS) -> DataFrame:
+def tagged_facts(changes: Changes, limit: int | None = HOT_ROWS) -> DataFrame:
     """All six stage-one facts in one pass: ``fact_type``, ``seq`` and one struct per fact."""
-    tagged = split_hot_logs(facility_log(changes), KEY, ORDER, limit)
-    state = credit_state(audit_state(tagged, limit), limit)
     rows = F.array(*[
         F.when(emits(fact), F.struct(
             F.lit(fact).alias("fact_type"),
@@ -194,8 +199,13 @@ def tagged_facts(changes: dict[str, DataFrame], limit: int | None = HOT_ROWS) ->
               for other in STAGE_ONE_FACTS]))
         for fact in STAGE_ONE_FACTS
     ])
-    return (state.select(ORDER, F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("_r"))
-            .select(ORDER, "_r.*"))
+
+    def step(part: DataFrame, scan: Scan) -> DataFrame:
+        state = credit_state(audit_state(part, scan), scan)
+        present = F.filter(rows, lambda r: r.isNotNull())
+        return state.select(ORDER, F.explode(present).alias("_r")).select(ORDER, "_r.*")
+
+    return scan_by_key(facility_log(changes), KEY, ORDER, step, limit)
 
 
 def of_type(tagged: DataFrame, fact: str) -> DataFrame:
@@ -218,8 +228,7 @@ def credit_log(produce: DataFrame, contract: DataFrame) -> DataFrame:
     return united.filter(F.col("credit_id").isNotNull())
 
 
-def contract_state(log: DataFrame, strict_parity: bool = False,
-                   limit: int | None = HOT_ROWS) -> DataFrame:
+def contract_state(log: DataFrame, scan: Scan, strict_parity: bool = False) -> DataFrame:
     """Running produced contract and waiting contract rows per credit.
 
     ``strict_parity`` keeps an odd rule of the original behaviour: a produced
@@ -232,11 +241,11 @@ def contract_state(log: DataFrame, strict_parity: bool = False,
                      F.struct(ORDER, CONTRACT))
         for fact, milestone in L.CONTRACT_MILESTONE.items()
     }
-    state = running_last(log, "credit_id", ORDER, {
+    state = scan(log, {
         "made": Last(F.col(PRODUCE), before=True),
         "made_at": Last(F.when(is_produce, F.col(ORDER)), before=True),
         **{f"wait_{fact}": Last(value, before=True) for fact, value in waits.items()},
-    }, limit)
+    })
     fresh = {
         fact: F.col(f"wait_{fact}").isNotNull() & (
             F.col("made_at").isNull() | (F.col(f"wait_{fact}.{ORDER}") > F.col("made_at")))
@@ -245,8 +254,7 @@ def contract_state(log: DataFrame, strict_parity: bool = False,
     stores = is_produce
     if strict_parity:
         stores = is_produce & ~reduce(lambda a, b: a & b, fresh.values())
-    state = running_last(state, "credit_id", ORDER, {
-        "stored": Last(F.when(stores, F.lit(True)), before=True)}, limit)
+    state = scan(state, {"stored": Last(F.when(stores, F.lit(True)), before=True)})
     stored = F.coalesce(F.col("stored"), F.lit(False))
     for fact, milestone in L.CONTRACT_MILESTONE.items():
         at_once = F.col(f"{CONTRACT}.{milestone}").isNotNull() & stored
@@ -256,25 +264,38 @@ def contract_state(log: DataFrame, strict_parity: bool = False,
 
 
 def stage_two_fact(produce: DataFrame, contract: DataFrame, fact: str,
-                   strict_parity: bool = False, limit: int | None = HOT_ROWS) -> DataFrame:
+                   strict_parity: bool = False, limit: int | None = HOT_ROWS,
+                   census: DataFrame | None = None) -> DataFrame:
     """Signed or started lease facts in arrival order."""
-    tagged = split_hot_logs(credit_log(produce, contract), "credit_id", ORDER, limit)
-    state = contract_state(tagged, strict_parity, limit).filter(F.col(f"emits_{fact}"))
     own = F.col(CONTRACT).isNotNull()
     image = lambda c: F.when(own, F.col(f"{CONTRACT}.{c}")).otherwise(
         F.col(f"wait_{fact}.{CONTRACT}.{c}"))
     carried = lambda c: F.when(own, F.col(f"made.{c}")).otherwise(F.col(f"{PRODUCE}.{c}"))
-    return state.select(
-        image("id").alias("id"),
-        image(L.CONTRACT_MILESTONE[fact]).alias(S.FACT_TIME[fact]), "credit_id",
-        *[carried(c).alias(c) for c in L.PRODUCE_CARRIED],
-    ).select(*S.FACTS[fact].names)
+
+    def step(part: DataFrame, scan: Scan) -> DataFrame:
+        state = contract_state(part, scan, strict_parity).filter(F.col(f"emits_{fact}"))
+        return state.select(
+            image("id").alias("id"),
+            image(L.CONTRACT_MILESTONE[fact]).alias(S.FACT_TIME[fact]), "credit_id",
+            *[carried(c).alias(c) for c in L.PRODUCE_CARRIED],
+        ).select(*S.FACTS[fact].names)
+
+    return scan_by_key(credit_log(produce, contract), "credit_id", ORDER, step, limit, census)
+
+
+def produce_bound(changes: Changes) -> DataFrame:
+    """Rows that bound the stage-two log per credit: a change of a credit makes at most
+    one produced-contract fact, and counting changes is cheaper than making the facts."""
+    made = changes["credit"].filter(F.col("contract_produce_time").isNotNull())
+    return made.select(F.col("id").alias("credit_id"), ORDER).unionByName(
+        changes["contract"].select("credit_id", ORDER))
 
 
-def fact(changes: dict[str, DataFrame], name: str, limit: int | None = HOT_ROWS,
+def fact(changes: Changes, name: str, limit: int | None = HOT_ROWS,
          strict_parity: bool = False) -> DataFrame:
     """Any of the eight facts in arrival order."""
     if name in STAGE_ONE_FACTS:
         return stage_one_fact(changes, name, limit)
     produce = stage_one_fact(changes, "dwd_lease_contract_produce", limit, keep_order=True)
-    return stage_two_fact(produce, changes["contract"], name, strict_parity, limit)
+    return stage_two_fact(produce, changes["contract"], name, strict_parity, limit,
+                          produce_bound(changes))

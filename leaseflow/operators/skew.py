@@ -7,15 +7,16 @@ Results are exact whatever the limit is; ``limit=None`` switches the handling of
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from leaseflow.sources.scratch import materialize
+
 HOT_ROWS = 5_000_000
 
 SEGMENT = "_segment"
-PARTS = "_parts"
 
 
 def hot_keys(rows: DataFrame, key: str, limit: int) -> DataFrame:
@@ -47,61 +48,92 @@ class Last(NamedTuple):
     before: bool = False
 
 
-def split_hot_logs(log: DataFrame, key: str, order: str,
-                   limit: int | None = HOT_ROWS) -> DataFrame:
-    """Tag rows with a segment: -1 for ordinary keys, slices of ``order`` for hot ones.
+# Adds the latest values per row to a keyed, ordered log.
+Scan = Callable[[DataFrame, Mapping[str, Last]], DataFrame]
+
+
+def _running(log: DataFrame, keys: list[str], order: str, values: Mapping[str, Last]) -> DataFrame:
+    frame = Window.partitionBy(*keys).orderBy(order)
+    upto = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = frame.rowsBetween(Window.unboundedPreceding, -1)
+    return log.withColumns({
+        name: F.last(v.value, ignorenulls=True).over(earlier if v.before else upto)
+        for name, v in values.items()
+    })
+
+
+def plain_scan(key: str, order: str) -> Scan:
+    """Window over the whole log of a key: one exchange, shared by all scans on it."""
+    return lambda log, values: _running(log, [key], order, values)
+
 
-    A hot key is cut into equal ranges of its own order values, about ``limit``
-    rows each when arrivals are even over the key's life.
+def segmented_scan(key: str, order: str) -> Scan:
+    """The same values when a key's log is cut into segments that run in parallel.
+
+    Each segment runs its own window; then it receives what the segments before it
+    ended with (one row per key and segment). The log is stored between scans, so a
+    scan that builds on another one does not repeat it.
+    """
+    def scan(log: DataFrame, values: Mapping[str, Last]) -> DataFrame:
+        log = materialize(log, "segments")
+        carry = {name: f"_c_{name}" for name in values}
+        local = _running(log, [key, SEGMENT], order, values)
+        ends = log.groupBy(key, SEGMENT).agg(*[
+            F.max_by(v.value, F.when(v.value.isNotNull(), F.col(order))).alias(carry[name])
+            for name, v in values.items()])
+        preceding = (Window.partitionBy(key).orderBy(SEGMENT)
+                     .rowsBetween(Window.unboundedPreceding, -1))
+        carried = ends.select(key, SEGMENT, *[
+            F.last(c, ignorenulls=True).over(preceding).alias(c) for c in carry.values()])
+        return (local.join(carried, [key, SEGMENT], "left")
+                .withColumns({n: F.coalesce(F.col(n), F.col(c)) for n, c in carry.items()})
+                .drop(*carry.values()))
+    return scan
+
+
+def hot_spans(rows: DataFrame, key: str, order: str, limit: int) -> DataFrame | None:
+    """Key, order range and number of segments of every hot key; None if there is none.
+
+    This counts rows per key (two narrow columns) and stores the answer, at most
+    ``rows / limit`` rows, because it decides which plan is built.
     """
-    if limit is None:
-        return log.withColumn(PARTS, F.lit(None).cast("bigint")).withColumn(
-            SEGMENT, F.lit(-1).cast("bigint"))
     spans = (
-        log.groupBy(key)
+        rows.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        .filter(F.col("_n") > limit)
-        .select(key, "_lo", "_hi", F.ceil(F.col("_n") / limit).alias(PARTS))
+        .filter((F.col("_n") > limit) & F.col(key).isNotNull())
+        .select(key, "_lo", "_hi", F.ceil(F.col("_n") / limit).alias("_parts"))
     )
-    share = (F.col(order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    segment = F.floor(share * F.col(PARTS)).cast("bigint")
-    return (log.join(F.broadcast(spans), key, "left")
-            .withColumn(SEGMENT, F.coalesce(segment, F.lit(-1).cast("bigint")))
-            .drop("_lo", "_hi"))
+    spans = materialize(spans, "hot")
+    return None if spans.isEmpty() else spans
 
 
-def running_last(log: DataFrame, key: str, order: str, values: Mapping[str, Last],
-                 limit: int | None = HOT_ROWS) -> DataFrame:
-    """Add, per row, the latest non-null values of its key in ``order``.
+def cut_segments(log: DataFrame, spans: DataFrame, key: str, order: str) -> DataFrame:
+    """Rows of hot keys, tagged with their segment: equal ranges of the order values.
 
-    ``log`` has been through :func:`split_hot_logs`. Within a segment this is a
-    window function; a hot key's segments additionally receive what the segments
-    before them ended with (one row per segment and key).
+    The segment never decreases with the order, whatever the range is; rows outside
+    the counted range go to the first or last segment.
     """
-    slot = [key, PARTS, SEGMENT]
-    frame = Window.partitionBy(*slot).orderBy(order)
-    upto = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = frame.rowsBetween(Window.unboundedPreceding, -1)
-    local = log.withColumns({
-        name: F.last(v.value, ignorenulls=True).over(earlier if v.before else upto)
-        for name, v in values.items()
-    })
-    if limit is None:
-        return local
+    share = (F.col(order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    segment = F.least(F.greatest(F.floor(share * F.col("_parts")), F.lit(0)), F.col("_parts") - 1)
+    return (log.join(F.broadcast(spans), key).withColumn(SEGMENT, segment.cast("bigint"))
+            .drop("_lo", "_hi", "_parts"))
 
-    ends = (
-        log.filter(F.col(PARTS).isNotNull()).groupBy(key, SEGMENT)
-        .agg(*[F.max_by(v.value, F.when(v.value.isNotNull(), F.col(order))).alias(f"_c_{name}")
-               for name, v in values.items()])
-    )
-    preceding = (Window.partitionBy(key).orderBy(SEGMENT)
-                 .rowsBetween(Window.unboundedPreceding, -1))
-    carried = ends.select(key, SEGMENT, *[
-        F.last(f"_c_{name}", ignorenulls=True).over(preceding).alias(f"_c_{name}")
-        for name in values
-    ])
-    joined = local.join(carried, [key, SEGMENT], "left")
-    filled = joined.withColumns({
-        name: F.coalesce(F.col(name), F.col(f"_c_{name}")) for name in values
-    })
-    return filled.drop(*[f"_c_{name}" for name in values])
+
+def scan_by_key(log: DataFrame, key: str, order: str,
+                step: Callable[[DataFrame, Scan], DataFrame],
+                limit: int | None = HOT_ROWS, census: DataFrame | None = None) -> DataFrame:
+    """Apply a step that scans a keyed log; hot keys take the segmented way.
+
+    ``census`` may name other rows to count keys in, when they bound the log's rows
+    per key and cost less to read than the log itself.
+    """
+    spans = None
+    if limit is not None:
+        counted = log if census is None else census
+        spans = hot_spans(counted.select(key, order), key, order, limit)
+    if spans is None:
+        return step(log, plain_scan(key, order))
+    ordinary = step(log.join(F.broadcast(spans.select(key)), key, "left_anti"),
+                    plain_scan(key, order))
+    hot = step(cut_segments(log, spans, key, order), segmented_scan(key, order))
+    return ordinary.unionByName(hot)

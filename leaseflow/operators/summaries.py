@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -17,7 +18,7 @@ FUNNEL = {"credit_add": "dwd_credit_add", "credit_occupy": "dwd_credit_occupy",
           "lease_execution": "dwd_lease_execution"}
 SUMS = "decimal(29,2)"
 
-Facts = dict[str, DataFrame]
+Facts = Mapping[str, DataFrame]
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
@@ -114,7 +115,7 @@ def with_bounds(grouped: DataFrame) -> DataFrame:
             .withColumn("cur_date", F.to_date(F.col("_w.start"))).drop("_w"))
 
 
-def enrich(grouped: DataFrame, spec: WindowSpec, dims: dict[str, DataFrame]) -> DataFrame:
+def enrich(grouped: DataFrame, spec: WindowSpec, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Dimension columns, looked up after aggregation (groups, not facts)."""
     if spec.enrichment == "path":
         grouped = E.with_industry(grouped, dims["industry"], "pointer")
@@ -125,7 +126,7 @@ def enrich(grouped: DataFrame, spec: WindowSpec, dims: dict[str, DataFrame]) ->
     return grouped.select(*spec.columns)
 
 
-def window_table(name: str, facts: DataFrame, dims: dict[str, DataFrame],
+def window_table(name: str, facts: DataFrame, dims: Mapping[str, DataFrame],
                  epoch0: bool = False) -> DataFrame:
     """One window table from its stored facts (batch: every window is complete)."""
     spec = SPECS[name]

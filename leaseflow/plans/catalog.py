@@ -23,6 +23,7 @@ from leaseflow.plans import oracle as O
 from leaseflow.sources import changes as C
 from leaseflow.sources import derived as T
 from leaseflow.sources import tables as ST
+from leaseflow.sources.scratch import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,9 +111,9 @@ def check_funnel_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.funnel_monotone(summary(spark, sf_dir, "mv_ads_credit_transform"))
 
 
-def stored_outcomes(spark: SparkSession, raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def stored_outcomes(raw: L.Raw) -> dict[str, DataFrame]:
     """The three outcome facts written once, for plans that read them many times."""
-    return {f: ST.materialize(spark, L.fact(raw, f), f) for f in M.OUTCOMES.values()}
+    return {f: materialize(L.fact(raw, f), f) for f in M.OUTCOMES.values()}
 
 
 _FACT_TOTALS = " UNION ALL ".join(
@@ -135,7 +136,7 @@ SELECT v.*, f.fact_count, f.fact_apply, f.fact_reply,
 FROM ({_VIEW_TOTALS}) v JOIN ({_FACT_TOTALS}) f ON f.audit_result = v.audit_result""")
 def check_ads_vs_dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = T.raw_tables(spark, sf_dir)
-    return K.summaries_match_facts(stored_outcomes(spark, raw), raw)
+    return K.summaries_match_facts(stored_outcomes(raw), raw)
 
 
 _AUDITOR_TABLES = [n for n, s in W.SPECS.items() if s.enrichment == "auditor"]
@@ -160,11 +161,11 @@ _NAME_CHECKS = [
     for tables, key, name, dim, dim_name in _NAME_CHECKS for t in tables))
 def check_dim_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = T.raw_tables(spark, sf_dir)
-    facts = stored_outcomes(spark, raw)
+    facts = stored_outcomes(raw)
     tables = {n: W.window_table(n, facts[W.SPECS[n].fact], raw)
               for n in _AUDITOR_TABLES + _PATH_TABLES}
     tables |= {n: M.VIEWS[n](facts, raw) for n in M.VIEWS if n != "mv_ads_credit_transform"}
-    stored = {n: ST.materialize(spark, t, n) for n, t in tables.items()
+    stored = {n: materialize(t, n) for n, t in tables.items()
               if n not in ("mv_ads_audit_result_summary", "mv_ads_audit_result_org")}
     return M.union_all([
         K.names_match_dimension({n: stored[n] for n in names}, raw[dim], key, name, dim_name)
@@ -399,7 +400,7 @@ def micros_to_wall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("wall_to_millis", f"""
-SELECT event_id, CASE WHEN event_id % 9 <> 2 THEN epoch_ms(ts) END AS millis FROM events""")
+SELECT event_id, CASE WHEN event_id % 9 <> 2 THEN epoch_us(ts) // 1000 END AS millis FROM events""")
 def wall_to_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wall text back to epoch milliseconds; text without a fraction is unreadable."""
     walls = micros_to_wall(spark, sf_dir)

@@ -34,6 +34,7 @@ def local_session(cores: int | str = 8, app: str = "leaseflow", **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", "8")
         # State traffic between the JVM and the Python workers over a socket file.

@@ -9,6 +9,8 @@ same rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leaseflow import schemas as S
@@ -21,6 +23,27 @@ TABLE_NUMBER = {"credit_facility": 0, "credit_facility_status": 1, "reply": 2,
                 "credit": 3, "contract": 4}
 
 
+class Tables(Mapping[str, DataFrame]):
+    """Named DataFrames, each built when it is first asked for."""
+
+    def __init__(self, names: Iterable[str], build: Callable[[str], DataFrame]):
+        self._names, self._build = list(names), build
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -185,8 +208,8 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return _BUILDERS[table](spark, sf_dir).select(*[c for c, _ in S.RAW[table]])
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: raw_table(spark, sf_dir, t) for t in S.RAW}
+def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(S.RAW, lambda table: raw_table(spark, sf_dir, table))
 
 
 # --- change histories ---------------------------------------------------------
@@ -247,5 +270,5 @@ def replay_changes(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows.withColumn("seq", (arrival * 5 + number) * 2 + version).drop("version")
 
 
-def replay_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: replay_changes(spark, sf_dir, t) for t in TABLE_NUMBER}
+def replay_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables(TABLE_NUMBER, lambda table: replay_changes(spark, sf_dir, table))

@@ -13,14 +13,12 @@ No stored row is ever rewritten by a load; :func:`compact` folds old batches.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from leaseflow.operators.dimensions import upsert_latest
-from leaseflow.session import checkpoint_root
 
 BATCH = "batch_id"
 DAY = "dt"
@@ -124,23 +122,13 @@ def drop_expired_days(spark: SparkSession, table: str, as_of: dt.date, days: tup
     return dropped
 
 
-# --- refreshed views and intermediate tables --------------------------------------
+# --- refreshed views -------------------------------------------------------------
 
 def refresh_view(view: Callable[[], DataFrame], path: str) -> None:
     """Full recompute of a view into its folder."""
     view().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
-def materialize(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate result to the shared checkpoint folder and read it back.
-
-    Used where several consumers would otherwise recompute it; survives executor loss.
-    """
-    path = f"{checkpoint_root(spark)}/leaseflow/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 # --- topics ------------------------------------------------------------------------
 
 def write_topic_files(log: DataFrame, path: str, batch_id: int) -> None:
