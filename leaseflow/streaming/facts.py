@@ -80,7 +80,7 @@ class KeyedRules(StatefulProcessor):
             for fact, values in self.apply(known, row):
                 filled = {"fact_type": fact, "seq": row["seq"], self.key_column[fact]: key[0],
                           **values}
-                yield Row(*[filled.get(c) for c in self.columns])
+                yield Row(**{c: filled.get(c) for c in self.columns})
         for name, slot in self.state.items():
             if name not in known:
                 if name in before:
