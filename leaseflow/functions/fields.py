@@ -31,6 +31,15 @@ def encoded_field(value: Column, kind: str) -> Column:
     return value
 
 
+def parse_once(value: Column | str, schema: T.StructType) -> Column:
+    """JSON record as a generator column: one parse per row.
+
+    The record passes through a one-element array, which keeps filters on its fields
+    above the parsing; otherwise every pushed-down condition would parse again.
+    """
+    return F.explode_outer(F.array(F.from_json(value, schema)))
+
+
 def typed_null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)
 
@@ -73,7 +82,7 @@ def read_fact_json(text: DataFrame, fact: str, keep: tuple[str, ...] = ()) -> Da
     schema = T.StructType([
         T.StructField(f.name, T.StringType() if f.dataType in as_text else f.dataType)
         for f in S.FACTS[fact]])
-    read = text.select(*keep, F.from_json("value", schema).alias("_f"))
+    read = text.select(*keep, parse_once("value", schema).alias("_f"))
 
     def typed(field: T.StructField) -> Column:
         value = F.col(f"_f.{field.name}")

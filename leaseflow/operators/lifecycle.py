@@ -7,6 +7,7 @@ its facility. :mod:`leaseflow.operators.replay` is the order-exact form.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -49,22 +50,6 @@ def reply_context(reply: DataFrame) -> DataFrame:
     return latest.select("credit_facility_id", "_r.*")
 
 
-def audit_fact(raw: Raw, fact: str, limit: int | None = HOT_ROWS) -> DataFrame:
-    """Approve, reject or cancel facts: one per status row with that outcome."""
-    status = raw["credit_facility_status"]
-    triggers = status.filter(F.col("status") == OUTCOME_STATUS[fact]).select(
-        "credit_facility_id", F.col("create_time").alias(S.FACT_TIME[fact]))
-    context = facility_context(raw["credit_facility"])
-    auditors = auditor_of_facility(status)
-    if fact == "dwd_audit_approve":
-        context = context.join(auditors, "credit_facility_id").join(
-            reply_context(raw["reply"]), "credit_facility_id")
-    else:
-        context = context.join(auditors, "credit_facility_id", "left")
-    rows = join_many_to_one(triggers, context, "credit_facility_id", limit)
-    return rows.withColumnRenamed("credit_facility_id", "id").select(*S.FACTS[fact].names)
-
-
 # Fact -> (milestone column of the credit row, id columns of the fact)
 CREDIT_MILESTONE: dict[str, tuple[str, dict[str, str]]] = {
     "dwd_credit_add": ("create_time", {"id": "id"}),
@@ -84,60 +69,108 @@ def credit_projection(fact: str, path: str = "") -> list[Column]:
             source("credit_amount").alias("credit_amount")]
 
 
-def credit_fact(raw: Raw, fact: str, limit: int | None = HOT_ROWS) -> DataFrame:
-    """New credit, occupied credit or produced contract facts: one per credit row.
-
-    Both amounts must be known. A batch table holds each credit once, so the
-    insert-only rule of the new-credit fact is met by construction; where ``op``
-    is present it is applied.
-    """
-    credit = raw["credit"]
-    if fact == "dwd_credit_add":
-        if "op" in credit.columns:
-            credit = credit.filter(F.col("op").isin(*INSERT_OPS))
-    else:
-        credit = credit.filter(F.col(CREDIT_MILESTONE[fact][0]).isNotNull())
-    triggers = credit.select("credit_facility_id", *credit_projection(fact))
-    context = (
-        facility_context(raw["credit_facility"]).select("credit_facility_id", "apply_amount")
-        .join(reply_context(raw["reply"]).select("credit_facility_id", "reply_amount"),
-              "credit_facility_id")
-        .filter(F.col("apply_amount").isNotNull() & F.col("reply_amount").isNotNull())
-    )
-    rows = join_many_to_one(triggers, context, "credit_facility_id", limit)
-    return rows.select(*S.FACTS[fact].names)
-
-
 CONTRACT_MILESTONE = {"dwd_lease_sign": "signed_time", "dwd_lease_execution": "execution_time"}
 PRODUCE_CARRIED = ["credit_facility_id", "apply_amount", "reply_amount", "credit_amount"]
 
 
-def contract_fact(raw: Raw, fact: str, produce: DataFrame | None = None,
-                  limit: int | None = HOT_ROWS) -> DataFrame:
-    """Signed or started lease facts: contract rows with that time set, amounts from
-    the latest produced-contract fact of the same credit."""
-    milestone = CONTRACT_MILESTONE[fact]
-    if produce is None:
-        produce = credit_fact(raw, "dwd_lease_contract_produce", limit)
-    carried = F.struct(*PRODUCE_CARRIED)
-    latest = produce.groupBy("credit_id").agg(
-        F.max_by(carried, F.struct("produced_time", "id")).alias("_p"))
-    triggers = raw["contract"].filter(F.col(milestone).isNotNull()).select(
-        "id", "credit_id", F.col(milestone).alias(S.FACT_TIME[fact]))
-    rows = join_many_to_one(triggers, latest, "credit_id", limit)
-    return rows.select("id", S.FACT_TIME[fact], "credit_id", "_p.*").select(*S.FACTS[fact].names)
-
-
-def fact(raw: Raw, name: str, limit: int | None = HOT_ROWS) -> DataFrame:
-    if name in OUTCOME_STATUS:
-        return audit_fact(raw, name, limit)
-    if name in CREDIT_MILESTONE:
-        return credit_fact(raw, name, limit)
-    return contract_fact(raw, name, limit=limit)
-
-
-def all_facts(raw: Raw, limit: int | None = HOT_ROWS) -> dict[str, DataFrame]:
-    return {name: fact(raw, name, limit) for name in S.FACTS}
+class Lifecycle:
+    """The eight facts of one set of raw tables.
+
+    Contexts and the produced-contract fact are defined once and shared, so facts
+    read together repeat neither their definition nor (by exchange reuse) their work.
+    ``limit`` is the number of rows from which a key counts as hot; None switches the
+    handling of hot keys off.
+    """
+
+    def __init__(self, raw: Raw, limit: int | None = HOT_ROWS):
+        self.raw, self.limit = raw, limit
+
+    @cached_property
+    def _facility(self) -> DataFrame:
+        return facility_context(self.raw["credit_facility"])
+
+    @cached_property
+    def _auditor(self) -> DataFrame:
+        return auditor_of_facility(self.raw["credit_facility_status"])
+
+    @cached_property
+    def _reply(self) -> DataFrame:
+        return reply_context(self.raw["reply"])
+
+    @cached_property
+    def _amounts(self) -> DataFrame:
+        """Facilities whose apply and reply amounts are both known."""
+        return (
+            self._facility.select("credit_facility_id", "apply_amount")
+            .join(self._reply.select("credit_facility_id", "reply_amount"), "credit_facility_id")
+            .filter(F.col("apply_amount").isNotNull() & F.col("reply_amount").isNotNull())
+        )
+
+    @cached_property
+    def _produce(self) -> DataFrame:
+        return self._credit_fact("dwd_lease_contract_produce")
+
+    @cached_property
+    def _latest_produce(self) -> DataFrame:
+        """Amounts of the latest produced-contract fact per credit."""
+        return self._produce.groupBy("credit_id").agg(
+            F.max_by(F.struct(*PRODUCE_CARRIED), F.struct("produced_time", "id")).alias("_p"))
+
+    def _audit_fact(self, fact: str, columns: list[str]) -> DataFrame:
+        """One fact per status row with that outcome. Approvals need an auditor and a
+        reply; the optional auditor of the others is looked up only if it is read."""
+        status = self.raw["credit_facility_status"]
+        triggers = status.filter(F.col("status") == OUTCOME_STATUS[fact]).select(
+            "credit_facility_id", F.col("create_time").alias(S.FACT_TIME[fact]))
+        context = self._facility
+        if fact == "dwd_audit_approve":
+            context = (context.join(self._auditor, "credit_facility_id")
+                       .join(self._reply, "credit_facility_id"))
+        elif "audit_man_id" in columns:
+            context = context.join(self._auditor, "credit_facility_id", "left")
+        return join_many_to_one(triggers, context, "credit_facility_id", self.limit) \
+            .withColumnRenamed("credit_facility_id", "id")
+
+    def _credit_fact(self, fact: str) -> DataFrame:
+        """One fact per credit row of a facility with both amounts known.
+
+        A batch table holds each credit once, so the insert-only rule of the new-credit
+        fact is met by construction; where ``op`` is present it is applied.
+        """
+        credit = self.raw["credit"]
+        if fact != "dwd_credit_add":
+            credit = credit.filter(F.col(CREDIT_MILESTONE[fact][0]).isNotNull())
+        elif "op" in credit.columns:
+            credit = credit.filter(F.col("op").isin(*INSERT_OPS))
+        triggers = credit.select("credit_facility_id", *credit_projection(fact))
+        return join_many_to_one(triggers, self._amounts, "credit_facility_id", self.limit)
+
+    def _contract_fact(self, fact: str) -> DataFrame:
+        """One fact per contract row with that time set and a produced contract."""
+        milestone = CONTRACT_MILESTONE[fact]
+        triggers = self.raw["contract"].filter(F.col(milestone).isNotNull()).select(
+            "id", "credit_id", F.col(milestone).alias(S.FACT_TIME[fact]))
+        joined = join_many_to_one(triggers, self._latest_produce, "credit_id", self.limit)
+        return joined.select("id", S.FACT_TIME[fact], "credit_id", "_p.*")
+
+    def fact(self, name: str, columns: list[str] | None = None) -> DataFrame:
+        """One fact; ``columns`` restricts it to what the caller reads."""
+        columns = columns or S.FACTS[name].names
+        if name in OUTCOME_STATUS:
+            rows = self._audit_fact(name, columns)
+        elif name == "dwd_lease_contract_produce":
+            rows = self._produce
+        elif name in CREDIT_MILESTONE:
+            rows = self._credit_fact(name)
+        else:
+            rows = self._contract_fact(name)
+        return rows.select(*columns)
+
+
+def fact(raw: Raw, name: str, limit: int | None = HOT_ROWS,
+         columns: list[str] | None = None) -> DataFrame:
+    """A single fact from its raw tables."""
+    return Lifecycle(raw, limit).fact(name, columns)
 
 
 def first_only(facts: DataFrame, name: str) -> DataFrame:

@@ -94,17 +94,18 @@ def segmented_scan(key: str, order: str) -> Scan:
 def hot_spans(rows: DataFrame, key: str, order: str, limit: int) -> DataFrame | None:
     """Key, order range and number of segments of every hot key; None if there is none.
 
-    This counts rows per key (two narrow columns) and stores the answer, at most
-    ``rows / limit`` rows, because it decides which plan is built.
+    Decides which plan is built, so it runs at once: one pass over two narrow columns
+    finds the largest count, and only if that is too large the hot keys are listed and
+    stored (at most ``rows / limit`` rows).
     """
-    spans = (
-        rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        .filter((F.col("_n") > limit) & F.col(key).isNotNull())
-        .select(key, "_lo", "_hi", F.ceil(F.col("_n") / limit).alias("_parts"))
-    )
-    spans = materialize(spans, "hot")
-    return None if spans.isEmpty() else spans
+    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    largest = counted.agg(F.max("_n").alias("n")).first().n
+    if largest is None or largest <= limit:
+        return None
+    spans = counted.filter(F.col("_n") > limit).select(
+        key, "_lo", "_hi", F.ceil(F.col("_n") / limit).alias("_parts"))
+    return materialize(spans, "hot")
 
 
 def cut_segments(log: DataFrame, spans: DataFrame, key: str, order: str) -> DataFrame:

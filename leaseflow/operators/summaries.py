@@ -109,6 +109,24 @@ VIEW_FACTS = {
     **{v: list(OUTCOMES.values()) for v in VIEWS},
     "mv_ads_credit_transform": list(FUNNEL.values()),
 }
+# The fact column each outcome view groups by.
+VIEW_KEY = {
+    "mv_ads_audit_result_org": ["lease_organization"],
+    "mv_ads_audit_result_dept": ["salesman_id"],
+    "mv_ads_audit_result_salesman": ["salesman_id"],
+    "mv_ads_audit_result_audit_man": ["audit_man_id"],
+    "mv_ads_audit_result_industry": ["industry_id"],
+}
+
+
+def columns_read(view: str, fact: str) -> list[str]:
+    """Columns of a fact that a view reads."""
+    amounts = ["apply_amount"]
+    if fact not in ("dwd_audit_cancel", "dwd_audit_reject"):
+        amounts.append("reply_amount")
+    if view == "mv_ads_credit_transform":
+        amounts.append("credit_amount")
+    return VIEW_KEY.get(view, []) + amounts
 
 
 def reviewed_projects(facts: Facts) -> DataFrame:

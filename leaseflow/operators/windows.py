@@ -34,6 +34,11 @@ class WindowSpec:
         """Keys that must be present: an unnamed auditor forms no group."""
         return ["audit_man_id"] if self.enrichment == "auditor" else []
 
+    @property
+    def fact_columns(self) -> list[str]:
+        """Columns of the fact that are read."""
+        return [S.FACT_TIME[self.fact], *self.keys, *self.amounts]
+
     @property
     def columns(self) -> list[str]:
         return BOUNDS + _DIMENSION_COLUMNS[self.enrichment] + ["apply_count"] + self.amounts

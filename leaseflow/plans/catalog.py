@@ -60,7 +60,8 @@ for _fact in S.FACTS:
 
 def window_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     raw = T.raw_tables(spark, sf_dir)
-    return W.window_table(name, L.fact(raw, W.SPECS[name].fact), raw)
+    spec = W.SPECS[name]
+    return W.window_table(name, L.fact(raw, spec.fact, columns=spec.fact_columns), raw)
 
 
 for _name in W.SPECS:
@@ -71,7 +72,8 @@ for _name in W.SPECS:
 
 def summary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     raw = T.raw_tables(spark, sf_dir)
-    facts = {f: L.fact(raw, f) for f in M.VIEW_FACTS[name]}
+    life = L.Lifecycle(raw)
+    facts = {f: life.fact(f, M.columns_read(name, f)) for f in M.VIEW_FACTS[name]}
     return M.VIEWS[name](facts, raw)
 
 
@@ -83,7 +85,9 @@ for _name in M.VIEWS:
 SELECT sum(project_count)::BIGINT AS reviewed_projects FROM mv_ads_audit_result_summary""")
 def reviewed_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = T.raw_tables(spark, sf_dir)
-    return M.reviewed_projects({f: L.fact(raw, f) for f in M.OUTCOMES.values()})
+    view, life = "mv_ads_audit_result_summary", L.Lifecycle(raw)
+    return M.reviewed_projects({f: life.fact(f, M.columns_read(view, f))
+                                for f in M.OUTCOMES.values()})
 
 
 _STEPS = "VALUES " + ", ".join(f"({n + 1}, '{s}')" for n, s in enumerate(M.FUNNEL))
@@ -113,7 +117,8 @@ def check_funnel_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_outcomes(raw: L.Raw) -> dict[str, DataFrame]:
     """The three outcome facts written once, for plans that read them many times."""
-    return {f: materialize(L.fact(raw, f), f) for f in M.OUTCOMES.values()}
+    life = L.Lifecycle(raw)
+    return {f: materialize(life.fact(f), f) for f in M.OUTCOMES.values()}
 
 
 _FACT_TOTALS = " UNION ALL ".join(

@@ -93,14 +93,12 @@ def op_code(value: Column | str = "value") -> Column:
 
 def parse_envelope(log: DataFrame, table: str) -> DataFrame:
     """Envelopes of one table as (table_name, op, after); failures are dropped."""
-    parsed = F.from_json("value", S.envelope_schema(table))
+    kept = [c for c in log.columns if c != "value"]
     return (
-        log.withColumn("_e", parsed)
-        .filter(F.col("_e.source.table").isNotNull() & F.col("_e.op").isNotNull())
-        .withColumn("table_name", F.col("_e.source.table"))
-        .withColumn("op", F.col("_e.op"))
-        .withColumn("after", F.col("_e.after"))
-        .drop("_e", "value")
+        log.select(*kept, X.parse_once("value", S.envelope_schema(table)).alias("_e"))
+        .select(*kept, F.col("_e.source.table").alias("table_name"),
+                F.col("_e.op").alias("op"), F.col("_e.after").alias("after"))
+        .filter(F.col("table_name").isNotNull() & F.col("op").isNotNull())
     )
 
 

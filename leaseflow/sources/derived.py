@@ -10,6 +10,7 @@ same rows.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -44,8 +45,13 @@ class Tables(Mapping[str, DataFrame]):
         return len(self._names)
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Gives a source table by name.
+Source = Callable[[str], DataFrame]
+
+
+def source(spark: SparkSession, sf_dir: str) -> Source:
+    """Source tables of one folder, each opened once."""
+    return cache(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _plus_seconds(ts: Column, seconds: Column | int) -> Column:
@@ -77,14 +83,14 @@ def _dim_times(df: DataFrame) -> DataFrame:
     return df.withColumn("create_time", at).withColumn("update_time", at)
 
 
-def business_partner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _table(spark, sf_dir, "customer").select(
+def business_partner(table: Source) -> DataFrame:
+    rows = table("customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     return _dim_times(rows)
 
 
-def _hierarchy(spark: SparkSession, sf_dir: str, prefix: str, absent_nation: int) -> DataFrame:
-    region, nation = _table(spark, sf_dir, "region"), _table(spark, sf_dir, "nation")
+def _hierarchy(table: Source, prefix: str, absent_nation: int) -> DataFrame:
+    region, nation = table("region"), table("nation")
     rk, nk = F.col("r_regionkey").cast("bigint"), F.col("n_nationkey").cast("bigint")
     nrk = F.col("n_regionkey").cast("bigint")
 
@@ -103,17 +109,17 @@ def _hierarchy(spark: SparkSession, sf_dir: str, prefix: str, absent_nation: int
     return _dim_times(top.unionByName(middle).unionByName(leaf))
 
 
-def department(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hierarchy(spark, sf_dir, "department", absent_nation=7)
+def department(table: Source) -> DataFrame:
+    return _hierarchy(table, "department", absent_nation=7)
 
 
-def industry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hierarchy(spark, sf_dir, "industry", absent_nation=9)
+def industry(table: Source) -> DataFrame:
+    return _hierarchy(table, "industry", absent_nation=9)
 
 
-def employee(spark: SparkSession, sf_dir: str) -> DataFrame:
+def employee(table: Source) -> DataFrame:
     key = F.col("s_suppkey")
-    rows = _table(spark, sf_dir, "supplier").select(
+    rows = table("supplier").select(
         key.alias("id"), F.col("s_name").alias("name"), (key % 4).alias("type"),
         F.when(key % 17 != 5, 1000 + F.col("s_nationkey").cast("bigint") * 5 + key % 6)
         .alias("department_id"))
@@ -122,9 +128,9 @@ def employee(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- business tables ----------------------------------------------------------
 
-def credit_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
+def credit_facility(table: Source) -> DataFrame:
     k = _k()
-    return _table(spark, sf_dir, "orders").select(
+    return table("orders").select(
         k.alias("id"),
         F.when(k % 50 != 0, F.col("o_orderpriority")).alias("lease_organization"),
         F.col("o_custkey").alias("business_partner_id"),
@@ -133,8 +139,8 @@ def credit_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money(F.col("o_totalprice")).alias("credit_amount"))
 
 
-def credit_facility_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, orders = _k(), _table(spark, sf_dir, "orders")
+def credit_facility_status(table: Source) -> DataFrame:
+    k, orders = _k(), table("orders")
     final = (F.when(F.col("o_orderstatus") == "F", 16)
              .when(F.col("o_orderstatus") == "O", 20)
              .when(F.col("o_orderstatus") == "P", 21))
@@ -155,10 +161,10 @@ def _reply_amount() -> Column:
     return amount.cast("decimal(19,2)")
 
 
-def reply(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reply(table: Source) -> DataFrame:
     k = _k()
     return (
-        _table(spark, sf_dir, "orders")
+        table("orders")
         .filter((F.col("o_orderstatus") == "F") & (k % 13 != 0))
         .select((k * 10 + 1).alias("id"), k.alias("credit_facility_id"),
                 _reply_amount().alias("credit_amount"),
@@ -168,8 +174,8 @@ def reply(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _credit_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").filter(
+def _credit_orders(table: Source) -> DataFrame:
+    return table("orders").filter(
         (F.col("o_orderstatus") == "F") & (_k() % 3 != 2))
 
 
@@ -177,9 +183,9 @@ def _produced() -> Column:
     return (_k() % 4 != 3) & (_k() % 5 != 4)
 
 
-def credit(spark: SparkSession, sf_dir: str) -> DataFrame:
+def credit(table: Source) -> DataFrame:
     k = _k()
-    return _credit_orders(spark, sf_dir).select(
+    return _credit_orders(table).select(
         (k * 10 + 2).alias("id"), k.alias("credit_facility_id"),
         F.when(_produced(), k * 10 + 3).alias("contract_id"),
         _reply_amount().alias("credit_amount"),
@@ -188,10 +194,10 @@ def credit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_produced(), _month_plus(14400 + _minute_noise())).alias("contract_produce_time"))
 
 
-def contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+def contract(table: Source) -> DataFrame:
     k = _k()
     signed = k % 8 != 6
-    return _credit_orders(spark, sf_dir).filter(_produced()).select(
+    return _credit_orders(table).filter(_produced()).select(
         (k * 10 + 3).alias("id"), (k * 10 + 2).alias("credit_id"),
         F.when(signed, _month_plus(18000 + _minute_noise())).alias("signed_time"),
         F.when(signed & (k % 7 != 6), _month_plus(21600 + _minute_noise()))
@@ -203,13 +209,18 @@ _BUILDERS = {f.__name__: f for f in (
     credit_facility, credit_facility_status, reply, credit, contract)}
 
 
-def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def _raw(table: Source, name: str) -> DataFrame:
+    return _BUILDERS[name](table).select(*[c for c, _ in S.RAW[name]])
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One decoded raw table in its stored column order."""
-    return _BUILDERS[table](spark, sf_dir).select(*[c for c, _ in S.RAW[table]])
+    return _raw(source(spark, sf_dir), name)
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(S.RAW, lambda table: raw_table(spark, sf_dir, table))
+    table = source(spark, sf_dir)
+    return Tables(S.RAW, lambda name: _raw(table, name))
 
 
 # --- change histories ---------------------------------------------------------
@@ -240,14 +251,14 @@ def dimension_log(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows.select(F.col("seq").alias("arrival"), C.to_envelope(rows, table).alias("value"))
 
 
-def replay_changes(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def _changes(source_table: Source, table: str) -> DataFrame:
     """Shuffled change rows of one business table with op and arrival order ``seq``.
 
     Version 0 is the derived row. A later version with other values follows for
     three residues of the id modulo seven; some amounts are NULL. ``seq`` is
     unique within one facility and one credit.
     """
-    base = raw_table(spark, sf_dir, table)
+    base = _raw(source_table, table)
     later = base.filter((F.col("id") % 7).isin(1, 3, 5))
     ident = F.col("id")
     if table == "credit_facility_status":
@@ -270,5 +281,11 @@ def replay_changes(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return rows.withColumn("seq", (arrival * 5 + number) * 2 + version).drop("version")
 
 
+def replay_changes(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Change rows of one business table (``op``, ``seq``)."""
+    return _changes(source(spark, sf_dir), table)
+
+
 def replay_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(TABLE_NUMBER, lambda table: replay_changes(spark, sf_dir, table))
+    opened = source(spark, sf_dir)
+    return Tables(TABLE_NUMBER, lambda table: _changes(opened, table))
