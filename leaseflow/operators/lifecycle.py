@@ -128,8 +128,8 @@ class Lifecycle:
                        .join(self._reply, "credit_facility_id"))
         elif "audit_man_id" in columns:
             context = context.join(self._auditor, "credit_facility_id", "left")
-        return join_many_to_one(triggers, context, "credit_facility_id", self.limit) \
-            .withColumnRenamed("credit_facility_id", "id")
+        rows = join_many_to_one(triggers, context, "credit_facility_id", self.limit)
+        return rows.withColumnRenamed("credit_facility_id", "id")
 
     def _credit_fact(self, fact: str) -> DataFrame:
         """One fact per credit row of a facility with both amounts known.

@@ -287,8 +287,8 @@ def produce_bound(changes: Changes) -> DataFrame:
     """Rows that bound the stage-two log per credit: a change of a credit makes at most
     one produced-contract fact, and counting changes is cheaper than making the facts."""
     made = changes["credit"].filter(F.col("contract_produce_time").isNotNull())
-    return made.select(F.col("id").alias("credit_id"), ORDER).unionByName(
-        changes["contract"].select("credit_id", ORDER))
+    return made.select(F.col("id").alias("credit_id")).unionByName(
+        changes["contract"].select("credit_id"))
 
 
 def fact(changes: Changes, name: str, limit: int | None = HOT_ROWS,

@@ -71,8 +71,8 @@ def segmented_scan(key: str, order: str) -> Scan:
     """The same values when a key's log is cut into segments that run in parallel.
 
     Each segment runs its own window; then it receives what the segments before it
-    ended with (one row per key and segment). The log is stored between scans, so a
-    scan that builds on another one does not repeat it.
+    ended with (one row per key and segment). The log is stored before every scan:
+    that fixes the segments, and a scan that builds on another does not repeat it.
     """
     def scan(log: DataFrame, values: Mapping[str, Last]) -> DataFrame:
         log = materialize(log, "segments")
@@ -91,33 +91,39 @@ def segmented_scan(key: str, order: str) -> Scan:
     return scan
 
 
-def hot_spans(rows: DataFrame, key: str, order: str, limit: int) -> DataFrame | None:
-    """Key, order range and number of segments of every hot key; None if there is none.
+class Hot(NamedTuple):
+    """Hot keys (a stored table) and how many segments their rows need."""
 
-    Decides which plan is built, so it runs at once: one pass over two narrow columns
-    finds the largest count, and only if that is too large the hot keys are listed and
-    stored (at most ``rows / limit`` rows).
+    keys: DataFrame
+    segments: int
+
+
+def find_hot(rows: DataFrame, key: str, limit: int) -> Hot | None:
+    """The hot keys of some rows, None if there are none.
+
+    Decides which plan is built, so it runs at once: one pass over one narrow column
+    finds the largest count, and only if that is too large the hot keys are stored
+    (at most ``rows / limit`` of them).
     """
-    counted = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    counted = (rows.filter(F.col(key).isNotNull()).groupBy(key)
+               .agg(F.count(F.lit(1)).alias("_n")))
     largest = counted.agg(F.max("_n").alias("n")).first().n
     if largest is None or largest <= limit:
         return None
-    spans = counted.filter(F.col("_n") > limit).select(
-        key, "_lo", "_hi", F.ceil(F.col("_n") / limit).alias("_parts"))
-    return materialize(spans, "hot")
+    keys = materialize(counted.filter(F.col("_n") > limit), "hot")
+    segments = keys.agg(F.sum(F.ceil(F.col("_n") / limit)).alias("n")).first().n
+    return Hot(keys.select(key), int(segments))
 
 
-def cut_segments(log: DataFrame, spans: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows of hot keys, tagged with their segment: equal ranges of the order values.
+def cut_segments(log: DataFrame, hot: Hot, key: str, order: str) -> DataFrame:
+    """Rows of hot keys in even, contiguous segments of (key, order).
 
-    The segment never decreases with the order, whatever the range is; rows outside
-    the counted range go to the first or last segment.
+    Range partitioning samples the rows, so segments are even however the arrivals
+    are spread; order values are unique per key, so no segment boundary is ambiguous.
     """
-    share = (F.col(order) - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
-    segment = F.least(F.greatest(F.floor(share * F.col("_parts")), F.lit(0)), F.col("_parts") - 1)
-    return (log.join(F.broadcast(spans), key).withColumn(SEGMENT, segment.cast("bigint"))
-            .drop("_lo", "_hi", "_parts"))
+    return (log.join(F.broadcast(hot.keys), key)
+            .repartitionByRange(hot.segments, key, order)
+            .withColumn(SEGMENT, F.spark_partition_id()))
 
 
 def scan_by_key(log: DataFrame, key: str, order: str,
@@ -128,13 +134,11 @@ def scan_by_key(log: DataFrame, key: str, order: str,
     ``census`` may name other rows to count keys in, when they bound the log's rows
     per key and cost less to read than the log itself.
     """
-    spans = None
+    hot = None
     if limit is not None:
-        counted = log if census is None else census
-        spans = hot_spans(counted.select(key, order), key, order, limit)
-    if spans is None:
+        hot = find_hot((log if census is None else census).select(key), key, limit)
+    if hot is None:
         return step(log, plain_scan(key, order))
-    ordinary = step(log.join(F.broadcast(spans.select(key)), key, "left_anti"),
-                    plain_scan(key, order))
-    hot = step(cut_segments(log, spans, key, order), segmented_scan(key, order))
-    return ordinary.unionByName(hot)
+    ordinary = step(log.join(F.broadcast(hot.keys), key, "left_anti"), plain_scan(key, order))
+    return ordinary.unionByName(
+        step(cut_segments(log, hot, key, order), segmented_scan(key, order)))

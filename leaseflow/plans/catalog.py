@@ -56,6 +56,45 @@ for _fact in S.FACTS:
     register(f"replay_{_fact}", f"SELECT * FROM replay_{_fact}")(partial(replay_fact, fact=_fact))
 
 
+# --- E: contexts, one-pass output, first facts -----------------------------------------
+
+@register("auditor_of_facility", "SELECT credit_facility_id, audit_man_id FROM auditor")
+def auditor_of_facility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.auditor_of_facility(T.raw_table(spark, sf_dir, "credit_facility_status"))
+
+
+@register("facility_context", """
+SELECT id AS credit_facility_id, lease_organization, business_partner_id, industry_id,
+       salesman_id, credit_amount AS apply_amount FROM credit_facility""")
+def facility_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.facility_context(T.raw_table(spark, sf_dir, "credit_facility"))
+
+
+@register("reply_context", """
+SELECT credit_facility_id, id AS reply_id, credit_amount AS reply_amount,
+       create_time AS reply_time, irr, period FROM reply""")
+def reply_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.reply_context(T.raw_table(spark, sf_dir, "reply"))
+
+
+@register("side_outputs", " UNION ALL ".join(
+    f"SELECT '{f}' AS fact_type, count(*) AS fact_count FROM replay_{f}"
+    for f in R.STAGE_ONE_FACTS))
+def side_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six facts of one pass over the facility log, counted per kind."""
+    return R.tagged_facts(T.replay_tables(spark, sf_dir)).groupBy("fact_type").agg(
+        X.row_count().alias("fact_count"))
+
+
+@register("first_occupy_facts", """
+SELECT id, occupy_time, credit_facility_id, apply_amount, reply_amount, credit_amount FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY occupy_time, credit_facility_id,
+    apply_amount NULLS FIRST, reply_amount, credit_amount) AS rn
+  FROM replay_dwd_credit_occupy) WHERE rn = 1""")
+def first_occupy_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.first_only(replay_fact(spark, sf_dir, "dwd_credit_occupy"), "dwd_credit_occupy")
+
+
 # --- G: window tables -------------------------------------------------------------------
 
 def window_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +107,25 @@ for _name in W.SPECS:
     register(_name, f"SELECT * FROM {_name}")(partial(window_table, name=_name))
 
 
+@register("missing_event_time", """
+SELECT time_bucket(INTERVAL '10 seconds', ts) AS stt,
+       time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds' AS edt,
+       time_bucket(INTERVAL '10 seconds', ts)::DATE AS cur_date, count(*) AS apply_count,
+       sum(apply_amount)::DECIMAL(19,2) AS apply_amount,
+       sum(reply_amount)::DECIMAL(19,2) AS reply_amount,
+       sum(credit_amount)::DECIMAL(19,2) AS credit_amount
+FROM (SELECT coalesce(k.signed_time, TIMESTAMP '1970-01-01 08:00:00') AS ts, p.apply_amount,
+             p.reply_amount, p.credit_amount
+      FROM dwd_lease_contract_produce p JOIN contract k ON k.credit_id = p.credit_id)
+GROUP BY ALL""")
+def missing_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts signed or not: rows without a time go to the window of epoch zero."""
+    raw = T.raw_tables(spark, sf_dir)
+    contracts = raw["contract"].select("credit_id", "signed_time")
+    rows = L.fact(raw, "dwd_lease_contract_produce").join(contracts, "credit_id")
+    return W.window_table("dws_lease_sign_win", rows, raw, epoch0=True)
+
+
 # --- H: summary views -------------------------------------------------------------------
 
 def summary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,6 +13,9 @@ from leaseflow.functions import fields as X
 
 LOG_SCHEMA = "arrival bigint, value string"
 TOPIC_PREFIX = "ods_"
+# The tables of the lifecycle, numbered to break ties between topics.
+TABLE_NUMBER = {"credit_facility": 0, "credit_facility_status": 1, "reply": 2,
+                "credit": 3, "contract": 4}
 UNKNOWN_TABLE = "unknown_table"
 
 
@@ -131,6 +134,18 @@ def decode_table(log: DataFrame, table: str, keep: tuple[str, ...] = ("op",)) ->
     return decode_after(drop_deletes(rows), table, keep)
 
 
+def arrival_order(table: str, arrival: Column | str = "arrival") -> Column:
+    """Order number of a row among all lifecycle topics: by arrival, then by table."""
+    arrival = F.col(arrival) if isinstance(arrival, str) else arrival
+    return arrival * 8 + TABLE_NUMBER[table]
+
+
+def ordered_changes(log: DataFrame, table: str) -> DataFrame:
+    """Log of a lifecycle table -> typed rows with ``op`` and order number ``seq``."""
+    rows = decode_table(log, table, keep=("op", "arrival"))
+    return rows.withColumn("seq", arrival_order(table)).drop("arrival")
+
+
 def to_envelope(rows: DataFrame, table: str, op: Column | str = "op", db: str = "lease") -> Column:
     """Typed raw rows -> envelope JSON text (used for fixtures and re-publishing)."""
     op = F.col(op) if isinstance(op, str) else op

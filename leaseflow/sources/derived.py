@@ -19,11 +19,6 @@ from leaseflow.sources import changes as C
 
 DIM_EPOCH = "timestamp_ntz'2020-01-01 00:00:00'"
 
-# Table numbers used in the arrival order of the replay log.
-TABLE_NUMBER = {"credit_facility": 0, "credit_facility_status": 1, "reply": 2,
-                "credit": 3, "contract": 4}
-
-
 class Tables(Mapping[str, DataFrame]):
     """Named DataFrames, each built when it is first asked for."""
 
@@ -270,7 +265,7 @@ def _changes(source_table: Source, table: str) -> DataFrame:
         base.withColumn("op", F.lit("r")).withColumn("version", F.lit(0))
         .unionByName(later.withColumn("op", F.lit("u")).withColumn("version", F.lit(1)))
     )
-    number, version = TABLE_NUMBER[table], F.col("version")
+    number, version = C.TABLE_NUMBER[table], F.col("version")
     if table == "credit_facility":
         rows = rows.withColumn("credit_amount", F.when((ident + version) % 17 != 3,
                                                        F.col("credit_amount")))
@@ -288,4 +283,10 @@ def replay_changes(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def replay_tables(spark: SparkSession, sf_dir: str) -> Tables:
     opened = source(spark, sf_dir)
-    return Tables(TABLE_NUMBER, lambda table: _changes(opened, table))
+    return Tables(C.TABLE_NUMBER, lambda table: _changes(opened, table))
+
+
+def change_log(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Snapshot envelope log of one raw table (arrival = id)."""
+    rows = raw_table(spark, sf_dir, table).withColumn("op", F.lit("r"))
+    return rows.select(F.col("id").alias("arrival"), C.to_envelope(rows, table).alias("value"))

@@ -131,18 +131,22 @@ def refresh_view(view: Callable[[], DataFrame], path: str) -> None:
 
 # --- topics ------------------------------------------------------------------------
 
-def write_topic_files(log: DataFrame, path: str, batch_id: int) -> None:
-    """File twin of a topic sink: JSON lines under ``topic=<name>``."""
-    (log.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("topic", BATCH).json(path))
+# Sends the rows (topic, arrival, value) of one batch.
+Send = Callable[[DataFrame, int], None]
 
 
-def topic_writer(rows: DataFrame, brokers: str, checkpoint: str, topic: str | None = None):
-    """Streaming topic sink (``value`` text; ``topic`` column or one fixed topic).
+def file_topics(path: str) -> Send:
+    """File twin of a topic sink: JSON lines under ``topic=<name>``; a retried batch
+    replaces its files."""
+    def send(rows: DataFrame, batch_id: int) -> None:
+        (rows.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("topic", BATCH).json(path))
+    return send
 
-    At-least-once; needs the Kafka connector jar.
-    """
-    writer = (rows.writeStream.format("kafka").outputMode("append")
-              .option("kafka.bootstrap.servers", brokers)
-              .option("checkpointLocation", checkpoint))
-    return writer.option("topic", topic) if topic else writer
+
+def kafka_topics(brokers: str) -> Send:
+    """Kafka topic sink, no message key, at-least-once; needs the connector jar."""
+    def send(rows: DataFrame, batch_id: int) -> None:
+        (rows.select("topic", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", brokers).save())
+    return send

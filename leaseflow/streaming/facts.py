@@ -101,9 +101,9 @@ def facility_rows(logs: dict[str, DataFrame]) -> DataFrame:
              "credit": ("credit", "credit_facility_id")}
     parts = []
     for table, (kind, key) in kinds.items():
-        rows = C.decode_table(logs[table], table, keep=("op", "arrival"))
+        rows = C.ordered_changes(logs[table], table)
         rows = rows.withColumn("_key", F.col(key)).drop("credit_facility_id")
-        parts.append(rows.withColumnsRenamed({"arrival": "seq", "_key": "credit_facility_id"})
+        parts.append(rows.withColumnRenamed("_key", "credit_facility_id")
                      .withColumn("kind", F.lit(kind)))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return united.filter(F.col("credit_facility_id").isNotNull())
@@ -115,8 +115,8 @@ def credit_rows(produce_topic: DataFrame, contract_log: DataFrame) -> DataFrame:
     made = X.read_fact_json(produce_topic, fact, keep=("arrival",)).select(
         F.col("arrival").alias("seq"), "credit_id", *L.PRODUCE_CARRIED,
         F.lit("produce").alias("kind"))
-    rows = C.decode_table(contract_log, "contract", keep=("arrival",)).withColumnRenamed(
-        "arrival", "seq").withColumn("kind", F.lit("contract"))
+    rows = C.ordered_changes(contract_log, "contract").drop("op").withColumn(
+        "kind", F.lit("contract"))
     united = made.unionByName(rows, allowMissingColumns=True)
     return united.filter(F.col("credit_id").isNotNull())
 
@@ -152,7 +152,7 @@ def of_type(tagged: DataFrame, fact: str, keep: tuple[str, ...] = ()) -> DataFra
 
 # --- sinks -----------------------------------------------------------------------------
 
-def dual_write(facts: list[str], table_root: str, topic_root: str) -> Callable:
+def dual_write(facts: list[str], table_root: str, send: ST.Send) -> Callable:
     """foreachBatch function: every fact goes to its day-partitioned table and its topic.
 
     The batch is stored while it is written out, so the state is read once.
@@ -168,15 +168,15 @@ def dual_write(facts: list[str], table_root: str, topic_root: str) -> Callable:
                 topics.append(rows.select(
                     F.col("seq").alias("arrival"), X.fact_json(fact).alias("value"),
                     F.lit(fact).alias("topic")))
-            ST.write_topic_files(reduce(DataFrame.unionByName, topics), topic_root, batch_id)
+            send(reduce(DataFrame.unionByName, topics), batch_id)
         finally:
             batch.unpersist()
     return write
 
 
-def start(tagged: DataFrame, facts: list[str], table_root: str, topic_root: str,
+def start(tagged: DataFrame, facts: list[str], table_root: str, send: ST.Send,
           checkpoint: str, trigger: dict[str, Any] | None = None):
     """Run a fact stream; the default trigger is the usual ten-second micro-batch."""
-    return (tagged.writeStream.foreachBatch(dual_write(facts, table_root, topic_root))
+    return (tagged.writeStream.foreachBatch(dual_write(facts, table_root, send))
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())

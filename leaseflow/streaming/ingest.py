@@ -11,11 +11,11 @@ from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
 
 
-def start_routing(log: DataFrame, topic_root: str, checkpoint: str,
+def start_routing(log: DataFrame, send: ST.Send, checkpoint: str,
                   trigger: dict[str, Any] | None = None):
-    """Captured change log -> one topic folder per source table."""
+    """Captured change log -> one topic per source table."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        ST.write_topic_files(C.route_by_table(batch), topic_root, batch_id)
+        send(C.route_by_table(batch), batch_id)
 
     return (log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())

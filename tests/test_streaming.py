@@ -77,7 +77,8 @@ def test_facts_stream_equals_rules(spark, changes, raw_topics, tmp_path):
     logs = {t: C.stream_log(spark, str(raw_topics / t)) for t in S.FACILITY_TABLES}
     tables, topics = str(tmp_path / "dwd"), str(tmp_path / "topics")
     tagged = SF.stage_one(SF.facility_rows(logs), ttl_ms=None)
-    wait(SF.start(tagged, SF.STAGE_ONE, tables, topics, str(tmp_path / "c1"), ONCE))
+    send = ST.file_topics(topics)
+    wait(SF.start(tagged, SF.STAGE_ONE, tables, send, str(tmp_path / "c1"), ONCE))
 
     expected = TR.run_rules(changes)
     for fact in SF.STAGE_ONE:
@@ -86,7 +87,7 @@ def test_facts_stream_equals_rules(spark, changes, raw_topics, tmp_path):
 
     rows = SF.credit_rows(SI.topic_log(spark, topics, "dwd_lease_contract_produce"),
                           C.stream_log(spark, str(raw_topics / "contract")))
-    wait(SF.start(SF.stage_two(rows), SF.STAGE_TWO, tables, topics, str(tmp_path / "c2"), ONCE))
+    wait(SF.start(SF.stage_two(rows), SF.STAGE_TWO, tables, send, str(tmp_path / "c2"), ONCE))
     for fact in SF.STAGE_TWO:
         assert TR.canonical(read_all(spark, tables, fact).collect()) == \
             TR.canonical(expected[fact]), fact
@@ -112,7 +113,7 @@ def test_state_carries_over_micro_batches_with_ttl(spark, tmp_path):
     logs = {t: C.stream_log(spark, str(tmp_path / "in" / t), files_per_batch=1)
             for t in S.FACILITY_TABLES}
     tagged = SF.stage_one(SF.facility_rows(logs))
-    query = wait(SF.start(tagged, SF.STAGE_ONE, str(tmp_path / "dwd"), str(tmp_path / "t"),
+    query = wait(SF.start(tagged, SF.STAGE_ONE, str(tmp_path / "dwd"), ST.file_topics(str(tmp_path / "t")),
                           str(tmp_path / "c"), ONCE))
     assert len([p for p in query.recentProgress if p.numInputRows]) >= 2
     expected = TR.run_rules(rows)
@@ -140,7 +141,7 @@ def test_expired_state_emits_nothing(spark, tmp_path):
     def run():
         logs = {t: C.stream_log(spark, str(tmp_path / "in" / t)) for t in S.FACILITY_TABLES}
         wait(SF.start(SF.stage_one(SF.facility_rows(logs), ttl_ms=1000), SF.STAGE_ONE,
-                      str(tmp_path / "dwd"), str(tmp_path / "t"), str(tmp_path / "c"), ONCE))
+                      str(tmp_path / "dwd"), ST.file_topics(str(tmp_path / "t")), str(tmp_path / "c"), ONCE))
 
     run()
     time.sleep(2)
@@ -169,8 +170,8 @@ def test_routing_stream(spark, tmp_path):
              '{"source":{"table":null},"op":"c"}', '{"op":"c"}']
     write_lines(tmp_path / "in", "0.json",
                 [{"arrival": n, "value": v} for n, v in enumerate(lines)])
-    wait(SI.start_routing(C.stream_log(spark, str(tmp_path / "in")), str(tmp_path / "out"),
-                          str(tmp_path / "c"), ONCE))
+    wait(SI.start_routing(C.stream_log(spark, str(tmp_path / "in")),
+                          ST.file_topics(str(tmp_path / "out")), str(tmp_path / "c"), ONCE))
     got = spark.read.json(str(tmp_path / "out")).groupBy("topic").count().collect()
     assert {r["topic"]: r["count"] for r in got} == {"ods_credit": 1, "ods_unknown_table": 3}
 

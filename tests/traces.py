@@ -14,7 +14,7 @@ import re
 from decimal import Decimal
 
 from leaseflow import schemas as S
-from leaseflow.sources.derived import TABLE_NUMBER
+from leaseflow.sources.changes import TABLE_NUMBER
 
 T0 = dt.datetime(2024, 1, 1)
 
