@@ -7,15 +7,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# The business wall clock and the text forms of its times.
+# The business wall clock and the text form of its times.
 WALL_ZONE = "Asia/Shanghai"
 WALL_OFFSET_MILLIS = 8 * 3600 * 1000
-WALL_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-SECOND_FORMAT = "yyyy-MM-dd HH:mm:ss"
 WALL_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$"
 
 _NTZ_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
-_LTZ_EPOCH = "timestamp_ltz'1970-01-01 00:00:00Z'"
 
 
 def _col(c: Column | str) -> Column:
@@ -67,12 +64,13 @@ def wall_to_micros(wall: Column | str) -> Column:
 
 def naive_micros(wall: Column | str) -> Column:
     """Microseconds since 1970-01-01 00:00 on the same wall clock."""
-    return F.unix_micros(F.expr(_LTZ_EPOCH) + (_col(wall) - F.expr(_NTZ_EPOCH)))
+    elapsed = (_col(wall) - F.expr(_NTZ_EPOCH)).cast("interval second")
+    return (elapsed.cast("decimal(18,6)") * 1_000_000).cast("bigint")
 
 
 def wall_as_instant(wall: Column | str) -> Column:
     """TIMESTAMP whose UTC reading is the wall time: what watermarks need."""
-    return F.expr(_LTZ_EPOCH) + (_col(wall) - F.expr(_NTZ_EPOCH))
+    return F.timestamp_micros(naive_micros(wall))
 
 
 def instant_as_wall(instant: Column | str) -> Column:
@@ -82,7 +80,9 @@ def instant_as_wall(instant: Column | str) -> Column:
 
 def wall_text(wall: Column | str) -> Column:
     """Wall time with six fractional digits, the form facts carry as JSON."""
-    return F.date_format(_col(wall), WALL_FORMAT)
+    text = _col(wall).cast("string")  # shows as many fractional digits as needed
+    return F.concat(F.substring(text, 1, 19), F.lit("."),
+                    F.rpad(F.substring(text, 21, 6), 6, "0"))
 
 
 def parse_wall(text: Column | str) -> Column:
@@ -103,7 +103,7 @@ def millis_to_wall(millis: Column | str) -> Column:
 
 def window_time(millis: Column | str) -> Column:
     """epoch ms -> wall time text to the second (window bounds)."""
-    return F.date_format(millis_to_wall(millis), SECOND_FORMAT)
+    return F.substring(millis_to_wall(millis).cast("string"), 1, 19)
 
 
 def window_date(millis: Column | str) -> Column:

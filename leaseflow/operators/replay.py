@@ -208,9 +208,10 @@ def tagged_facts(changes: Changes, limit: int | None = HOT_ROWS) -> DataFrame:
     return scan_by_key(facility_log(changes), KEY, ORDER, step, limit)
 
 
-def of_type(tagged: DataFrame, fact: str) -> DataFrame:
+def of_type(tagged: DataFrame, fact: str, keep_order: bool = False) -> DataFrame:
     """One fact out of the tagged output."""
-    return tagged.filter(F.col("fact_type") == fact).select(f"{fact}.*")
+    order = [ORDER] if keep_order else []
+    return tagged.filter(F.col("fact_type") == fact).select(f"{fact}.*", *order)
 
 
 # --- stage two: credit log -------------------------------------------------------

@@ -20,6 +20,7 @@ from leaseflow.operators import windows as W
 from leaseflow.operators.skew import HOT_ROWS
 from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
+from leaseflow.sources.scratch import materialize
 
 
 class Warehouse:
@@ -41,13 +42,13 @@ class Warehouse:
                    strict_parity: bool = False) -> None:
         """Make all facts of a complete set of logs, in arrival order.
 
-        The produced-contract facts are made once, with their order, and feed the
-        sign and start facts.
+        One pass over the facility logs makes six facts; the stored produced-contract
+        facts, with their order, feed the sign and start facts.
         """
         changes = {t: C.ordered_changes(logs[t], t) for t in C.TABLE_NUMBER}
+        tagged = materialize(R.tagged_facts(changes, self.limit), "facts")
         for fact in R.STAGE_ONE_FACTS:
-            rows = R.stage_one_fact(changes, fact, self.limit, keep_order=True)
-            self._append(fact, rows, batch_id)
+            self._append(fact, R.of_type(tagged, fact, keep_order=True), batch_id)
         produce = self._facts_in_order("dwd_lease_contract_produce")
         for fact in R.STAGE_TWO_FACTS:
             rows = R.stage_two_fact(produce, changes["contract"], fact, strict_parity,

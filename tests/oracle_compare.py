@@ -38,9 +38,8 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_canonical(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, query, sql: str, sf_dir: str) -> tuple[int, int, str]:
+def compare(df, con, sql: str) -> tuple[int, int, str]:
     """(rows in Spark, rows in DuckDB, "" or what differs)."""
-    df = query(spark, sf_dir)
     mine = rows_of(df.columns, df.collect())
     cur = con.execute(sql)
     columns = [d[0] for d in cur.description]
@@ -67,7 +66,7 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            n, m, problem = compare(spark, con, query, twins[name], sf_dir)
+            n, m, problem = compare(query(spark, sf_dir), con, twins[name])
         except Exception as error:  # report and go on to the next query
             n, m, problem = -1, -1, f"{type(error).__name__}: {str(error)[:1500]}"
         bad += bool(problem)

@@ -84,14 +84,20 @@ def test_summer_time_years_differ_by_parser(spark):
     assert row.ms - 583_977_600_000 == 3_600_000
 
 
-def test_instant_round_trip_any_session_zone(spark):
-    wall = dt.datetime(2024, 3, 10, 2, 30, 0, 5)
+@pytest.mark.parametrize("wall", [dt.datetime(2024, 3, 10, 2, 30, 0, 5),
+                                  dt.datetime(1995, 5, 1, 2, 0, 34), dt.datetime(1969, 5, 1)])
+def test_no_function_depends_on_the_session_zone(spark, wall):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         df = spark.createDataFrame([(wall,)], "w timestamp_ntz")
-        back = df.select(D.instant_as_wall(D.wall_as_instant("w")).alias("w"),
-                         F.unix_micros(D.wall_as_instant("w")).alias("us")).first()
+        back = df.select(
+            D.instant_as_wall(D.wall_as_instant("w")).alias("w"), D.naive_micros("w").alias("us"),
+            D.micros_to_wall(D.wall_to_micros("w")).alias("decoded"),
+            D.parse_wall(D.wall_text("w")).alias("parsed"), D.wall_text("w").alias("text"),
+            F.unix_micros(D.wall_as_instant("w")).alias("instant")).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert back.w == wall
-    assert back.us == (wall - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    assert back.w == back.decoded == back.parsed == wall
+    assert back.text == f"{wall:%Y-%m-%d %H:%M:%S.%f}"
+    micros = (wall - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    assert back.us == back.instant == micros
