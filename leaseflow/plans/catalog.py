@@ -23,7 +23,7 @@ from leaseflow.plans import oracle as O
 from leaseflow.sources import changes as C
 from leaseflow.sources import derived as T
 from leaseflow.sources import tables as ST
-from leaseflow.sources.scratch import materialize
+from leaseflow.sources.scratch import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -308,6 +308,53 @@ def retain_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.retain_days(facts, AS_OF, ST.FACT_DAYS)
 
 
+@register("append_fact_by_day", """
+SELECT f.*, f.reject_time::DATE AS dt FROM dwd_audit_reject f, (VALUES (0), (1)) b(batch_id)""")
+def append_fact_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same facts loaded as two batches, the second one twice: duplicates of
+    different batches stay, a retried batch does not add rows."""
+    fact = "dwd_audit_reject"
+    rows = materialize(set_fact(spark, sf_dir, fact), fact)
+    path = scratch_path(spark, "append")
+    for batch_id in (0, 1, 1):
+        ST.append_fact_by_day(rows, path, S.FACT_TIME[fact], batch_id)
+    return ST.read_facts(spark, path, S.FACTS[fact])
+
+
+@register("refresh_view", "SELECT * FROM mv_ads_audit_result_org")
+def refresh_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A summary view stored, recomputed over itself and read back."""
+    path = scratch_path(spark, "view")
+    for _ in range(2):
+        ST.refresh_view(lambda: summary(spark, sf_dir, "mv_ads_audit_result_org"), path)
+    return spark.read.parquet(path)
+
+
+@register("snapshot_then_changes", f"""
+SELECT {', '.join(c for c, _ in S.RAW['business_partner'])} FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn
+  FROM ({_history_sql('business_partner')})) WHERE rn = 1""")
+def snapshot_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot images and later changes, each numbered from zero, as one log."""
+    log = T.dimension_log(spark, sf_dir, "business_partner")
+    snapshot = log.filter(F.col("arrival") == 0)
+    later = log.filter(F.col("arrival") > 0).withColumn("arrival", F.col("arrival") - 1)
+    both = C.of_tables(C.snapshot_then_changes(snapshot, later), r"lease\..*")
+    rows = DIM.dimension_changes(both, "business_partner", keep=("phase", "arrival"))
+    return DIM.upsert_latest(rows, ["id"], ["phase", "arrival"])
+
+
+@register("union_ods", """
+SELECT 'facility' AS kind, op, count(*) AS row_count FROM facility_changes GROUP BY op
+UNION ALL SELECT 'status', op, count(*) FROM status_changes GROUP BY op
+UNION ALL SELECT 'reply', op, count(*) FROM reply_changes GROUP BY op
+UNION ALL SELECT 'credit', op, count(*) FROM credit_changes GROUP BY op""")
+def union_ods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four facility tables as one keyed log, counted per table and operation."""
+    log = R.facility_log(T.replay_tables(spark, sf_dir))
+    return log.groupBy("kind", "op").agg(X.row_count().alias("row_count"))
+
+
 # --- F: enrichment alone ---------------------------------------------------------------------
 
 def _facility(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -47,15 +48,15 @@ def local_session(cores: int | str = 8, app: str = "leaseflow", **conf: str) ->
     return spark
 
 
+@cache
+def _temporary_root() -> str:
+    return tempfile.mkdtemp(prefix="leaseflow-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only where that is unset
     (tests, a laptop) is a temporary folder taken.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    fallback = tempfile.mkdtemp(prefix="leaseflow-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return spark.conf.get("spark.checkpoint.dir", None) or _temporary_root()

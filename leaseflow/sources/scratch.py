@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from leaseflow.session import checkpoint_root
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{checkpoint_root(spark)}/leaseflow/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(rows: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result as a table and read it back.
 
@@ -16,6 +21,6 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     lineage and survive the loss of executors.
     """
     spark = rows.sparkSession
-    path = f"{checkpoint_root(spark)}/leaseflow/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
