@@ -427,7 +427,7 @@ def _damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DAMAGED = """
-  SELECT id * 3 + n AS arrival, tab,
+  SELECT id, id * 3 + n AS arrival, tab,
          CASE WHEN id % 13 = 4 THEN 'd' WHEN id % 13 = 5 THEN 'u' ELSE 'r' END AS op,
          (id * 3 + n) % 41 AS place
   FROM (SELECT id, 0 AS n, 'credit_facility' AS tab FROM credit_facility
@@ -458,14 +458,13 @@ def parse_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("after_image", f"""
-SELECT d.arrival, f.id AS facility_id, f.industry_id
-FROM ({_DAMAGED}) d LEFT JOIN credit_facility f
-  ON d.tab = 'credit_facility' AND f.id * 3 = d.arrival AND d.op <> 'd' AND d.place <> 7
-WHERE d.tab = 'credit_facility'""")
+SELECT d.arrival, CASE WHEN d.op <> 'd' AND d.place <> 7 THEN d.id END AS image_id,
+       CASE WHEN d.op <> 'd' AND d.place <> 7 THEN f.industry_id END AS industry_id
+FROM ({_DAMAGED}) d LEFT JOIN credit_facility f ON d.tab = 'credit_facility' AND f.id = d.id""")
 def after_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _damaged_log(spark, sf_dir).filter(F.col("arrival") % 3 == 0)
+    log = _damaged_log(spark, sf_dir)
     image = log.select("arrival", C.after_image("value", "credit_facility").alias("a"))
-    return image.select("arrival", F.col("a.id").alias("facility_id"),
+    return image.select("arrival", F.col("a.id").alias("image_id"),
                         F.col("a.industry_id").alias("industry_id"))
 
 

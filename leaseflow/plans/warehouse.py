@@ -60,8 +60,9 @@ class Warehouse:
 
     def load_windows(self, batch_id: int) -> None:
         """All window tables from the stored facts."""
+        dims = self.dimensions()
         for name, spec in W.SPECS.items():
-            rows = W.window_table(name, self.fact(spec.fact), self.dimensions())
+            rows = W.window_table(name, self.fact(spec.fact), dims)
             ST.replace_aggregate(rows, f"{self.root}/dws/{name}", batch_id)
 
     def refresh_views(self) -> None:

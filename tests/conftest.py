@@ -17,6 +17,7 @@ MEDIUM = "/root/testdata/sf0.01"
 def spark(tmp_path_factory):
     scratch = tmp_path_factory.mktemp("spark")
     session = local_session(8, "leaseflow-tests", **{
+        "spark.sql.shuffle.partitions": "4",
         "spark.sql.warehouse.dir": str(scratch / "warehouse"),
         "spark.checkpoint.dir": str(scratch / "checkpoint"),
     })

@@ -14,6 +14,7 @@ from leaseflow.operators import windows as W
 from leaseflow.plans.catalog import ORACLE, QUERIES
 from leaseflow.plans.warehouse import Warehouse
 from leaseflow.sources import derived as T
+from leaseflow.sources.scratch import materialize
 from tests import traces as TR
 from tests.conftest import SMALL
 from tests.oracle_compare import compare, connect
@@ -100,6 +101,7 @@ def test_warehouse_run(spark, tmp_path):
     run changes nothing."""
     logs = {t: (T.dimension_log(spark, SMALL, t) if t in S.DIMENSIONS
                 else T.change_log(spark, SMALL, t)) for t in S.RAW}
+    logs = {t: materialize(log, f"log-{t}") for t, log in logs.items()}
     house = Warehouse(spark, str(tmp_path / "w"))
     house.run(logs)
     for fact in S.FACTS:
