@@ -31,7 +31,13 @@ WINDOW_DAYS = (100, 3)
 # --- loading -------------------------------------------------------------------
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, day: str | None = None) -> None:
-    """Write or replace one batch, partitioned by day where the table has one."""
+    """Write or replace one batch, partitioned by day where the table has one.
+
+    Rows are rebalanced by day first: every task would otherwise write a small file
+    per day. Rebalancing splits large days and joins small ones to even file sizes.
+    """
+    if day:
+        rows = rows.hint("rebalance", day)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if day:
         writer = writer.partitionBy(day)
