@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leaseflow.llm import exact_dedup
+from leaseflow.llm import exact_dedup, ngram_join
 from leaseflow.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,8 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM texts WINDOW same AS (PARTITION BY body)""")
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
+
+
+@register("op10_ngram_jaccard_join")
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
