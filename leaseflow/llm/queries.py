@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leaseflow.llm import exact_dedup, ngram_join
+import public_tokenizers
+
+from leaseflow.llm import exact_dedup, mixing, ngram_join, packing
 from leaseflow.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,3 +45,15 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_ngram_jaccard_join")
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
+
+
+@register("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quality = mixing.quality_weights(table(spark, sf_dir, "labels"))
+    return mixing.mix(table(spark, sf_dir, "documents"), quality).drop("row_key")
+
+
+@register("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"))
