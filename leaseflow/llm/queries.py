@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from leaseflow.llm import exact_dedup, mixing, ngram_join, packing
+from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, toxicity
 from leaseflow.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"),
                         public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "rejected")
