@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, toxicity
+from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, token_counts, toxicity, url_filters
 from leaseflow.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,38 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", toxicity.held_out().alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "rejected")
+
+
+@register("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("byte_bpe_50k.json"))
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@register("op7_url_filters", r"""
+WITH parts AS (
+  SELECT page_id, url, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages), ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+    WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+    WHEN '.' || host LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+    WHEN '.' || host LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+    WHEN '.' || host LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM parts)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(host || path,
+      '(/wp-login\.php|/user/login|/cart/checkout|\.tar\.gz|\.iso)([^0-9A-Za-z]|$)|/cgi-bin/')
+    THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled""")
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [url_filters.host_rule(verdict, rule) for verdict, rule in URL_RULES]
+    return url_filters.judge(table(spark, sf_dir, "pages"), [*rules, *url_filters.PATTERNS])
