@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, token_counts, toxicity, url_filters
+from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, token_counts, toxicity, url_filters, warc
 from leaseflow.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,23 @@ FROM ruled""")
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [url_filters.host_rule(verdict, rule) for verdict, rule in URL_RULES]
     return url_filters.judge(table(spark, sf_dir, "pages"), [*rules, *url_filters.PATTERNS])
+
+
+@register("op3_warc", r"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last
+  FROM pages), bits AS (
+  SELECT page_id, last, octet_length(encode(html)) AS payload_bytes,
+         unhex(sha1(html))::BIT::VARCHAR AS digest_bits
+  FROM payloads)
+SELECT page_id, payload_bytes,
+       list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + substr(digest_bits, 1 + 5 * k, 5)::BIT::INTEGER, 1) FOR k IN range(32)],
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to
+FROM bits""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archives(spark, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
