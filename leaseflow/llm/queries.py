@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, token_counts, toxicity, url_filters, warc
+from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, token_counts, toxicity, url_filters, vector_neighbours, warc
 from leaseflow.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
     return warc.read_archives(spark, manifest).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op5_vector_neighbours")
+def op5_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
