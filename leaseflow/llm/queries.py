@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from leaseflow.llm import exact_dedup, mixing, ngram_join, packing, token_counts, toxicity, url_filters, vector_neighbours, warc
+from leaseflow.llm import (
+    exact_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    url_filters,
+    vector_neighbours,
+    warc,
+)
 from leaseflow.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +137,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_vector_neighbours")
 def op5_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
