@@ -22,12 +22,13 @@ def _col(c: Column | str) -> Column:
 def decode_decimal(encoded: Column | str, scale: int = 2, precision: int = 19) -> Column:
     """base64 of a signed big-endian integer -> DECIMAL(precision, scale).
 
-    NULL for text that is not base64, is empty, is wider than 16 bytes or does
-    not fit the target. The value is put together from a signed and an unsigned
-    8-byte half of its sign-extended 16-byte form. Validity is decided inside the
-    padding, so that shared parts of the expression are computed once per row.
+    NULL for text that is not base64, is empty or does not fit the target, whatever
+    sign bytes it is padded with. The value is put together from a signed and an
+    unsigned 8-byte half of its sign-extended 16-byte form. Validity is decided inside
+    the padding, so that shared parts of the expression are computed once per row.
     """
-    digits = F.hex(F.try_to_binary(_col(encoded), F.lit("base64")))
+    given = F.hex(F.try_to_binary(_col(encoded), F.lit("base64")))
+    digits = F.when(F.length(given) <= 32, given).otherwise(_shortest(given))
     pad = (F.when(~F.length(digits).between(2, 32), F.lit(None).cast("string"))
            .when(F.substring(digits, 1, 1) >= "8", F.lit("F")).otherwise(F.lit("0")))
     wide = F.lpad(digits, F.lit(32), pad)
@@ -43,11 +44,19 @@ def decode_decimal(encoded: Column | str, scale: int = 2, precision: int = 19) -
 def encode_decimal(amount: Column | str, scale: int = 2) -> Column:
     """DECIMAL -> base64 of its shortest signed big-endian unscaled integer."""
     amount = _col(amount)
-    unscaled = (amount * F.lit(10**scale)).cast("decimal(19,0)").cast("bigint")
-    full = F.lpad(F.hex(unscaled), 16, "0")
-    short = F.regexp_replace(
-        F.regexp_replace(full, "^(00)+(?=[0-7])", ""), "^(FF)+(?=[89A-F])", "")
-    return F.base64(F.unhex(short))
+    unscaled = (amount * F.lit(10**scale)).cast("decimal(20,0)")
+    negative = unscaled < 0
+    # Eight bytes as an unsigned number, and a sign byte before them.
+    low = F.when(negative, unscaled + F.lit(str(2**64)).cast("decimal(20,0)")).otherwise(unscaled)
+    digits = F.lpad(F.conv(low.cast("decimal(20,0)").cast("string"), 10, 16), 16, "0")
+    full = F.concat(F.when(negative, "FF").otherwise("00"), digits)
+    return F.base64(F.unhex(_shortest(full)))
+
+
+def _shortest(digits: Column) -> Column:
+    """Hex digits without the bytes that only repeat the sign."""
+    return F.regexp_replace(
+        F.regexp_replace(digits, "^(00)+(?=[0-7])", ""), "^(FF)+(?=[89A-F])", "")
 
 
 def micros_to_wall(micros: Column | str) -> Column:

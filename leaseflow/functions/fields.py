@@ -70,9 +70,9 @@ def _columns_of(fact: str, data_type) -> tuple[str, ...]:
     return tuple(f.name for f in S.FACTS[fact] if f.dataType == data_type)
 
 
-def fact_json(fact: str) -> Column:
-    """A fact row as the JSON text its topic carries."""
-    return to_json_row(S.FACTS[fact].names, wall=_columns_of(fact, S.WALL),
+def fact_json(fact: str, extra: tuple[str, ...] = ()) -> Column:
+    """A fact row, and extra columns, as the JSON text its topic carries."""
+    return to_json_row([*S.FACTS[fact].names, *extra], wall=_columns_of(fact, S.WALL),
                        text=_columns_of(fact, S.MONEY))
 
 

@@ -29,8 +29,12 @@ def upsert_latest(rows: DataFrame, keys: list[str], order: list[str],
 
 
 def dimension_changes(log: DataFrame, table: str, keep: tuple[str, ...] = ("arrival",)) -> DataFrame:
-    """Envelope log of a dimension -> typed rows with an image and an id."""
-    rows = C.parse_envelope(log, table).filter(F.col("table_name") == table)
+    """Envelope log of a dimension -> typed rows with an image and an id.
+
+    The log is this dimension's own, so a row counts whether or not it names its table
+    or operation; rows that name another table, or a deletion, do not.
+    """
+    rows = C.parse_images(log, table).filter(F.coalesce("table_name", F.lit(table)) == table)
     live = C.live_dim_rows(rows)
     return project(C.decode_after(live, table, keep), table, keep)
 

@@ -43,11 +43,12 @@ def _image(table: str, *leave_out: str) -> Column:
 
 
 def facility_log(changes: Changes, kinds: tuple[str, ...] = (
-        FACILITY, STATUS, REPLY, CREDIT)) -> DataFrame:
+        FACILITY, STATUS, REPLY, CREDIT), keep: tuple[str, ...] = ()) -> DataFrame:
     """Change rows of the four facility tables as one keyed, ordered log.
 
-    Every input has ``op`` and ``seq`` next to its table's columns. Rows without a
-    key are dropped rather than merged under a shared one.
+    Every input has ``op`` and ``seq`` next to its table's columns, and what ``keep``
+    names. Rows without a key are left out rather than merged under a shared one;
+    :func:`keyless_rows` counts them.
     """
     parts = {
         FACILITY: ("credit_facility", F.col("id")),
@@ -62,12 +63,25 @@ def facility_log(changes: Changes, kinds: tuple[str, ...] = (
         if kind == STATUS:
             leave_out += ("id",)
         logs.append(changes[table].select(
-            key.alias(KEY), ORDER, F.lit(kind).alias("kind"), "op",
+            key.alias(KEY), ORDER, *keep, F.lit(kind).alias("kind"), "op",
             _image(table, *leave_out).alias(kind)))
     united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), logs)
     return united.filter(F.col(KEY).isNotNull())
 
 
+# Key column of each lifecycle table's log.
+LOG_KEY = {"credit_facility": "id", "credit_facility_status": KEY, "reply": KEY, "credit": KEY,
+           "contract": "credit_id"}
+
+
+def keyless_rows(changes: Changes) -> DataFrame:
+    """(table_name, row_count) of the rows that no log can take because they lack its key."""
+    parts = [rows.filter(F.col(LOG_KEY[table]).isNull()).agg(F.count("*").alias("row_count"))
+             .select(F.lit(table).alias("table_name"), "row_count")
+             for table, rows in changes.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _status_is(*codes: int) -> Column:
     return F.col("status.status").isin(*codes)
 
@@ -189,8 +203,12 @@ def stage_one_fact(changes: Changes, fact: str, limit: int | None = HOT_ROWS,
     return scan_by_key(log, KEY, ORDER, step, limit)
 
 
-def tagged_facts(changes: Changes, limit: int | None = HOT_ROWS) -> DataFrame:
-    """All six stage-one facts in one pass: ``fact_type``, ``seq`` and one struct per fact."""
+def tagged_facts(changes: Changes, limit: int | None = HOT_ROWS,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """All six stage-one facts in one pass: ``fact_type``, ``seq`` and one struct per fact.
+
+    ``keep`` names columns of the inputs to take along from the row that emits.
+    """
     rows = F.array(*[
         F.when(emits(fact), F.struct(
             F.lit(fact).alias("fact_type"),
@@ -203,9 +221,10 @@ def tagged_facts(changes: Changes, limit: int | None = HOT_ROWS) -> DataFrame:
     def step(part: DataFrame, scan: Scan) -> DataFrame:
         state = credit_state(audit_state(part, scan), scan)
         present = F.filter(rows, lambda r: r.isNotNull())
-        return state.select(ORDER, F.explode(present).alias("_r")).select(ORDER, "_r.*")
+        return state.select(ORDER, *keep, F.explode(present).alias("_r")).select(
+            ORDER, *keep, "_r.*")
 
-    return scan_by_key(facility_log(changes), KEY, ORDER, step, limit)
+    return scan_by_key(facility_log(changes, keep=keep), KEY, ORDER, step, limit)
 
 
 def of_type(tagged: DataFrame, fact: str, keep_order: bool = False) -> DataFrame:
@@ -219,11 +238,11 @@ def of_type(tagged: DataFrame, fact: str, keep_order: bool = False) -> DataFrame
 PRODUCE, CONTRACT = "produce", "contract"
 
 
-def credit_log(produce: DataFrame, contract: DataFrame) -> DataFrame:
+def credit_log(produce: DataFrame, contract: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Produced-contract facts (with ``seq``) and contract changes, keyed by credit."""
     carried = F.struct(*L.PRODUCE_CARRIED)
-    made = produce.select("credit_id", ORDER, carried.alias(PRODUCE))
-    rows = contract.select("credit_id", ORDER,
+    made = produce.select("credit_id", ORDER, *keep, carried.alias(PRODUCE))
+    rows = contract.select("credit_id", ORDER, *keep,
                            F.struct("id", *L.CONTRACT_MILESTONE.values()).alias(CONTRACT))
     united = made.unionByName(rows, allowMissingColumns=True)
     return united.filter(F.col("credit_id").isNotNull())
@@ -266,7 +285,7 @@ def contract_state(log: DataFrame, scan: Scan, strict_parity: bool = False) -> D
 
 def stage_two_fact(produce: DataFrame, contract: DataFrame, fact: str,
                    strict_parity: bool = False, limit: int | None = HOT_ROWS,
-                   census: DataFrame | None = None) -> DataFrame:
+                   census: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Signed or started lease facts in arrival order."""
     own = F.col(CONTRACT).isNotNull()
     image = lambda c: F.when(own, F.col(f"{CONTRACT}.{c}")).otherwise(
@@ -278,10 +297,10 @@ def stage_two_fact(produce: DataFrame, contract: DataFrame, fact: str,
         return state.select(
             image("id").alias("id"),
             image(L.CONTRACT_MILESTONE[fact]).alias(S.FACT_TIME[fact]), "credit_id",
-            *[carried(c).alias(c) for c in L.PRODUCE_CARRIED],
-        ).select(*S.FACTS[fact].names)
+            *[carried(c).alias(c) for c in L.PRODUCE_CARRIED], *keep,
+        ).select(*S.FACTS[fact].names, *keep)
 
-    return scan_by_key(credit_log(produce, contract), "credit_id", ORDER, step, limit, census)
+    return scan_by_key(credit_log(produce, contract, keep), "credit_id", ORDER, step, limit, census)
 
 
 def produce_bound(changes: Changes) -> DataFrame:

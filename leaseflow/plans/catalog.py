@@ -20,6 +20,7 @@ from leaseflow.operators import replay as R
 from leaseflow.operators import summaries as M
 from leaseflow.operators import windows as W
 from leaseflow.plans import oracle as O
+from leaseflow.plans import stored as SD
 from leaseflow.sources import changes as C
 from leaseflow.sources import derived as T
 from leaseflow.sources import tables as ST
@@ -317,7 +318,7 @@ def append_fact_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(set_fact(spark, sf_dir, fact), fact)
     path = scratch_path(spark, "append")
     for batch_id in (0, 1, 1):
-        ST.append_fact_by_day(rows, path, S.FACT_TIME[fact], batch_id)
+        ST.append_fact_by_day(rows, path, S.FACT_TIME[fact], ST.Batch("load", batch_id))
     return ST.read_facts(spark, path, S.FACTS[fact])
 
 
@@ -544,3 +545,9 @@ def read_fact_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = set_fact(spark, sf_dir, "dwd_audit_reject").select(
         X.fact_json("dwd_audit_reject").alias("value"))
     return X.read_fact_json(text, "dwd_audit_reject")
+
+
+# --- A, E, G: stored batches and live forms -------------------------------------------------------
+
+for _name, _query in SD.QUERIES.items():
+    register(_name, SD.SQL[_name])(_query)

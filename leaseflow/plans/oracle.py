@@ -206,12 +206,14 @@ def _replay_audit(fact: str, code: int) -> str:
   SELECT e.fk AS id, e.moment AS {time}, f.lease_organization, f.business_partner_id, f.industry_id,
          f.salesman_id, h.man AS audit_man_id, f.credit_amount AS apply_amount{reply_columns}
   FROM (
-    SELECT t.fk, t.moment, min(h.seq) AS emit_seq
-    FROM (SELECT fk, seq, moment, lead(seq) OVER (PARTITION BY fk ORDER BY seq) AS next_seq
-          FROM facility_history WHERE status = {code}) t
-    JOIN facility_history h ON h.fk = t.fk AND h.seq >= t.seq
-                           AND (t.next_seq IS NULL OR h.seq < t.next_seq) AND {complete}
-    GROUP BY t.fk, t.moment, t.seq
+    SELECT fk, moment, emit_seq FROM (
+      SELECT fk, moment, status,
+             min(CASE WHEN {complete} THEN h.seq END) OVER (PARTITION BY fk ORDER BY seq
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS emit_seq,
+             min(CASE WHEN status = {code} THEN h.seq END) OVER (PARTITION BY fk ORDER BY seq
+               ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_seq
+      FROM facility_history h)
+    WHERE status = {code} AND emit_seq IS NOT NULL AND (next_seq IS NULL OR emit_seq < next_seq)
   ) e
   JOIN facility_history h ON h.fk = e.fk AND h.seq = e.emit_seq
   JOIN facility_changes f ON f.id = e.fk AND f.seq = h.fseq

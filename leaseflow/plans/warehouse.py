@@ -1,12 +1,20 @@
-"""The whole warehouse as one batch run: logs in, stored layers out.
-
-Layers live under one root: ``dim/``, ``dwd/`` (facts), ``dws/`` (windows), ``ads/``
-(views). Every step reads what the step before it stored, so a run that stops can be
-repeated with the same batch number.
+"""The whole warehouse as batch runs: logs in, stored layers out.
+
+Layers live under one root: ``chg/`` (decoded lifecycle changes), ``dim/``, ``dwd/`` (facts),
+``dws/`` (windows), ``ads/`` (views), ``rejects/`` (counts of rows without a key). Every step
+reads what the step before it stored, so a run that stops can be repeated with the same batch
+number.
+
+Batches come in arrival order, each with a number of its own. A batch decodes its changes once
+and stores them; then it replays the whole stored history of the facilities and credits it
+touches and keeps the facts that its own rows emit. So a fact may complete in a later batch
+than it began, and a batch loaded again leaves the same facts. After a correction of an older
+batch, the batches after it are loaded again.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,48 +30,88 @@ from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
 from leaseflow.sources.scratch import materialize
 
+# Marks the rows of the batch that is being loaded.
+MINE = "_mine"
+
 
 class Warehouse:
-    """Stored layers under a root folder."""
+    """Stored layers under a root folder; ``writer`` names who numbers the batches."""
 
-    def __init__(self, spark: SparkSession, root: str, limit: int | None = HOT_ROWS):
-        self.spark, self.root, self.limit = spark, root, limit
+    def __init__(self, spark: SparkSession, root: str, writer: str,
+                 limit: int | None = HOT_ROWS):
+        self.spark, self.root, self.writer, self.limit = spark, root, writer, limit
 
     # --- loading ---------------------------------------------------------------
 
+    def _batch(self, batch_id: int) -> ST.Batch:
+        return ST.Batch(self.writer, batch_id)
+
     def load_dimensions(self, logs: Mapping[str, DataFrame], batch_id: int) -> None:
         """Upsert the dimensions from their change logs."""
         for table in S.DIMENSIONS:
             rows = DIM.upsert_latest(DIM.dimension_changes(logs[table], table), ["id"],
                                      ["arrival"], keep_order=True)
-            ST.upsert_dimension(rows, f"{self.root}/dim/{table}", batch_id)
+            ST.upsert_dimension(rows, f"{self.root}/dim/{table}", self._batch(batch_id))
+
+    def load_changes(self, logs: Mapping[str, DataFrame], batch_id: int) -> None:
+        """Decode the lifecycle logs of a batch and store them; count rows without a key."""
+        changes = {t: C.ordered_changes(logs[t], t) for t in C.TABLE_NUMBER}
+        for table, rows in changes.items():
+            ST.write_batch(rows, f"{self.root}/chg/{table}", self._batch(batch_id))
+        stored = {t: self._changes(t, batch_id).filter(MINE) for t in changes}
+        ST.write_batch(R.keyless_rows(stored), f"{self.root}/rejects", self._batch(batch_id))
+
+    def _changes(self, table: str, batch_id: int) -> DataFrame:
+        schema = S.T.StructType([*S.raw_schema(table).fields,
+                                 S.T.StructField("op", S.T.StringType()),
+                                 S.T.StructField(R.ORDER, S.T.LongType())])
+        return self._marked(ST.read_batches(self.spark, f"{self.root}/chg/{table}", schema), batch_id)
+
+    def _marked(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        mine = (F.col(ST.WRITER) == self.writer) & (F.col(ST.BATCH) == batch_id)
+        return rows.withColumn(MINE, mine).drop(ST.WRITER, ST.BATCH)
+
+    @staticmethod
+    def _touched(parts: Mapping[str, DataFrame], keys: Mapping[str, str], key: str
+                 ) -> dict[str, DataFrame]:
+        """All history of the keys that the batch's own rows have."""
+        own = M.union_all([rows.filter(MINE).select(F.col(keys[t]).alias(key))
+                           for t, rows in parts.items()])
+        own = materialize(own.filter(F.col(key).isNotNull()).distinct(), "touched")
+        return {t: rows.join(own, rows[keys[t]] == own[key], "left_semi") for t, rows in parts.items()}
 
     def load_facts(self, logs: Mapping[str, DataFrame], batch_id: int,
                    strict_parity: bool = False) -> None:
-        """Make all facts of a complete set of logs, in arrival order.
+        """The facts that a batch of logs emits, given all batches before it.
 
         One pass over the facility logs makes six facts; the stored produced-contract
         facts, with their order, feed the sign and start facts.
         """
-        changes = {t: C.ordered_changes(logs[t], t) for t in C.TABLE_NUMBER}
-        tagged = materialize(R.tagged_facts(changes, self.limit), "facts")
+        self.load_changes(logs, batch_id)
+        facility = {t: self._changes(t, batch_id) for t in S.FACILITY_TABLES}
+        tagged = materialize(R.tagged_facts(self._touched(facility, R.LOG_KEY, R.KEY), self.limit,
+                                            keep=(MINE,)).filter(MINE).drop(MINE), "facts")
         for fact in R.STAGE_ONE_FACTS:
             self._append(fact, R.of_type(tagged, fact, keep_order=True), batch_id)
-        produce = self._facts_in_order("dwd_lease_contract_produce")
+        produce = "dwd_lease_contract_produce"
+        credit = {produce: self._marked(self._stored_facts(produce), batch_id),
+                  "contract": self._changes("contract", batch_id)}
+        credit = self._touched(credit, dict.fromkeys(credit, "credit_id"), "credit_id")
         for fact in R.STAGE_TWO_FACTS:
-            rows = R.stage_two_fact(produce, changes["contract"], fact, strict_parity,
-                                    self.limit)
+            rows = R.stage_two_fact(credit[produce], credit["contract"], fact, strict_parity,
+                                    self.limit, keep=(MINE,)).filter(MINE).drop(MINE)
             self._append(fact, rows.withColumn(R.ORDER, F.lit(None).cast("bigint")), batch_id)
 
     def _append(self, fact: str, rows: DataFrame, batch_id: int) -> None:
-        ST.append_fact_by_day(rows, f"{self.root}/dwd/{fact}", S.FACT_TIME[fact], batch_id)
+        ST.append_fact_by_day(rows, f"{self.root}/dwd/{fact}", S.FACT_TIME[fact],
+                              self._batch(batch_id))
 
     def load_windows(self, batch_id: int) -> None:
         """All window tables from the stored facts."""
         dims = self.dimensions()
         for name, spec in W.SPECS.items():
             rows = W.window_table(name, self.fact(spec.fact), dims)
-            ST.replace_aggregate(rows, f"{self.root}/dws/{name}", batch_id)
+            ST.replace_aggregate(rows, f"{self.root}/dws/{name}", self._batch(batch_id))
 
     def refresh_views(self) -> None:
         """Recompute all summary views from the stored facts and dimensions."""
@@ -71,7 +119,7 @@ class Warehouse:
         for name, view in M.VIEWS.items():
             ST.refresh_view(lambda view=view: view(facts, dims), f"{self.root}/ads/{name}")
 
-    def run(self, logs: Mapping[str, DataFrame], batch_id: int = 0) -> None:
+    def run(self, logs: Mapping[str, DataFrame], batch_id: int) -> None:
         self.load_dimensions(logs, batch_id)
         self.load_facts(logs, batch_id)
         self.load_windows(batch_id)
@@ -85,12 +133,31 @@ class Warehouse:
     def dimensions(self) -> dict[str, DataFrame]:
         return {t: self.dimension(t) for t in S.DIMENSIONS}
 
-    def _facts_in_order(self, fact: str) -> DataFrame:
-        schema = S.T.StructType([*S.FACTS[fact].fields, S.T.StructField(R.ORDER, S.T.LongType())])
-        return ST.read_facts(self.spark, f"{self.root}/dwd/{fact}", schema)
+    def _stored_facts(self, fact: str) -> DataFrame:
+        """Facts with their order and batch."""
+        schema = S.T.StructType([*S.FACTS[fact].fields, S.T.StructField(R.ORDER, S.T.LongType()),
+                                 S.T.StructField(ST.DAY, S.T.DateType())])
+        return ST.read_batches(self.spark, f"{self.root}/dwd/{fact}", schema)
 
     def fact(self, fact: str) -> DataFrame:
-        return self._facts_in_order(fact).select(*S.FACTS[fact].names)
+        return self._stored_facts(fact).select(*S.FACTS[fact].names)
+
+    def rejects(self) -> DataFrame:
+        """Rows without a key, per table and batch."""
+        schema = S.T.StructType([S.T.StructField("table_name", S.T.StringType()),
+                                 S.T.StructField("row_count", S.T.LongType())])
+        return ST.read_batches(self.spark, f"{self.root}/rejects", schema)
+
+    # --- upkeep ------------------------------------------------------------------
+
+    def drop_expired(self, as_of: dt.date, keep_undated: bool = True) -> None:
+        """Remove days outside the ranges of facts and windows."""
+        for fact in S.FACTS:
+            ST.drop_expired_folders(self.spark, f"{self.root}/dwd/{fact}", as_of, ST.FACT_DAYS,
+                                    keep_undated=keep_undated)
+        for name in W.SPECS:
+            ST.drop_expired_folders(self.spark, f"{self.root}/dws/{name}", as_of, ST.WINDOW_DAYS,
+                                    "cur_date", keep_undated)
 
     def window(self, name: str) -> DataFrame:
         stored = self.spark.read.parquet(f"{self.root}/dws/{name}")

@@ -56,7 +56,14 @@ def _temporary_root() -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, a laptop) is a temporary folder taken.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session whose executors run
+    inside the driver may go without: it gets a temporary folder. Anywhere else machines
+    would each write to a disk of their own, so that is an error.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _temporary_root()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder (master is {master})")
+    return _temporary_root()

@@ -17,6 +17,8 @@ TOPIC_PREFIX = "ods_"
 TABLE_NUMBER = {"credit_facility": 0, "credit_facility_status": 1, "reply": 2,
                 "credit": 3, "contract": 4}
 UNKNOWN_TABLE = "unknown_table"
+# Bounds of one micro-batch, which also bound a task's rows of one key.
+FILES_PER_BATCH, ROWS_PER_TRIGGER = 100, 1_000_000
 
 
 # --- readers ---------------------------------------------------------------
@@ -26,12 +28,11 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).json(path)
 
 
-def stream_log(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+def stream_log(spark: SparkSession, path: str,
+               files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """The same files as a stream, from the first file on."""
-    reader = spark.readStream.schema(LOG_SCHEMA)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return (spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
+            .json(path))
 
 
 def stream_text(spark: SparkSession, path: str) -> DataFrame:
@@ -40,22 +41,31 @@ def stream_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_topic(spark: SparkSession, brokers: str, topic: str,
-                 per_trigger: int | None = None) -> DataFrame:
+                 per_trigger: int = ROWS_PER_TRIGGER) -> DataFrame:
     """A message topic from its earliest offset; needs the Kafka connector jar.
 
-    ``arrival`` is the offset, so order within a key holds if the topic is keyed
-    by that key (or has one partition).
+    ``per_trigger`` bounds what a task holds of one key.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", per_trigger)
     )
-    if per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", per_trigger)
-    return reader.load().select(
-        F.col("offset").alias("arrival"), F.col("value").cast("string").alias("value"))
+    return topic_rows(reader.load())
+
+
+def topic_rows(messages: DataFrame) -> DataFrame:
+    """Topic messages (value, timestamp, offset) -> (arrival, value).
+
+    Offsets of different topics or partitions say nothing about each other, so the order
+    is the message's time in milliseconds, then its offset: the first 45 bits and the
+    last 18 of ``arrival`` (of messages with equal time, 262,144 of a partition in a row
+    are told apart).
+    """
+    arrival = (F.unix_millis("timestamp") * (1 << 18)) + F.pmod(F.col("offset"), F.lit(1 << 18))
+    return messages.select(arrival.alias("arrival"), F.col("value").cast("string").alias("value"))
 
 
 def snapshot_then_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
@@ -83,6 +93,16 @@ def topic_of(value: Column | str = "value") -> Column:
     return F.concat(F.lit(TOPIC_PREFIX), F.coalesce(table, F.lit(UNKNOWN_TABLE)))
 
 
+def message_key(value: Column | str = "value") -> Column:
+    """Key of an envelope's message: the facility, for contracts the credit, else the id."""
+    field = {"credit_facility": "id", "contract": "credit_id"}
+    table, key = F.get_json_object(value, "$.source.table"), F.get_json_object(value, "$.after.id")
+    for name in TABLE_NUMBER:
+        path = f"$.after.{field.get(name, 'credit_facility_id')}"
+        key = F.when(table == name, F.get_json_object(value, path)).otherwise(key)
+    return key
+
+
 def route_by_table(log: DataFrame) -> DataFrame:
     return log.withColumn("topic", topic_of())
 
@@ -96,12 +116,17 @@ def op_code(value: Column | str = "value") -> Column:
 
 def parse_envelope(log: DataFrame, table: str) -> DataFrame:
     """Envelopes of one table as (table_name, op, after); failures are dropped."""
+    return parse_images(log, table).filter(
+        F.col("table_name").isNotNull() & F.col("op").isNotNull())
+
+
+def parse_images(log: DataFrame, table: str) -> DataFrame:
+    """Envelopes of one table as (table_name, op, after), whatever fields they lack."""
     kept = [c for c in log.columns if c != "value"]
     return (
         log.select(*kept, X.parse_once("value", S.envelope_schema(table)).alias("_e"))
         .select(*kept, F.col("_e.source.table").alias("table_name"),
                 F.col("_e.op").alias("op"), F.col("_e.after").alias("after"))
-        .filter(F.col("table_name").isNotNull() & F.col("op").isNotNull())
     )
 
 
@@ -116,7 +141,7 @@ def drop_deletes(rows: DataFrame) -> DataFrame:
 
 def live_dim_rows(rows: DataFrame) -> DataFrame:
     """Dimension changes that carry an image: no deletes, ``after`` and id present."""
-    return rows.filter((F.col("op") != "d") & F.col("after").isNotNull()
+    return rows.filter((F.coalesce("op", F.lit("r")) != "d") & F.col("after").isNotNull()
                        & F.col("after.id").isNotNull())
 
 

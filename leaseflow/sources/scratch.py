@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from leaseflow.session import checkpoint_root
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint folder."""
+    return f"{checkpoint_root(spark)}/leaseflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/leaseflow/{name}-{uuid.uuid4().hex}"
+    """A new folder name for this application's intermediate results."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(rows: DataFrame, name: str) -> DataFrame:
@@ -24,3 +29,10 @@ def materialize(rows: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate results, once nothing reads them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(conf).delete(path, True)

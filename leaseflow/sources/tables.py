@@ -1,11 +1,13 @@
 """Stored tables as Parquet folders.
 
-A table is a folder of batches, ``<path>/batch_id=N/<day>=.../``. Writing batch N
-replaces that batch and nothing else, so a retried batch (lost executor, restarted
-query) leaves the same content. What a reader sees depends on the table kind:
+A table is a folder of batches, ``<path>/writer=W/batch_id=N/<day>=.../``. The writer names
+the run or stream that numbers its batches; two of them never touch each other's folders.
+Writing batch N replaces that batch of its writer and nothing else, so a retried batch (lost
+executor, restarted query) leaves the same content. What a reader sees depends on the table kind:
 
 * facts keep every row, duplicates included;
-* keyed tables (dimensions, windows) show the row of the latest batch per key.
+* keyed tables (dimensions, windows) show the row of the highest batch number per key; among
+  writers with the same number, of the later name.
 
 No stored row is ever rewritten by a load; :func:`compact` folds old batches.
 """
@@ -13,14 +15,16 @@ No stored row is ever rewritten by a load; :func:`compact` folds old batches.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from leaseflow.operators.dimensions import upsert_latest
 
-BATCH = "batch_id"
+WRITER, BATCH = "writer", "batch_id"
 DAY = "dt"
 
 # Days kept before and after the current day.
@@ -28,9 +32,21 @@ FACT_DAYS = (30, 3)
 WINDOW_DAYS = (100, 3)
 
 
+def stream_writer(checkpoint: str) -> str:
+    """Writer name of a stream: one for each checkpoint, which is what numbers its batches."""
+    return "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
+class Batch(NamedTuple):
+    """Who writes, and which of its batches."""
+
+    writer: str
+    number: int
+
+
 # --- loading -------------------------------------------------------------------
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, day: str | None = None) -> None:
+def write_batch(rows: DataFrame, path: str, batch: Batch, day: str | None = None) -> None:
     """Write or replace one batch, partitioned by day where the table has one.
 
     Rows are rebalanced by day first: every task would otherwise write a small file
@@ -41,29 +57,30 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, day: str | None = Non
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if day:
         writer = writer.partitionBy(day)
-    writer.parquet(f"{path}/{BATCH}={batch_id}")
+    writer.parquet(f"{path}/{WRITER}={batch.writer}/{BATCH}={batch.number}")
 
 
-def append_fact_by_day(facts: DataFrame, path: str, time: str, batch_id: int) -> None:
+def append_fact_by_day(facts: DataFrame, path: str, time: str, batch: Batch) -> None:
     """Duplicate-keeping fact load, partitioned by event day."""
-    write_batch(facts.withColumn(DAY, F.to_date(time)), path, batch_id, DAY)
+    write_batch(facts.withColumn(DAY, F.to_date(time)), path, batch, DAY)
 
 
-def replace_aggregate(windows: DataFrame, path: str, batch_id: int) -> None:
+def replace_aggregate(windows: DataFrame, path: str, batch: Batch) -> None:
     """Window rows of one batch; a row re-sent by a later batch replaces this one."""
-    write_batch(windows, path, batch_id, "cur_date")
+    write_batch(windows, path, batch, "cur_date")
 
 
-def upsert_dimension(rows: DataFrame, path: str, batch_id: int) -> None:
+def upsert_dimension(rows: DataFrame, path: str, batch: Batch) -> None:
     """Changed dimension rows of one batch (with ``arrival``)."""
-    write_batch(rows, path, batch_id)
+    write_batch(rows, path, batch)
 
 
 # --- reading -------------------------------------------------------------------
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All batches of a table with ``batch_id``; empty if nothing was written yet."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    """All batches of a table with ``writer`` and ``batch_id``; empty if there are none yet."""
+    full = T.StructType([*schema.fields, T.StructField(WRITER, T.StringType()),
+                         T.StructField(BATCH, T.LongType())])
     try:
         return spark.read.schema(full).parquet(path)
     except AnalysisException as missing:
@@ -75,12 +92,13 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 def read_facts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Stored facts with their day column, duplicates kept."""
     with_day = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-    return read_batches(spark, path, with_day).drop(BATCH)
+    return read_batches(spark, path, with_day).drop(WRITER, BATCH)
 
 
 def latest_by_key(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Row of the latest batch (then the given order) per key."""
-    return upsert_latest(rows, keys, [BATCH, *(order or [])])
+    batch = [c for c in (BATCH, WRITER) if c in rows.columns]
+    return upsert_latest(rows, keys, [*batch, *(order or [])])
 
 
 def read_windows(spark: SparkSession, path: str, schema: T.StructType,
@@ -93,41 +111,64 @@ def read_dimension(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return latest_by_key(read_batches(spark, path, with_order), ["id"], ["arrival"])
 
 
-def compact(rows: DataFrame, target: str, batch_id: int, day: str | None = None) -> None:
+def compact(rows: DataFrame, target: str, batch: Batch, day: str | None = None) -> None:
     """Write the visible rows of a table as the first batch of a new folder.
 
     The caller points readers to the new folder and continues with later batches.
     """
-    write_batch(rows, target, batch_id, day)
+    write_batch(rows, target, batch, day)
 
 
 # --- retention -------------------------------------------------------------------
 
 def retain_days(rows: DataFrame, as_of: dt.date | Column, days: tuple[int, int],
-                day: str = DAY) -> DataFrame:
-    """Rows within the rolling day range; on a stored table this prunes partitions."""
+                day: str = DAY, keep_undated: bool = True) -> DataFrame:
+    """Rows within the rolling day range; on a stored table this prunes partitions.
+
+    Rows without a day have no age: they stay unless ``keep_undated`` is off.
+    """
     now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return rows.filter(F.col(day).between(F.date_add(now, -days[0]), F.date_add(now, days[1])))
+    inside = F.col(day).between(F.date_add(now, -days[0]), F.date_add(now, days[1]))
+    return rows.filter(inside | F.col(day).isNull() if keep_undated else inside)
+
+
+def _expired(text: str, as_of: dt.date, days: tuple[int, int], keep_undated: bool) -> bool:
+    try:
+        value = dt.date.fromisoformat(text)
+    except ValueError:  # the partition of rows without a day
+        return not keep_undated
+    return not -days[0] <= (value - as_of).days <= days[1]
 
 
 def drop_expired_days(spark: SparkSession, table: str, as_of: dt.date, days: tuple[int, int],
-                      day: str = DAY) -> list[str]:
-    """Drop day partitions outside the range from a catalog table.
+                      day: str = DAY, keep_undated: bool = True) -> list[str]:
+    """Drop day partitions outside the range from a catalog table, one statement a day.
 
-    Works on partition names only (one per day and batch); no data passes the driver.
+    Works on partition names only; no data passes the driver.
     """
-    first = (as_of - dt.timedelta(days=days[0])).isoformat()
-    last = (as_of + dt.timedelta(days=days[1])).isoformat()
-    dropped = []
-    for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
-        spec = dict(part.split("=", 1) for part in row[0].split("/"))
-        if not first <= spec[day] <= last:
-            exact = ", ".join(f"{name}='{value}'" for name, value in spec.items())
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({exact})")
-            dropped.append(row[0])
+    names = {dict(part.split("=", 1) for part in row[0].split("/"))[day]
+             for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
+    dropped = sorted(n for n in names if _expired(n, as_of, days, keep_undated))
+    for name in dropped:
+        value = "NULL" if name.startswith("__") else f"'{name}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day}={value})")
     return dropped
 
 
+def drop_expired_folders(spark: SparkSession, path: str, as_of: dt.date, days: tuple[int, int],
+                         day: str = DAY, keep_undated: bool = True) -> list[str]:
+    """The same for a table kept as folders: removes its expired day folders."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{WRITER}=*/{BATCH}=*/{day}=*")
+    store, dropped = pattern.getFileSystem(conf), []
+    for status in store.globStatus(pattern) or []:
+        name = status.getPath().getName().split("=", 1)[1]
+        if _expired(name, as_of, days, keep_undated):
+            store.delete(status.getPath(), True)
+            dropped.append(name)
+    return sorted(set(dropped))
+
+
 # --- refreshed views -------------------------------------------------------------
 
 def refresh_view(view: Callable[[], DataFrame], path: str) -> None:
@@ -137,7 +178,7 @@ def refresh_view(view: Callable[[], DataFrame], path: str) -> None:
 
 # --- topics ------------------------------------------------------------------------
 
-# Sends the rows (topic, arrival, value) of one batch.
+# Sends the rows (topic, key, arrival, value) of one batch.
 Send = Callable[[DataFrame, int], None]
 
 
@@ -151,8 +192,11 @@ def file_topics(path: str) -> Send:
 
 
 def kafka_topics(brokers: str) -> Send:
-    """Kafka topic sink, no message key, at-least-once; needs the connector jar."""
+    """Kafka topic sink, at-least-once; needs the connector jar.
+
+    Messages are keyed, so those of one key keep their order in a topic of many partitions.
+    """
     def send(rows: DataFrame, batch_id: int) -> None:
-        (rows.select("topic", "value").write.format("kafka")
+        (rows.select("topic", F.col("key").cast("string").alias("key"), "value").write.format("kafka")
          .option("kafka.bootstrap.servers", brokers).save())
     return send

@@ -110,10 +110,14 @@ def facility_rows(logs: dict[str, DataFrame]) -> DataFrame:
 
 
 def credit_rows(produce_topic: DataFrame, contract_log: DataFrame) -> DataFrame:
-    """Produced-contract topic and contract log -> one stream keyed by credit."""
+    """Produced-contract topic and contract log -> one stream keyed by credit.
+
+    Produced contracts are ordered by the ``seq`` their messages carry.
+    """
     fact = "dwd_lease_contract_produce"
-    made = X.read_fact_json(produce_topic, fact, keep=("arrival",)).select(
-        F.col("arrival").alias("seq"), "credit_id", *L.PRODUCE_CARRIED,
+    order = F.get_json_object("value", "$.seq").cast("bigint")
+    made = X.read_fact_json(produce_topic.withColumn("seq", order), fact, keep=("seq",)).select(
+        "seq", "credit_id", *L.PRODUCE_CARRIED,
         F.lit("produce").alias("kind"))
     rows = C.ordered_changes(contract_log, "contract").drop("op").withColumn(
         "kind", F.lit("contract"))
@@ -152,10 +156,17 @@ def of_type(tagged: DataFrame, fact: str, keep: tuple[str, ...] = ()) -> DataFra
 
 # --- sinks -----------------------------------------------------------------------------
 
-def dual_write(facts: list[str], table_root: str, send: ST.Send) -> Callable:
+def topic_key(fact: str) -> str:
+    """Column that keys a fact's messages: what the next stage groups by."""
+    names = S.FACTS[fact].names
+    return next(c for c in ("credit_id", "credit_facility_id", "id") if c in names)
+
+
+def dual_write(facts: list[str], table_root: str, send: ST.Send, writer: str) -> Callable:
     """foreachBatch function: every fact goes to its day-partitioned table and its topic.
 
-    The batch is stored while it is written out, so the state is read once.
+    Messages carry ``seq``: the next stage orders by it, whatever the topic's own numbers
+    are. The batch is stored while it is written out, so the state is read once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -164,9 +175,10 @@ def dual_write(facts: list[str], table_root: str, send: ST.Send) -> Callable:
             for fact in facts:
                 rows = of_type(batch, fact, keep=("seq",))
                 ST.append_fact_by_day(rows.drop("seq"), f"{table_root}/{fact}",
-                                      S.FACT_TIME[fact], batch_id)
+                                      S.FACT_TIME[fact], ST.Batch(writer, batch_id))
                 topics.append(rows.select(
-                    F.col("seq").alias("arrival"), X.fact_json(fact).alias("value"),
+                    F.col("seq").alias("arrival"), X.fact_json(fact, ("seq",)).alias("value"),
+                    F.col(topic_key(fact)).cast("string").alias("key"),
                     F.lit(fact).alias("topic")))
             send(reduce(DataFrame.unionByName, topics), batch_id)
         finally:
@@ -176,7 +188,12 @@ def dual_write(facts: list[str], table_root: str, send: ST.Send) -> Callable:
 
 def start(tagged: DataFrame, facts: list[str], table_root: str, send: ST.Send,
           checkpoint: str, trigger: dict[str, Any] | None = None):
-    """Run a fact stream; the default trigger is the usual ten-second micro-batch."""
-    return (tagged.writeStream.foreachBatch(dual_write(facts, table_root, send))
+    """Run a fact stream; the default trigger is the usual ten-second micro-batch.
+
+    Its checkpoint names the writer: a new checkpoint numbers its batches afresh, in
+    folders of its own.
+    """
+    write = dual_write(facts, table_root, send, ST.stream_writer(checkpoint))
+    return (tagged.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).outputMode("append")
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())

@@ -15,7 +15,7 @@ def start_routing(log: DataFrame, send: ST.Send, checkpoint: str,
                   trigger: dict[str, Any] | None = None):
     """Captured change log -> one topic per source table."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        send(C.route_by_table(batch), batch_id)
+        send(C.route_by_table(batch).withColumn("key", C.message_key()), batch_id)
 
     return (log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
@@ -30,15 +30,15 @@ def start_dimension(log: DataFrame, table: str, path: str, checkpoint: str,
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = DIM.upsert_latest(DIM.dimension_changes(batch, table), ["id"], ["arrival"],
                                  keep_order=True)
-        ST.upsert_dimension(rows, path, batch_id)
+        ST.upsert_dimension(rows, path, ST.Batch(ST.stream_writer(checkpoint), batch_id))
 
     return (log.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
 
 
-def topic_log(spark, topic_root: str, topic: str, files_per_batch: int | None = None) -> DataFrame:
+def topic_log(spark, topic_root: str, topic: str,
+              files_per_batch: int = C.FILES_PER_BATCH) -> DataFrame:
     """One topic folder as a stream of (arrival, value)."""
-    reader = spark.readStream.schema(C.LOG_SCHEMA).option("recursiveFileLookup", "true")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = (spark.readStream.schema(C.LOG_SCHEMA).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", files_per_batch))
     return reader.json(f"{topic_root}/topic={topic}")

@@ -40,7 +40,8 @@ def start(topic: DataFrame, name: str, dims: Callable[[], Mapping[str, DataFrame
     closed = windowed(X.read_fact_json(topic, spec.fact), spec, epoch0)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ST.replace_aggregate(output_rows(batch, spec, dims()), path, batch_id)
+        ST.replace_aggregate(output_rows(batch, spec, dims()), path,
+                             ST.Batch(ST.stream_writer(checkpoint), batch_id))
 
     return (closed.writeStream.foreachBatch(write).outputMode("append")
             .option("checkpointLocation", checkpoint)

@@ -23,7 +23,8 @@ CASES = [0, 19, -1, 127, 128, -128, -129, 255, 256, 65535, 10**15, -(10**15), 2*
 
 def test_decimal_golden(spark):
     rows = [(b64(n), Decimal(n)) for n in CASES]
-    rows += [(b64(19, 9), Decimal(19)), (b64(-5, 12), Decimal(-5)), (b64(7, 16), Decimal(7))]
+    rows += [(b64(19, 9), Decimal(19)), (b64(-5, 12), Decimal(-5)), (b64(7, 16), Decimal(7)),
+             (b64(19, 17), Decimal(19)), (b64(-19, 24), Decimal(-19)), (b64(0, 40), Decimal(0))]
     df = spark.createDataFrame(rows, "b string, n decimal(38,0)")
     for r in df.select("n", D.decode_decimal("b").alias("v")).collect():
         assert r.v == Decimal(int(r.n)).scaleb(-2)
@@ -31,12 +32,21 @@ def test_decimal_golden(spark):
 
 
 @pytest.mark.parametrize("text", ["***", "", None, b64(10**30), b64(10**37), b64(2**127 - 1),
-                                  b64(3, 17)])
+                                  b64(10**40, 17)])
 def test_decimal_unreadable_is_null(spark, text):
     df = spark.createDataFrame([(text,)], "b string")
     assert df.select(D.decode_decimal("b").alias("v")).first().v is None
 
 
+def test_encoding_round_trip(spark):
+    """Shortest form of every value the column type holds, above 8 bytes too."""
+    df = spark.createDataFrame([(Decimal(n).scaleb(-2),) for n in CASES], "v decimal(19,2)")
+    for r in df.select("v", D.encode_decimal("v").alias("b"),
+                       D.decode_decimal(D.encode_decimal("v")).alias("again")).collect():
+        assert r.again == r.v
+        assert r.b == b64(int(r.v.scaleb(2)))
+
+
 @pytest.mark.parametrize("scale", [0, 1, 4])
 def test_decimal_scale(spark, scale):
     df = spark.createDataFrame([(b64(-12345),)], "b string")

@@ -102,8 +102,8 @@ def test_warehouse_run(spark, tmp_path):
     logs = {t: (T.dimension_log(spark, SMALL, t) if t in S.DIMENSIONS
                 else T.change_log(spark, SMALL, t)) for t in S.RAW}
     logs = {t: materialize(log, f"log-{t}") for t, log in logs.items()}
-    house = Warehouse(spark, str(tmp_path / "w"))
-    house.run(logs)
+    house = Warehouse(spark, str(tmp_path / "w"), "test")
+    house.run(logs, 0)
     for fact in S.FACTS:
         assert TR.canonical(house.fact(fact).collect()) == TR.canonical(
             QUERIES[fact](spark, SMALL).collect()), fact

@@ -59,6 +59,31 @@ def test_dimension_rows_need_image_and_id(spark):
     assert [(r.id, r.name) for r in got] == [(1, "a")]
 
 
+def test_dimension_rows_may_lack_operation_and_source(spark):
+    values = ['{"source":{"table":"employee"},"after":{"id":1,"name":"a"}}',
+              '{"op":"c","after":{"id":2,"name":"b"}}',
+              '{"op":"c","source":{"table":"industry"},"after":{"id":3,"name":"c"}}']
+    got = DIM.dimension_changes(log(spark, *values), "employee").collect()
+    assert sorted((r.id, r.name) for r in got) == [(1, "a"), (2, "b")]
+
+
+def test_message_keys(spark):
+    head = '{"source":{"table":"%s"},"after":{"id":1,"credit_facility_id":2,"credit_id":3}}'
+    tables = ["credit_facility", "reply", "contract", "employee"]
+    rows = log(spark, *[head % t for t in tables], "junk").orderBy("arrival")
+    assert [r[0] for r in rows.select(C.message_key()).collect()] == ["1", "2", "3", "1", None]
+
+
+def test_topic_order_is_time_then_offset(spark):
+    """Only what a topic gives: key, value, offset, timestamp. Offsets of two topics differ
+    in scale; the order of the messages does not follow them."""
+    rows = spark.createDataFrame(
+        [("late", 1, dt.datetime(2024, 1, 1, 0, 0, 2)), ("early", 900, dt.datetime(2024, 1, 1)),
+         ("next", 901, dt.datetime(2024, 1, 1))], "value string, offset bigint, timestamp timestamp")
+    got = C.topic_rows(rows).orderBy(C.arrival_order("contract")).collect()
+    assert [r.value for r in got] == ["early", "next", "late"]
+
+
 def test_tables_by_pattern(spark):
     values = [FACILITY, FACILITY.replace('"lease"', '"other"')]
     assert C.of_tables(log(spark, *values), r"lease\..*").count() == 1
@@ -101,9 +126,9 @@ def facts(spark, *rows):
 def test_fact_load_keeps_duplicates_and_is_idempotent(spark, tmp_path):
     path, schema = str(tmp_path / "t"), S.FACTS["dwd_credit_add"]
     assert ST.read_facts(spark, path, schema).count() == 0
-    ST.append_fact_by_day(facts(spark, (1, 0, 5), (1, 0, 5)), path, "add_time", 0)
-    ST.append_fact_by_day(facts(spark, (1, 0, 5), (2, 86400, 6)), path, "add_time", 1)
-    ST.append_fact_by_day(facts(spark, (1, 0, 5), (2, 86400, 6)), path, "add_time", 1)  # retried
+    ST.append_fact_by_day(facts(spark, (1, 0, 5), (1, 0, 5)), path, "add_time", ST.Batch("t", 0))
+    ST.append_fact_by_day(facts(spark, (1, 0, 5), (2, 86400, 6)), path, "add_time", ST.Batch("t", 1))
+    ST.append_fact_by_day(facts(spark, (1, 0, 5), (2, 86400, 6)), path, "add_time", ST.Batch("t", 1))  # retried
     stored = ST.read_facts(spark, path, schema)
     assert stored.count() == 4
     day = stored.filter(F.col("dt") == dt.date(2024, 1, 2))
@@ -112,6 +137,50 @@ def test_fact_load_keeps_duplicates_and_is_idempotent(spark, tmp_path):
     assert "PartitionFilters" in plan and "dt" in plan.split("PartitionFilters", 1)[1][:80]
 
 
+def test_writers_do_not_overwrite_each_other(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), S.FACTS["dwd_credit_add"]
+    ST.append_fact_by_day(facts(spark, (1, 0, 5)), path, "add_time", ST.Batch("a", 0))
+    ST.append_fact_by_day(facts(spark, (2, 0, 5)), path, "add_time", ST.Batch("b", 0))
+    assert sorted(r.id for r in ST.read_facts(spark, path, schema).collect()) == [1, 2]
+    assert ST.stream_writer("/one") != ST.stream_writer("/two")
+
+
+def test_undated_rows_stay_unless_asked(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), S.FACTS["dwd_credit_add"]
+    rows = facts(spark, (1, 0, 5), (2, 40 * 86400, 5)).unionByName(
+        facts(spark, (3, 0, 6)).withColumn("add_time", F.lit(None).cast("timestamp_ntz")))
+    ST.append_fact_by_day(rows, path, "add_time", ST.Batch("a", 0))
+    as_of = TR.T0.date()
+    stored = ST.read_facts(spark, path, schema)
+    assert sorted(r.id for r in ST.retain_days(stored, as_of, ST.FACT_DAYS).collect()) == [1, 3]
+    assert [r.id for r in ST.retain_days(stored, as_of, ST.FACT_DAYS, keep_undated=False).collect()] == [1]
+    assert len(ST.drop_expired_folders(spark, path, as_of, ST.FACT_DAYS)) == 1
+    assert sorted(r.id for r in ST.read_facts(spark, path, schema).collect()) == [1, 3]
+    ST.drop_expired_folders(spark, path, as_of, ST.FACT_DAYS, keep_undated=False)
+    assert [r.id for r in ST.read_facts(spark, path, schema).collect()] == [1]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from leaseflow import session
+    other = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                            sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(other)
+    other.sparkContext.master = "local[2]"
+    assert session.checkpoint_root(other)
+
+
+def test_rows_without_a_key_are_counted(spark):
+    from leaseflow.operators import replay as R
+    rows = TR.frames(spark, TR.parse({1: "F A7 R S16"}))
+    rows["reply"] = rows["reply"].unionByName(
+        rows["reply"].withColumn("credit_facility_id", F.lit(None).cast("bigint")))
+    got = {r.table_name: r.row_count for r in R.keyless_rows(rows).collect()}
+    assert got["reply"] == 1 and sum(got.values()) == 1
+
+
 def test_window_rows_are_replaced_not_summed(spark, tmp_path):
     name, path = "dws_audit_audit_man_reject_win", str(tmp_path / "w")
     spec = W.SPECS[name]
@@ -122,9 +191,9 @@ def test_window_rows_are_replaced_not_summed(spark, tmp_path):
         return spark.createDataFrame(
             [(TR.at(0), TR.at(10), TR.T0.date(), m, n, c, Decimal(c)) for m, n, c in items], schema)
 
-    ST.replace_aggregate(rows((1, "a", 2), (2, None, 3)), path, 0)
-    ST.replace_aggregate(rows((1, "a", 7), (2, "b", 3)), path, 1)
-    ST.replace_aggregate(rows((1, "a", 7), (2, "b", 3)), path, 1)
+    ST.replace_aggregate(rows((1, "a", 2), (2, None, 3)), path, ST.Batch("t", 0))
+    ST.replace_aggregate(rows((1, "a", 7), (2, "b", 3)), path, ST.Batch("t", 1))
+    ST.replace_aggregate(rows((1, "a", 7), (2, "b", 3)), path, ST.Batch("t", 1))
     got = ST.read_windows(spark, path, rows().schema, spec.table_key).collect()
     # The same key is replaced; a name that arrived late makes a second row.
     assert sorted((r.audit_man_id, str(r.audit_man_name), r.apply_count) for r in got) == [
@@ -139,12 +208,12 @@ def test_upsert_by_batch_then_arrival(spark, tmp_path):
                                      "id bigint, create_time timestamp_ntz, "
                                      "update_time timestamp_ntz, name string, arrival bigint")
 
-    ST.upsert_dimension(rows((1, "a", 5), (1, "b", 9), (2, "x", 1)), path, 0)
-    ST.upsert_dimension(rows((1, "c", 2)), path, 1)
+    ST.upsert_dimension(rows((1, "a", 5), (1, "b", 9), (2, "x", 1)), path, ST.Batch("t", 0))
+    ST.upsert_dimension(rows((1, "c", 2)), path, ST.Batch("t", 1))
     got = {r.id: r.name for r in ST.read_dimension(spark, path, schema).collect()}
     assert got == {1: "c", 2: "x"}
     ST.compact(ST.read_dimension(spark, path, schema).withColumn("arrival", F.lit(0).cast("bigint")),
-               str(tmp_path / "d2"), 1)
+               str(tmp_path / "d2"), ST.Batch("t", 1))
     again = ST.read_dimension(spark, str(tmp_path / "d2"), schema)
     assert {r.id: r.name for r in again.collect()} == got
 

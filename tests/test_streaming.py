@@ -138,18 +138,44 @@ def test_expired_state_emits_nothing(spark, tmp_path):
         write_lines(tmp_path / "in" / table, "0.json",
                     [json.loads(x) for x in (tmp_path / "in0" / table / "f.json")
                      .read_text().splitlines()])
-    def run():
+    def run(ttl_ms):
         logs = {t: C.stream_log(spark, str(tmp_path / "in" / t)) for t in S.FACILITY_TABLES}
-        wait(SF.start(SF.stage_one(SF.facility_rows(logs), ttl_ms=1000), SF.STAGE_ONE,
-                      str(tmp_path / "dwd"), ST.file_topics(str(tmp_path / "t")), str(tmp_path / "c"), ONCE))
+        name = f"ttl-{ttl_ms}"
+        wait(SF.start(SF.stage_one(SF.facility_rows(logs), ttl_ms=ttl_ms), SF.STAGE_ONE,
+                      str(tmp_path / name), ST.file_topics(str(tmp_path / f"{name}-t")),
+                      str(tmp_path / f"{name}-c"), ONCE))
 
-    run()
+    for ttl_ms in (1000, None):
+        run(ttl_ms)
     time.sleep(2)
     for table in S.FACILITY_TABLES:
         (tmp_path / "in" / table / "1.json").write_text(
             (tmp_path / "in1" / table / "f.json").read_text())
-    run()
-    assert read_all(spark, tmp_path / "dwd", "dwd_audit_approve").count() == 0
+    # The same two steps without expiry do make the fact.
+    for ttl_ms, made in ((1000, 0), (None, 1)):
+        run(ttl_ms)
+        assert read_all(spark, tmp_path / f"ttl-{ttl_ms}", "dwd_audit_approve").count() == made
+
+
+def test_produced_contracts_are_ordered_by_their_messages(spark, tmp_path):
+    """Two contract changes, then the produced contract: one sign. The topic's own numbers
+    would put the produced contract first, which makes two."""
+    fact = "dwd_lease_contract_produce"
+    made = {"id": 1, "produced_time": f"{TR.at(9):%Y-%m-%d %H:%M:%S}.000000", "credit_id": 1,
+            "credit_facility_id": 1, "apply_amount": "1.00", "reply_amount": "1.00",
+            "credit_amount": "1.00", "seq": 999}
+    write_lines(tmp_path / "topics" / f"topic={fact}", "0.json",
+                [{"key": "1", "value": json.dumps(made), "arrival": 0}])
+    contract = [{"source": {"db": "lease", "table": "contract"}, "op": "u",
+                 "after": {"id": 1, "credit_id": 1, "signed_time": 1_700_000_000_000_000 + n}}
+                for n in range(2)]
+    write_lines(tmp_path / "in", "0.json",
+                [{"arrival": 10 + n, "value": json.dumps(c)} for n, c in enumerate(contract)])
+    rows = SF.credit_rows(SI.topic_log(spark, str(tmp_path / "topics"), fact),
+                          C.stream_log(spark, str(tmp_path / "in")))
+    wait(SF.start(SF.stage_two(rows), SF.STAGE_TWO, str(tmp_path / "dwd"),
+                  ST.file_topics(str(tmp_path / "out")), str(tmp_path / "c"), ONCE))
+    assert read_all(spark, tmp_path / "dwd", "dwd_lease_sign").count() == 1
 
 
 def test_dimension_stream_equals_batch(spark, tmp_path):
