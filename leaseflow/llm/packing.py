@@ -5,10 +5,10 @@ fits; when it fits none and all are open, the fullest is emitted. Documents long
 window fill whole windows first. The pieces of windows still open at the end of a task are
 the leftovers: they are dealt into groups by hash and packed again, longest first.
 
-Token ids come from the tokenizer library, asked once for each distinct run of characters
-between ASCII white space: the vocabulary's pre-tokenizer drops white space and never joins
-across it, so a text's ids are those of its runs, one after another (tests hold this against
-whole texts).
+Token ids come from the tokenizer library, asked once a worker for each distinct run of
+characters between ASCII white space: the vocabulary's pre-tokenizer drops white space and
+never joins across it, so a text's ids are those of its runs, one after another (tests hold
+this against whole texts).
 
 Rules: null and empty texts are the end id alone; every row is a document, also rows that
 repeat an id or have none; an empty table gives no rows; other columns are ignored.
@@ -19,8 +19,7 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
-from collections import ChainMap
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from leaseflow.sources.scratch import materialize
 WINDOW, END_ID, OPEN_WINDOWS = 4096, 2, 256
 #: Leftover pieces packed by one task, on average.
 GROUP_PIECES = 50_000
-CACHED_RUNS, CACHED_BYTES = 600_000, 64
+CACHED_RUNS, CACHED_BYTES = 900_000, 64
 
 _encoders: dict[str, tuple[object, dict[bytes, bytes]]] = {}
 
@@ -46,22 +45,65 @@ def _encoder(path: str):
     return _encoders[path]
 
 
-def encode_runs(path: str, runs: list[bytes]) -> Mapping[bytes, bytes]:
-    """A map that has the ids (little-endian, 4 bytes each) of each given run."""
+_MARKS = X._byte_set(b".,;:!?")
+_LETTERS = X._byte_set(b"abcdefghijklmnopqrstuvwxyz")
+
+
+def _split_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with A-Z lower-cased, as the tokenizer does first, and a space before a mark
+    of ``.,;:!?`` that follows a-z, where its pattern starts a new piece anyway: fewer
+    different runs are left. A slice that may hold a special string, which is found before
+    lower-casing, stays as it is.
+    """
+    if b"<|" in data.tobytes():
+        return data, offsets
+    data = X.FOLD[data]
+    split = _MARKS[data]
+    split[1:] &= _LETTERS[data[:-1]]
+    split[:1] = False
+    split[offsets[:-1][offsets[:-1] < len(data)]] = False
+    at = np.flatnonzero(split)
+    return np.insert(data, at, 32), offsets + np.searchsorted(at, offsets)
+
+
+def _ids_of(path: str, runs: list[bytes]) -> list[bytes]:
+    """Ids (little-endian, 4 bytes each) of different runs; the worker remembers them."""
     tokenizer, known = _encoder(path)
-    new = [r for r in set(runs) if r not in known]
+    out = [known.get(r) for r in runs]
+    new = [i for i, ids in enumerate(out) if ids is None]
     if len(known) + len(new) > CACHED_RUNS:
+        # What this slice needs stays: frequent runs are in every slice.
         known.clear()
-        new = list(set(runs))
-    found = {}
-    for at in range(0, len(new), 4096):
-        part = new[at:at + 4096]
-        for run, got in zip(part, tokenizer.encode_batch_fast(
-                [r.decode() for r in part], add_special_tokens=False), strict=True):
-            found[run] = np.array(got.ids, "<u4").tobytes()
-    known.update((r, v) for r, v in found.items() if len(r) <= CACHED_BYTES)
-    long = {r: v for r, v in found.items() if len(r) > CACHED_BYTES}
-    return ChainMap(known, long) if long else known
+        known.update((r, ids) for r, ids in zip(runs, out, strict=True) if ids is not None)
+    for at in range(0, len(new), 65536):
+        part = new[at:at + 65536]
+        # One call for many runs; word_ids says which run a token came from.
+        got = tokenizer.encode([runs[i].decode() for i in part], is_pretokenized=True,
+                               add_special_tokens=False)
+        ids = np.array(got.ids, "<u4").tobytes()
+        ends = 4 * np.cumsum(np.bincount(np.array(got.word_ids, np.int64), minlength=len(part)))
+        low = 0
+        for i, high in zip(part, ends.tolist(), strict=True):
+            out[i] = ids[low:high]
+            if len(runs[i]) <= CACHED_BYTES:
+                known[runs[i]] = ids[low:high]
+            low = high
+    return out
+
+
+def encode(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a slice end to end, and where each text's ids begin."""
+    data, offsets = _split_marks(data, offsets)
+    starts, ends, first = X.words(data, offsets)
+    _, one, which = np.unique(X.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    ids = _ids_of(path, [data[a:b].tobytes() for a, b in
+                         zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
+    lengths = np.array([len(v) for v in ids], np.int64) // 4
+    flat = np.frombuffer(b"".join(ids), "<u4")
+    begin = np.cumsum(lengths) - lengths
+    n = lengths[which]
+    where = np.concatenate([[0], np.cumsum(n)])
+    return flat[np.repeat(begin[which] - where[:-1], n) + np.arange(where[-1])], where[first]
 
 
 class BestFit:
@@ -108,12 +150,12 @@ def _pieces(path: str, window: int, end_id: int, most_open: int, with_ids: bool)
         for batch in batches:
             kind[0] = batch.column("doc_id").type
             for part, data, offsets in X.slices(batch, "text"):
-                texts = [data[a:b].tobytes().split() for a, b in
-                         zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                ids_of = encode_runs(path, [r for t in texts for r in t])
+                stream, bounds = encode(path, data, offsets)
+                view, bounds = memoryview(stream.tobytes()), (4 * bounds).tolist()
                 ready: list[tuple] = []
-                for doc_id, runs in zip(part.column("doc_id").to_pylist(), texts, strict=True):
-                    ids = b"".join(map(ids_of.__getitem__, runs)) + end
+                for doc_id, low, high in zip(part.column("doc_id").to_pylist(), bounds[:-1],
+                                             bounds[1:], strict=True):
+                    ids = bytes(view[low:high]) + end
                     total = len(ids) // 4
                     for start in range(0, total, window):
                         piece = ids[4 * start:4 * (start + window)]
