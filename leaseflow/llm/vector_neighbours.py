@@ -14,7 +14,7 @@ that parts stay small at every size (:func:`plan`).
 
 Equal vectors are one class before anything else. A part larger than a block is cut by hash
 into blocks, and each pair of blocks is a unit of work; a pair of vectors counts in the first
-table that brings it together and leaves counts and tree edges, never a pair.
+table whose part and window bring it together and leaves counts and tree edges, never a pair.
 
 Rules: null vectors, zero vectors and vectors with null or non-finite components link with
 nothing, not even with equal ones; vectors of different lengths never link; rows that repeat
@@ -126,7 +126,10 @@ def _links(rows: pa.Table, how: Plan, cosine: float) -> pa.RecordBatch:
     unit = _unit(_matrix(rows["v"].combine_chunks()))
     codes = part_codes(unit, how)[:, :table]
     views = unit @ _gaussian(1, unit.shape[1], VIEWS)
-    order = np.argsort(views[:, 0], kind="stable")
+    # Each table sorts by a view of its own, so a pair that misses one window has others.
+    sort = views[:, table % VIEWS]
+    order = np.argsort(sort, kind="stable")
+    sort = sort[order]
     ids, copies, block, unit, codes, views = (a[order] for a in (ids, copies, block, unit, codes, views))
     views32 = views.astype(np.float32)
     counts, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
@@ -137,7 +140,8 @@ def _links(rows: pa.Table, how: Plan, cosine: float) -> pa.RecordBatch:
             x = root[x]
         return x
 
-    window = np.searchsorted(views[:, 0], views[:, 0] + HALF_WINDOW, "right")
+    window = np.searchsorted(sort, sort + HALF_WINDOW, "right")
+    before = np.arange(table) % VIEWS
     for low in range(0, len(ids), 256):
         high = min(low + 256, len(ids))
         far = int(window[high - 1])
@@ -151,7 +155,9 @@ def _links(rows: pa.Table, how: Plan, cosine: float) -> pa.RecordBatch:
             fit &= block[a] != block[b]
         a, b = a[fit], b[fit]
         if table:
-            new = ~(codes[a] == codes[b]).any(axis=1)
+            one, two = views[a][:, before], views[b][:, before]
+            met = np.maximum(one, two) <= np.minimum(one, two) + HALF_WINDOW
+            new = ~((codes[a] == codes[b]) & met).any(axis=1)
             a, b = a[new], b[new]
         near = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine - 1e-12
         a, b = a[near], b[near]

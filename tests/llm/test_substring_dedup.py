@@ -1,0 +1,111 @@
+"""Substring dedup against all windows in one dictionary; the FM-index against plain search."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from leaseflow.llm import queries as Q
+from leaseflow.llm import substring_dedup as S
+from leaseflow.llm.fm_index import FMIndex, WaveletMatrix
+from tests.conftest import SMALL
+from tests.llm.data import SCHEMA, documents, edge_rows, sentence
+
+
+def brute(rows, window=S.WINDOW):
+    texts = [(r[0], (r[1] or "").encode().split()) for r in rows]
+    first: dict = {}
+    for doc_id, words in texts:
+        if doc_id is not None:
+            for i in range(len(words) - window + 1):
+                key = tuple(words[i:i + window])
+                first[key] = min(first.get(key, doc_id), doc_id)
+    out = []
+    for doc_id, words in texts:
+        gone = [False] * len(words)
+        for i in range(len(words) - window + 1 if doc_id is not None else 0):
+            if first[tuple(words[i:i + window])] < doc_id:
+                gone[i:i + window] = [True] * window
+        kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
+        out.append((doc_id, len(words), sum(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def result(frame):
+    return sorted((tuple(r)[:4] for r in frame.collect()), key=str)
+
+
+def passages(seed, n=60):
+    """Documents that share passages of many lengths, in part one line at their head."""
+    rng = random.Random(seed)
+    shared = [sentence(rng, k) for k in (12, 13, 14, 25, 60, 200)]
+    line = sentence(rng, 20)
+    rows = []
+    for i in range(n):
+        parts = [sentence(rng, rng.randrange(40))]
+        for _ in range(rng.randrange(3)):
+            parts += [rng.choice(shared), sentence(rng, rng.randrange(30))]
+        rows.append((n - i, " ".join(([line] if i % 2 else []) + parts)))
+    return rows + [(n + 1 + i, "\n".join(rows[i][1].split())) for i in range(5)]
+
+
+@pytest.mark.parametrize("hot,shard", [(S.HOT, S.SHARD_WORDS), (2, 100), (5, 1)])
+def test_passages_in_any_shards(spark, hot, shard):
+    rows = passages(3)
+    assert result(S.remove_repeats(documents(spark, rows), hot=hot, shard_words=shard)) == brute(rows)
+
+
+def test_repetitive_texts(spark):
+    rows = [(i, " ".join(["be"] * n)) for i, n in enumerate((12, 13, 14, 40, 40, 300))]
+    rows += [(10 + i, " ".join(["be", "or"] * n)) for i, n in enumerate((6, 7, 50))]
+    assert result(S.remove_repeats(documents(spark, rows))) == brute(rows)
+
+
+def test_edge_cases(spark):
+    rows = edge_rows() + [(20, edge_rows()[3][1]), (5, "other text of the same id")]
+    out = S.remove_repeats(documents(spark, rows), with_text=True)
+    assert result(out) == brute(rows)
+    for r in out.filter("n_removed > 0").collect():
+        assert hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
+
+
+def test_empty_table(spark):
+    assert S.remove_repeats(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    assert result(Q.QUERIES["op2_substring_dedup"](spark, SMALL)) == brute(rows)
+
+
+def test_wavelet_ranks():
+    rng = np.random.default_rng(7)
+    for sigma, n in ((1, 5), (2, 64), (3, 200), (70, 1000)):
+        sequence = rng.integers(0, sigma, n)
+        matrix = WaveletMatrix(sequence, sigma)
+        symbols, at = rng.integers(0, sigma, 300), rng.integers(0, n + 1, 300)
+        assert matrix.rank(symbols, at).tolist() == [
+            int((sequence[:a] == c).sum()) for c, a in zip(symbols, at, strict=True)]
+
+
+def test_backward_search():
+    rng = np.random.default_rng(8)
+    text = rng.integers(1, 4, 3000)
+    text[49::50] = 0  # the last symbol ends the text
+    index = FMIndex(text, 5)
+    where = defaultdict(list)
+    for i in range(len(text) - 4):
+        if text[i:i + 5].all():
+            where[tuple(text[i:i + 5])].append(i)
+    patterns = np.array([*where, (3, 3, 3, 3, 3), (1, 2, 1, 2, 1)])
+    low, high, length = index.search(patterns)
+    for pattern, a, b, n in zip(patterns, low, high, length, strict=True):
+        places = where.get(tuple(pattern), [])
+        if len(places) > 1:
+            assert n == 5 and sorted(index.order[a:b].tolist()) == places
+        elif places:
+            assert b - a == 1 and places[0] <= index.order[a] <= places[0] + 4
