@@ -50,7 +50,7 @@ def reply_context(reply: DataFrame) -> DataFrame:
     return latest.select("credit_facility_id", "_r.*")
 
 
-# Fact -> (milestone column of the credit row, id columns of the fact)
+# Fact -> (milestone column of the credit row, id columns of the fact)
 CREDIT_MILESTONE: dict[str, tuple[str, dict[str, str]]] = {
     "dwd_credit_add": ("create_time", {"id": "id"}),
     "dwd_credit_occupy": ("credit_occupy_time", {"id": "id"}),
@@ -153,6 +153,47 @@ class Lifecycle:
         joined = join_many_to_one(triggers, self._latest_produce, "credit_id", self.limit)
         return joined.select("id", S.FACT_TIME[fact], "credit_id", "_p.*")
 
+    def outcomes(self, columns: list[str]) -> DataFrame:
+        """All three outcome facts in one pass over the status log: ``status`` and the
+        given columns. Reply columns are NULL unless approved."""
+        status = self.raw["credit_facility_status"]
+        triggers = status.filter(F.col("status").isin(*OUTCOME_STATUS.values())).select(
+            "credit_facility_id", "status")
+        reply = self._reply.select("credit_facility_id", "reply_amount",
+                                   F.lit(True).alias("_replied"))
+        context = (self._facility.join(self._auditor, "credit_facility_id", "left")
+                   .join(reply, "credit_facility_id", "left"))
+        rows = join_many_to_one(triggers, context, "credit_facility_id", self.limit)
+        approved = F.col("status") == APPROVED
+        complete = F.col("audit_man_id").isNotNull() & F.col("_replied").isNotNull()
+        return rows.filter(~approved | complete).withColumn(
+            "reply_amount", F.when(approved, F.col("reply_amount"))).select("status", *columns)
+
+    @cached_property
+    def credits(self) -> DataFrame:
+        """Credit rows of facilities with both amounts known, in one pass: the amounts and,
+        per credit fact, whether the row makes it."""
+        credit = self.raw["credit"]
+        inserted = F.col("op").isin(*INSERT_OPS) if "op" in credit.columns else F.lit(True)
+        made = {f: inserted if f == "dwd_credit_add" else F.col(milestone).isNotNull()
+                for f, (milestone, _) in CREDIT_MILESTONE.items()}
+        rows = credit.select("id", "credit_facility_id", "credit_amount", "contract_id",
+                             "contract_produce_time", *[m.alias(f) for f, m in made.items()])
+        return join_many_to_one(rows, self._amounts, "credit_facility_id", self.limit)
+
+    @cached_property
+    def contracts(self) -> DataFrame:
+        """Contract rows with a produced contract, in one pass: its amounts and, per contract
+        fact, whether the row makes it."""
+        produced = self.credits.filter("dwd_lease_contract_produce").groupBy(
+            F.col("id").alias("credit_id")).agg(F.max_by(
+                F.struct(*PRODUCE_CARRIED),
+                F.struct("contract_produce_time", F.coalesce("contract_id", F.lit(0)))).alias("_p"))
+        rows = self.raw["contract"].select("credit_id", *[
+            F.col(milestone).isNotNull().alias(f) for f, milestone in CONTRACT_MILESTONE.items()])
+        return join_many_to_one(rows, produced, "credit_id", self.limit).select(
+            *CONTRACT_MILESTONE, "_p.*")
+
     def fact(self, name: str, columns: list[str] | None = None) -> DataFrame:
         """One fact; ``columns`` restricts it to what the caller reads."""
         columns = columns or S.FACTS[name].names

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leaseflow.functions.fields import row_count, typed_null
 from leaseflow.operators import enrich as E
+from leaseflow.operators import lifecycle as L
 
 # Labels of the views, in the order they are listed.
 OUTCOMES = {"approve": "dwd_audit_approve", "cancel": "dwd_audit_cancel",
@@ -25,20 +26,53 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _measures(outcome: str) -> list:
-    reply = F.sum("reply_amount") if outcome == "approve" else typed_null(SUMS)
-    return [row_count().alias("project_count"), F.sum("apply_amount").alias("apply_amount"),
-            reply.cast(SUMS).alias("reply_amount")]
+# Rows of all outcomes in one table, and of the funnel in two (see Lifecycle).
+ALL_OUTCOMES, CREDITS, CONTRACTS = "outcomes", "credits", "contracts"
+
+
+def view_inputs(life: L.Lifecycle, view: str) -> dict[str, DataFrame]:
+    """What a view reads, each source table passed over once."""
+    if view == "mv_ads_credit_transform":
+        return {CREDITS: life.credits, CONTRACTS: life.contracts}
+    return {ALL_OUTCOMES: life.outcomes(columns_read(view, OUTCOMES["approve"]))}
+
+
+def outcome_rows(facts: Facts, keys: list[str]) -> DataFrame:
+    """``audit_result``, keys and amounts of every outcome, from one table or from three."""
+    if ALL_OUTCOMES in facts:
+        label = F.lit(None).cast("string")
+        for outcome, fact in OUTCOMES.items():
+            label = F.when(F.col("status") == L.OUTCOME_STATUS[fact], outcome).otherwise(label)
+        return facts[ALL_OUTCOMES].select(label.alias("audit_result"), *keys, "apply_amount",
+                                          "reply_amount")
+    return union_all([
+        facts[fact].select(
+            F.lit(outcome).alias("audit_result"), *keys, "apply_amount",
+            F.col("reply_amount") if outcome == "approve"
+            else typed_null("decimal(19,2)").alias("reply_amount"))
+        for outcome, fact in OUTCOMES.items()])
 
 
 def _by_outcome(facts: Facts, keys: list[str]) -> DataFrame:
-    """Counts and sums per outcome and key; without keys each outcome is one row."""
-    parts = []
-    for outcome, fact in OUTCOMES.items():
-        grouped = facts[fact].groupBy(*keys).agg(*_measures(outcome))
-        parts.append(grouped.withColumn("audit_result", F.lit(outcome)))
-    return union_all(parts).select(*keys, "audit_result", "project_count",
-                                   "apply_amount", "reply_amount")
+    """Counts and sums per outcome and key; without keys each outcome is one row, also
+    where it has no facts."""
+    rows = outcome_rows(facts, keys)
+    if keys:
+        return rows.groupBy(*keys, "audit_result").agg(
+            row_count().alias("project_count"), F.sum("apply_amount").alias("apply_amount"),
+            F.sum("reply_amount").cast(SUMS).alias("reply_amount"))
+    return _listed(rows, "audit_result", {o: F.col("audit_result") == o for o in OUTCOMES},
+                   ["apply_amount", "reply_amount"])
+
+
+def _listed(rows: DataFrame, name: str, parts: Mapping[str, Column], amounts: list[str]
+            ) -> DataFrame:
+    """One row per named part with its count and sums, all from one aggregate row."""
+    measures = [F.struct(
+        F.lit(part).alias(name), F.count(F.when(inside, 1)).alias("project_count"),
+        *[F.sum(F.when(inside, F.col(a))).alias(a) for a in amounts])
+        for part, inside in parts.items()]
+    return rows.agg(F.array(*measures).alias("_a")).select(F.explode("_a").alias("_r")).select("_r.*")
 
 
 def _regroup(groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,11 +121,18 @@ def audit_result_industry(facts: Facts, dims: Facts) -> DataFrame:
 
 def credit_transform(facts: Facts, dims: Facts | None = None) -> DataFrame:
     """The funnel: one row per step, also where a step has no facts."""
+    amounts = ["apply_amount", "reply_amount", "credit_amount"]
+    if CREDITS in facts:
+        tables = [(facts[CREDITS], L.CREDIT_MILESTONE), (facts[CONTRACTS], L.CONTRACT_MILESTONE)]
+        return union_all([
+            _listed(rows, "transform_step",
+                    {s: F.col(f) for s, f in FUNNEL.items() if f in made}, amounts)
+            for rows, made in tables])
     parts = []
     for step, fact in FUNNEL.items():
         row = facts[fact].agg(
             row_count().alias("project_count"),
-            *[F.sum(a).alias(a) for a in ("apply_amount", "reply_amount", "credit_amount")])
+            *[F.sum(a).alias(a) for a in amounts])
         parts.append(row.select(F.lit(step).alias("transform_step"), "*"))
     return union_all(parts)
 
@@ -105,10 +146,6 @@ VIEWS = {
     "mv_ads_audit_result_industry": audit_result_industry,
     "mv_ads_credit_transform": credit_transform,
 }
-VIEW_FACTS = {
-    **{v: list(OUTCOMES.values()) for v in VIEWS},
-    "mv_ads_credit_transform": list(FUNNEL.values()),
-}
 # The fact column each outcome view groups by.
 VIEW_KEY = {
     "mv_ads_audit_result_org": ["lease_organization"],

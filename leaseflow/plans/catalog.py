@@ -131,9 +131,7 @@ def missing_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     raw = T.raw_tables(spark, sf_dir)
-    life = L.Lifecycle(raw)
-    facts = {f: life.fact(f, M.columns_read(name, f)) for f in M.VIEW_FACTS[name]}
-    return M.VIEWS[name](facts, raw)
+    return M.VIEWS[name](M.view_inputs(L.Lifecycle(raw), name), raw)
 
 
 for _name in M.VIEWS:
@@ -144,9 +142,7 @@ for _name in M.VIEWS:
 SELECT sum(project_count)::BIGINT AS reviewed_projects FROM mv_ads_audit_result_summary""")
 def reviewed_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = T.raw_tables(spark, sf_dir)
-    view, life = "mv_ads_audit_result_summary", L.Lifecycle(raw)
-    return M.reviewed_projects({f: life.fact(f, M.columns_read(view, f))
-                                for f in M.OUTCOMES.values()})
+    return M.reviewed_projects(M.view_inputs(L.Lifecycle(raw), "mv_ads_audit_result_summary"))
 
 
 _STEPS = "VALUES " + ", ".join(f"({n + 1}, '{s}')" for n, s in enumerate(M.FUNNEL))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from leaseflow import schemas as S
+from leaseflow.operators import lifecycle as L
 from leaseflow.operators import replay as R
 from leaseflow.operators import skew as SK
 from leaseflow.operators import summaries as M
@@ -59,6 +60,27 @@ def test_replay_needs_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+@pytest.fixture
+def shuffle_joins(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("view,most", [
+    ("mv_ads_audit_result_dept", {"credit_facility_status": 2, "credit_facility": 1, "reply": 1}),
+    ("mv_ads_credit_transform", {"credit": 2, "contract": 1, "credit_facility": 2, "reply": 2})])
+def test_views_pass_over_their_tables_once(spark, shuffle_joins, view, most):
+    """Scans per stored table, shuffle joins only; reused exchanges don't scan again."""
+    raw = {t: materialize(T.raw_table(spark, SMALL, t), f"raw_{t}") for t in S.RAW}
+    plan = plan_of(M.VIEWS[view](M.view_inputs(L.Lifecycle(raw, limit=None), view), raw))
+    for table, times in most.items():
+        assert plan.count(f"/raw_{table}-") <= times, table
+
+
 def test_large_dimensions_are_not_broadcast(spark):
     """Above the size threshold the look-ups turn into shuffle joins."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
