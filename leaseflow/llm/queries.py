@@ -53,7 +53,34 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
 
 
-@register("op10_ngram_jaccard_join")
+#: Components of a CTE ``links`` (u, v, both ways), as ``roots`` (id, root).
+_ROOTS = """
+reach AS (
+  SELECT DISTINCT u AS id, u AS root FROM links
+  UNION SELECT r.id, l.v FROM reach r JOIN links l ON l.u = r.root),
+roots AS (SELECT id, min(root) AS root FROM reach GROUP BY id)"""
+
+
+@register("op10_ngram_jaccard_join", r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+') AS words FROM documents),
+runs AS (
+  SELECT DISTINCT doc_id, list_aggregate(words[i:i + 4], 'string_agg', ' ') AS run
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i
+        FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n
+  FROM runs a JOIN runs b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM shared s JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v
+  WHERE 5 * s.n >= 4 * (a.n + b.n - s.n)),""" + _ROOTS + """
+SELECT d.doc_id, coalesce(r.root, d.doc_id) AS class_id, coalesce(n.n, 0) AS n_links,
+       coalesce(r.root, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN roots r ON r.id = d.doc_id
+LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) n ON n.u = d.doc_id""")
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -134,11 +161,40 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@register("op5_vector_neighbours")
+@register("op5_vector_neighbours", """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+norms AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM vectors),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM norms a JOIN norms b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) >= 0.9 * a.norm * b.norm),""" + _ROOTS + """
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(r.root, e.vec_id) AS component_id,
+       coalesce(r.root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN roots r ON r.id = e.vec_id
+LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) n ON n.u = e.vec_id""")
 def op5_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@register("op2_substring_dedup")
+@register("op2_substring_dedup", r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, list_aggregate(words[i:i + 12], 'string_agg', ' ') AS body
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM texts)),
+earlier AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY body) AS least FROM windows)
+  WHERE least < doc_id),
+covered AS (SELECT DISTINCT doc_id, i + k AS i FROM earlier, range(13) t(k)),
+marked AS (
+  SELECT w.doc_id, w.i, w.word, c.i IS NULL AS stays
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM texts) w
+  LEFT JOIN covered c ON c.doc_id = w.doc_id AND c.i = w.i)
+SELECT d.doc_id, count(m.i) AS n_words, count(*) FILTER (WHERE NOT m.stays) AS n_removed,
+       sha256(coalesce(string_agg(m.word, ' ' ORDER BY m.i) FILTER (WHERE m.stays), '')) AS kept_sha256
+FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id""")
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))

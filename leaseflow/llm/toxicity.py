@@ -200,7 +200,9 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows, data, offsets in X.slices(batch, "text"):
             words, where = hashed_words(data, offsets)
-            blobs = [words[a:b].tobytes() for a, b in zip(where[:-1], where[1:], strict=True)]
+            # Without padding, two bytes a row suffice.
+            blobs = [words[a:b - PAD].astype("<u2").tobytes()
+                     for a, b in zip(where[:-1], where[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), rows.column("lang"), rows.column("toxic"),
                  pa.array(blobs, pa.binary())], ["doc_id", "lang", "toxic", "words"])
@@ -234,7 +236,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         nothing = np.zeros((1, DIM), np.float32)
         return Model(nothing, [], np.zeros(1), 0.0, trained=False)
     width = 1 + len(PREFIXES)
-    words = [np.frombuffer(b.as_py(), np.int32).reshape(-1, width) for b in rows["words"]]
+    pad = np.full((PAD, width), -1, np.int32)
+    words = [np.concatenate([np.frombuffer(b.as_buffer(), "<u2").reshape(-1, width), pad])
+             for b in rows["words"]]
     test = (X.mix(rows["doc_id"].to_numpy().astype(np.uint64)) % np.uint64(5) == 0)
     if not (0 < y[~test].sum() < (~test).sum()):
         test[:] = False
