@@ -29,9 +29,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
 from leaseflow.llm import text as X
@@ -169,7 +171,7 @@ def _stretches(window: int, anchor: int, contents: bool):
             for rows, data, offsets in X.slices(batch, "text"):
                 part = Slice(data, offsets, window, anchor)
                 listed = rows.column("anchors")
-                lengths = pa.compute.list_value_length(listed).to_numpy(zero_copy_only=False)
+                lengths = _lengths(listed)
                 flat = listed.flatten()
                 text_of = np.repeat(np.arange(len(listed)), lengths).astype(np.uint64)
                 salt = X.mix(text_of + np.uint64(1))
@@ -265,29 +267,39 @@ def _shards(window: int, shard_words: int):
     return run
 
 
-def _remove(window: int):
+def _remove(window: int, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            out = []
-            for i, hits in enumerate(batch.column("hits").to_pylist()):
-                words = (batch.column("text")[i].as_py() or "").encode().split()
-                drop = np.zeros(len(words) + 1, np.int64)
-                for hit in hits:
-                    at = hit["start"] + np.flatnonzero(np.array(hit["least"]) < ids[i])
-                    np.add.at(drop, at, 1)
-                    np.add.at(drop, at + window, -1)
-                gone = np.cumsum(drop[:-1]) > 0
-                kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
-                out.append((int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
-            removed, shas, texts = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_key"), pa.array(removed, pa.int64()),
-                 pa.array(shas, pa.string()), pa.array(texts, pa.string())],
-                ["doc_id", "row_key", "n_removed", "kept_sha256", "kept"])
+            for rows, data, offsets in X.slices(batch, "text"):
+                _, _, first = X.words(data, offsets)
+                hits = rows.column("hits")
+                text_of = np.repeat(np.arange(len(hits)), _lengths(hits))
+                hit = hits.flatten()
+                least = hit.field("least")
+                n = _lengths(least)
+                begin = np.cumsum(n) - n
+                at = np.repeat(first[text_of] + hit.field("start").to_numpy() - begin, n) + np.arange(n.sum())
+                ids = rows.column("doc_id").to_numpy()
+                at = at[least.flatten().to_numpy() < np.repeat(ids[text_of], n)]
+                size = int(first[-1]) + window + 1
+                cover = np.bincount(at, minlength=size) - np.bincount(at + window, minlength=size)
+                stay = np.cumsum(cover)[:first[-1]] == 0
+                marks, removed, kept = stay.tolist(), np.diff(np.concatenate([[0], np.cumsum(~stay)])[first]), []
+                for low, high, a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(),
+                                           first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    kept.append(b" ".join(compress(data[low:high].tobytes().split(), marks[a:b])))
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc_id"), rows.column("row_key"), pa.array(removed, pa.int64()),
+                     pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
+                    + ([pa.array([k.decode() for k in kept], pa.string())] if with_text else []),
+                    ["doc_id", "row_key", "n_removed", "kept_sha256"] + ["kept"] * with_text)
     return run
 
 
+def _lengths(lists: pa.ListArray) -> np.ndarray:
+    return pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT,
                    shard_words: int = SHARD_WORDS, with_text: bool = False) -> DataFrame:
@@ -338,10 +350,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     changed = texts.join(hits.withColumnsRenamed({"doc_id": "hit_id", "row_key": "hit_key"}),
                          (F.col("doc_id") == F.col("hit_id")) & (F.col("row_key") == F.col("hit_key"))
                          ).select("doc_id", "row_key", "text", "hits").mapInArrow(
-        _remove(window),
-        "doc_id bigint, row_key bigint, n_removed bigint, kept_sha256 string, kept string")
-    if not with_text:
-        changed = changed.drop("kept")
+        _remove(window, with_text), "doc_id bigint, row_key bigint, n_removed bigint, "
+        "kept_sha256 string" + ", kept string" * with_text)
     changed = changed.dropDuplicates(["doc_id", "row_key"]).withColumnsRenamed(
         {"doc_id": "rep", "row_key": "rep_key"})
     known = classes.join(changed, ["rep", "rep_key"], "left").drop("rep_key")
