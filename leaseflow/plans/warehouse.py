@@ -150,6 +150,17 @@ class Warehouse:
 
     # --- upkeep ------------------------------------------------------------------
 
+    def fold(self) -> None:
+        """Fold the batches of dimensions and window tables, so reads don't grow for ever."""
+        for table in S.DIMENSIONS:
+            schema = S.T.StructType([*S.raw_schema(table).fields,
+                                     S.T.StructField("arrival", S.T.LongType())])
+            ST.fold(self.spark, f"{self.root}/dim/{table}", schema, ["id"], ["arrival"])
+        for name, spec in W.SPECS.items():
+            path = f"{self.root}/dws/{name}"
+            schema = self.spark.read.parquet(path).drop(ST.WRITER, ST.BATCH).schema
+            ST.fold(self.spark, path, schema, spec.table_key, day="cur_date")
+
     def drop_expired(self, as_of: dt.date, keep_undated: bool = True) -> None:
         """Remove days outside the ranges of facts and windows."""
         for fact in S.FACTS:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -119,6 +120,32 @@ def compact(rows: DataFrame, target: str, batch: Batch, day: str | None = None)
     write_batch(rows, target, batch, day)
 
 
+def fold(spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
+         order: list[str] | None = None, day: str | None = None) -> None:
+    """Fold all batches of a keyed table into one, so that readers need not go through its
+    whole history; ``schema`` has the order columns.
+
+    The folded batch is written under the highest number before the old folders go, so what
+    readers see is the same throughout; a query that has listed the old files has to be
+    started again. Run it between loads.
+    """
+    stored = read_batches(spark, path, schema)
+    top = stored.agg(F.max(BATCH)).first()[0]
+    if top is None:
+        return
+    rows = upsert_latest(stored, keys, [BATCH, WRITER, *(order or [])], keep_order=True)
+    folded = Batch(f"fold-{uuid.uuid4().hex[:16]}", top)
+    write_batch(rows.select(*schema.names), path, folded, day)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{path}/{WRITER}=*/{BATCH}=*")
+    store = pattern.getFileSystem(conf)
+    for status in store.globStatus(pattern) or []:
+        writer = status.getPath().getParent().getName().split("=", 1)[1]
+        number = int(status.getPath().getName().split("=", 1)[1])
+        if writer != folded.writer and number <= top:
+            store.delete(status.getPath(), True)
+
+
 # --- retention -------------------------------------------------------------------
 
 def retain_days(rows: DataFrame, as_of: dt.date | Column, days: tuple[int, int],

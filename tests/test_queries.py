@@ -138,6 +138,7 @@ def test_warehouse_run(spark, tmp_path):
     assert all(r.holds for r in house.check_funnel().collect())
     assert all(r.holds for r in house.check_totals().collect())
     before = TR.canonical(house.window(name).collect())
+    assert house.rejects().agg(F.sum("row_count")).first()[0] == 0
     house.load_windows(0)
     assert TR.canonical(house.window(name).collect()) == before
 

@@ -212,6 +212,13 @@ def test_upsert_by_batch_then_arrival(spark, tmp_path):
     ST.upsert_dimension(rows((1, "c", 2)), path, ST.Batch("t", 1))
     got = {r.id: r.name for r in ST.read_dimension(spark, path, schema).collect()}
     assert got == {1: "c", 2: "x"}
+    with_order = S.T.StructType([*schema.fields, S.T.StructField("arrival", S.T.LongType())])
+    ST.fold(spark, path, with_order, ["id"], ["arrival"])
+    assert {r.id: r.name for r in ST.read_dimension(spark, path, schema).collect()} == got
+    assert ST.read_batches(spark, path, with_order).count() == 2
+    ST.upsert_dimension(rows((2, "y", 0)), path, ST.Batch("t", 2))
+    got[2] = "y"
+    assert {r.id: r.name for r in ST.read_dimension(spark, path, schema).collect()} == got
     ST.compact(ST.read_dimension(spark, path, schema).withColumn("arrival", F.lit(0).cast("bigint")),
                str(tmp_path / "d2"), ST.Batch("t", 1))
     again = ST.read_dimension(spark, str(tmp_path / "d2"), schema)
