@@ -7,7 +7,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leaseflow import schemas as S
 from leaseflow.functions import decode as D
@@ -79,12 +79,19 @@ def reply_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("side_outputs", " UNION ALL ".join(
-    f"SELECT '{f}' AS fact_type, count(*) AS fact_count FROM replay_{f}"
-    for f in R.STAGE_ONE_FACTS))
+    f"SELECT '{f}' AS fact_type, id, {S.FACT_TIME[f]} AS fact_time, apply_amount, "
+    + ("reply_amount" if "reply_amount" in S.FACTS[f].names else "NULL::DECIMAL(19,2)")
+    + f" AS reply_amount FROM replay_{f}" for f in R.STAGE_ONE_FACTS))
 def side_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All six facts of one pass over the facility log, counted per kind."""
-    return R.tagged_facts(T.replay_tables(spark, sf_dir)).groupBy("fact_type").agg(
-        X.row_count().alias("fact_count"))
+    """All six facts of one pass over the facility log, in the columns they share."""
+    def shared(column) -> Column:
+        return F.coalesce(*[F.col(f"{f}.{column(f)}") for f in R.STAGE_ONE_FACTS
+                            if column(f) in S.FACTS[f].names])
+
+    return R.tagged_facts(T.replay_tables(spark, sf_dir)).select(
+        "fact_type", shared(lambda f: "id").alias("id"),
+        shared(lambda f: S.FACT_TIME[f]).alias("fact_time"),
+        *[shared(lambda f, c=c: c).alias(c) for c in ("apply_amount", "reply_amount")])
 
 
 @register("first_occupy_facts", """
@@ -405,14 +412,14 @@ def enrich_employee_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- A, B: change log and scalar functions ------------------------------------------------------
 
 def _damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facility, contract and employee envelopes, some of them damaged by position:
-    broken text, no source, NULL table, deletion."""
+    """Envelopes of all nine tables, some of them damaged by position: broken text, no
+    source, NULL table, deletion."""
     logs = []
-    for number, table in enumerate(("credit_facility", "contract", "employee")):
+    for number, table in enumerate(S.RAW):
         rows = T.raw_table(spark, sf_dir, table)
         op = F.when(F.col("id") % 13 == 4, "d").when(F.col("id") % 13 == 5, "u").otherwise("r")
         logs.append(rows.withColumn("op", op).select(
-            (F.col("id") * 3 + number).alias("arrival"),
+            (F.col("id") * len(S.RAW) + number).alias("arrival"),
             C.to_envelope(rows.withColumn("op", op), table).alias("value")))
     log = M.union_all(logs)
     place = F.col("arrival") % 41
@@ -423,13 +430,13 @@ def _damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.withColumn("value", value)
 
 
-_DAMAGED = """
-  SELECT id, id * 3 + n AS arrival, tab,
+_ALL_IDS = " UNION ALL ".join(
+    f"SELECT id, {n} AS n, '{t}' AS tab FROM {t}" for n, t in enumerate(S.RAW))
+_DAMAGED = f"""
+  SELECT id, id * {len(S.RAW)} + n AS arrival, tab,
          CASE WHEN id % 13 = 4 THEN 'd' WHEN id % 13 = 5 THEN 'u' ELSE 'r' END AS op,
-         (id * 3 + n) % 41 AS place
-  FROM (SELECT id, 0 AS n, 'credit_facility' AS tab FROM credit_facility
-        UNION ALL SELECT id, 1, 'contract' FROM contract
-        UNION ALL SELECT id, 2, 'employee' FROM employee)"""
+         (id * {len(S.RAW)} + n) % 41 AS place
+  FROM ({_ALL_IDS})"""
 
 
 @register("route_by_table", f"""
@@ -446,12 +453,14 @@ def op_code(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("parse_envelope", f"""
-SELECT arrival, tab AS table_name, op, op <> 'd' AS has_image
-FROM ({_DAMAGED}) WHERE place NOT IN (7, 8, 9)""")
+SELECT d.arrival, d.tab AS table_name, d.op, CASE WHEN d.op <> 'd' THEN d.id END AS image_id,
+       CASE WHEN d.op <> 'd' THEN k.credit_id END AS credit_id
+FROM ({_DAMAGED}) d LEFT JOIN contract k ON d.tab = 'contract' AND k.id = d.id
+WHERE d.place NOT IN (7, 8, 9)""")
 def parse_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = C.parse_envelope(_damaged_log(spark, sf_dir), "contract")
     return parsed.select("arrival", "table_name", "op",
-                         F.col("after").isNotNull().alias("has_image"))
+                         F.col("after.id").alias("image_id"), F.col("after.credit_id").alias("credit_id"))
 
 
 @register("after_image", f"""
@@ -481,7 +490,8 @@ for _table in ("credit_facility", "credit_facility_status", "reply", "credit", "
 @register("decode_decimal", """
 SELECT o_orderkey AS id, o_totalprice::DECIMAL(19,2) AS amount,
        (-(o_totalprice::DECIMAL(19,2)))::DECIMAL(19,2) AS negative,
-       (o_totalprice::DECIMAL(19,2) * 1000000000)::DECIMAL(19,2) AS large
+       (o_totalprice::DECIMAL(19,2) * 1000000000)::DECIMAL(19,2) AS large,
+       (-(o_totalprice::DECIMAL(19,2)))::DECIMAL(19,2) AS padded
 FROM orders""")
 def decode_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount = F.col("o_totalprice").cast("decimal(19,2)")
@@ -490,7 +500,10 @@ def decode_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("id"),
         *[D.encode_decimal(v).alias(n) for n, v in parts.items()])
-    return encoded.select("id", *[D.decode_decimal(n).alias(n) for n in parts])
+    # Twenty more sign bytes change nothing.
+    encoded = encoded.withColumn("padded", F.base64(F.unhex(F.concat(
+        F.repeat(F.lit("FF"), 20), F.hex(F.unbase64("negative"))))))
+    return encoded.select("id", *[D.decode_decimal(n).alias(n) for n in [*parts, "padded"]])
 
 
 _EVENT_TEXT = "strftime(ts + INTERVAL '8 hours', '%Y-%m-%d %H:%M:%S.%f')"

@@ -166,9 +166,16 @@ def arrival_order(table: str, arrival: Column | str = "arrival") -> Column:
 
 
 def ordered_changes(log: DataFrame, table: str) -> DataFrame:
-    """Log of a lifecycle table -> typed rows with ``op`` and order number ``seq``."""
-    rows = decode_table(log, table, keep=("op", "arrival"))
-    return rows.withColumn("seq", arrival_order(table)).drop("arrival")
+    """Log of a lifecycle table -> typed rows with ``op`` and order number ``seq``.
+
+    A log of :func:`snapshot_then_changes` has its snapshot first: those numbers are negative.
+    """
+    phase = ("phase",) if "phase" in log.columns else ()
+    rows = decode_table(log, table, keep=("op", "arrival", *phase))
+    order = arrival_order(table)
+    if phase:
+        order = F.when(F.col("phase") == 0, order - F.lit(1 << 62)).otherwise(order)
+    return rows.withColumn("seq", order).drop("arrival", *phase)
 
 
 def to_envelope(rows: DataFrame, table: str, op: Column | str = "op", db: str = "lease") -> Column:

@@ -95,6 +95,27 @@ def test_snapshot_before_changes(spark):
     assert order == ["a", "b", "c"]
 
 
+def test_snapshot_comes_first_in_lifecycle_order(spark):
+    """Snapshot rows and changes are numbered from zero each; the snapshot is replayed first."""
+    from leaseflow.operators import replay as R
+    rows = TR.frames(spark, TR.parse({1: "S16 F A7 R"}))
+    logs = {t: df.select(F.col("seq").alias("arrival"), C.to_envelope(df, t).alias("value"))
+            for t, df in rows.items()}
+    changed = {"credit_facility_status"}
+
+    def seen(log, table, changes):
+        nothing = log.limit(0)
+        return C.ordered_changes(C.snapshot_then_changes(nothing if changes else log,
+                                                         log if changes else nothing), table)
+
+    changes = {t: seen(log, t, t in changed) for t, log in logs.items()}
+    assert changes["reply"].agg(F.max("seq")).first()[0] < 0
+    fact = R.stage_one_fact(changes, "dwd_audit_approve", None, keep_order=True).collect()
+    # The outcome's own row emits, although its number is the lowest.
+    status = changes["credit_facility_status"].filter("status = 16").first().seq
+    assert [r.seq for r in fact] == [status]
+
+
 def test_split_by_table(spark):
     rows = spark.createDataFrame([("contract",), ("credit",), ("reply",)], "table_name string")
     contract, others = C.split_by_table(rows, "contract")
