@@ -45,8 +45,8 @@ def _encoder(path: str):
     return _encoders[path]
 
 
-_MARKS = X._byte_set(b".,;:!?")
-_LETTERS = X._byte_set(b"abcdefghijklmnopqrstuvwxyz")
+_MARKS = X.byte_set(b".,;:!?")
+_LETTERS = X.byte_set(b"abcdefghijklmnopqrstuvwxyz")
 
 
 def _split_marks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

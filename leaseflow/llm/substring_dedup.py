@@ -72,12 +72,7 @@ class Slice:
 
     def joined(self, low: int, high: int) -> bytes:
         """Words [low, high) of one text, one space between them."""
-        raw = self.data[self.starts[low]:self.ends[high - 1]].tobytes()
-        if self.ends[high - 1] - self.starts[low] == (
-                self.ends[low:high] - self.starts[low:high]).sum() + high - low - 1 and b"\n" not in raw:
-            if not any(c in raw for c in b"\t\v\f\r"):
-                return raw
-        return b" ".join(raw.split())
+        return b" ".join(self.data[self.starts[low]:self.ends[high - 1]].tobytes().split())
 
 
 def _runs(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -87,19 +82,18 @@ def _runs(hashes: np.ndarray, n: int) -> np.ndarray:
     return X.shingles(hashes, np.array([0, len(hashes)]), n)[0]
 
 
-def _signature(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, data, offsets in X.slices(batch, "text"):
-                starts, ends, first = X.words(data, offsets)
-                keys = X.sequence_keys(X.word_hashes(data, starts, ends), first).view(np.int64)
-                shas = [hashlib.sha256(b" ".join(data[a:b].tobytes().split())).hexdigest()
-                        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), rows.column("row_key"), pa.array(keys[:, 0].copy()),
-                     pa.array(keys[:, 1].copy()), pa.array(np.diff(first)), pa.array(shas)],
-                    ["doc_id", "row_key", "k0", "k1", "n_words", "sha"])
-    return run
+def _signature(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word sequence keys, word counts and the hash of the words joined by spaces."""
+    for batch in batches:
+        for rows, data, offsets in X.slices(batch, "text"):
+            starts, ends, first = X.words(data, offsets)
+            keys = X.sequence_keys(X.word_hashes(data, starts, ends), first).view(np.int64)
+            shas = [hashlib.sha256(b" ".join(data[a:b].tobytes().split())).hexdigest()
+                    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column("doc_id"), rows.column("row_key"), pa.array(keys[:, 0].copy()),
+                 pa.array(keys[:, 1].copy()), pa.array(np.diff(first)), pa.array(shas)],
+                ["doc_id", "row_key", "k0", "k1", "n_words", "sha"])
 
 
 PLAIN, MARK, DIRECT = 0, 1, 2
@@ -154,10 +148,10 @@ def _segments(part: Slice, wanted: np.ndarray, hot: np.ndarray
     first = part.windows[at[head]]
     windows = np.diff(np.append(head, len(at)))
     total = np.zeros(len(part.hashes) + 1, np.uint64)
-    base = int(X._SHINGLE)
-    np.cumsum(part.hashes * X._power(base, len(part.hashes)), out=total[1:])
+    base = int(X.SHINGLE_BASE)
+    np.cumsum(part.hashes * X.powers(base, len(part.hashes)), out=total[1:])
     end = first + windows + part.window - 1
-    content = X.mix((total[end] - total[first]) * X._power(pow(base, -1, 1 << 64), len(total))[first]
+    content = X.mix((total[end] - total[first]) * X.powers(pow(base, -1, 1 << 64), len(total))[first]
                     + windows.astype(np.uint64))
     key = np.where(hot[at[head]], content, part.anchors[at[head]])
     return first, windows, key, content
@@ -312,7 +306,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         F.xxhash64(text).alias("row_key"),
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
     signed = materialize(texts.mapInArrow(
-        _signature(window),
+        _signature,
         "doc_id bigint, row_key bigint, k0 bigint, k1 bigint, n_words bigint, sha string"), "words")
     classes = materialize(
         signed.filter(f"doc_id IS NOT NULL AND n_words >= {window}").groupBy("k0", "k1").agg(

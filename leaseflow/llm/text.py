@@ -15,15 +15,15 @@ import pyarrow as pa
 SLICE_BYTES = 4 << 20
 
 
-def _byte_set(members: bytes) -> np.ndarray:
+def byte_set(members: bytes) -> np.ndarray:
     table = np.zeros(256, bool)
     table[list(members)] = True
     return table
 
 
-WHITESPACE = _byte_set(b" \t\n\v\f\r")
+WHITESPACE = byte_set(b" \t\n\v\f\r")
 #: White space and ASCII punctuation.
-BREAKS = WHITESPACE | _byte_set(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+BREAKS = WHITESPACE | byte_set(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[ord("A"):ord("Z") + 1] += 32
 
@@ -45,11 +45,11 @@ def stream(seed: int, n: int) -> np.ndarray:
 
 _BYTES = stream(1, 256)
 _BASE = int(stream(2, 1)[0]) | 1
-_SHINGLE = np.uint64(int(stream(3, 1)[0]) | 1)
+SHINGLE_BASE = np.uint64(int(stream(3, 1)[0]) | 1)
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
         full = np.full(max(n, 1 << 16), base, np.uint64)
@@ -108,9 +108,9 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         to = max(int(np.searchsorted(ends, starts[at] + SLICE_BYTES, "right")), at + 1)
         low, high = int(starts[at]), int(ends[to - 1])
         total = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(table[data[low:high]] * _power(_BASE, high - low), out=total[1:])
+        np.cumsum(table[data[low:high]] * powers(_BASE, high - low), out=total[1:])
         begin = starts[at:to] - low
-        out[at:to] = (total[ends[at:to] - low] - total[begin]) * _power(
+        out[at:to] = (total[ends[at:to] - low] - total[begin]) * powers(
             inverse, high - low + 1)[begin]
         at = to
     return mix(out)
@@ -128,7 +128,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
     if len(hashes) >= n:
         total = np.zeros(len(hashes) - n + 1, np.uint64)
         for k in range(n):
-            total = total * _SHINGLE + hashes[k:len(hashes) - n + 1 + k]
+            total = total * SHINGLE_BASE + hashes[k:len(hashes) - n + 1 + k]
         end = np.repeat(first[1:], counts)[:len(total)]
         full = np.repeat(counts >= n, runs)
         out[full] = total[np.arange(len(total)) + n <= end]
@@ -138,7 +138,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
         for k in range(n - 1):
             has = k < counts[short]
             value = hashes[np.minimum(first[short] + k, len(hashes) - 1)]
-            total = np.where(has, total * _SHINGLE + value, total)
+            total = np.where(has, total * SHINGLE_BASE + value, total)
         out[where[short]] = total
     return mix(out), where
 

@@ -33,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leaseflow.llm import text as X
 from leaseflow.llm.components import components
 from leaseflow.sources.scratch import materialize
 
