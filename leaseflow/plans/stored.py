@@ -96,14 +96,15 @@ LIVE_WINDOW = "dws_credit_credit_add_win"
 
 
 def _stream_window(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """All facts, then a row far in the future, then every second fact again, too late."""
+    """All facts, then a row far in the future, twice (rows are late by the watermark of the
+    micro-batch before), then every second fact again, too late."""
     for name, value in STREAM_CONF.items():
         spark.conf.set(name, value)
     fact = W.SPECS[LIVE_WINDOW].fact
     facts = L.fact(T.raw_tables(spark, sf_dir), fact)
     time = S.FACT_TIME[fact]
     future = facts.limit(1).withColumn(time, F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"))
-    for n, rows in enumerate((facts, future, facts.filter(F.col("id") % 4 < 2))):
+    for n, rows in enumerate((facts, future, future, facts.filter(F.col("id") % 4 < 2))):
         rows.select(F.lit(0).alias("arrival"), X.fact_json(fact).alias("value")).write.json(
             f"{root}/topics/topic={fact}/{n}")
         topic = SI.topic_log(spark, f"{root}/topics", fact, 10_000)
