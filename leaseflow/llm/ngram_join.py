@@ -19,8 +19,8 @@ Rules: words are runs of bytes other than ASCII white space and punctuation, A-Z
 (``breaks``/``fold`` choose others); a text of one to four words is one run; texts without
 words have no set and link with nothing, not even with each other; null counts as empty. Rows
 whose id is null take the ``class_id`` of a copy with an id, else null, and count as copies.
-Different texts that share an id are one vertex. An empty table gives no rows; other columns
-are ignored.
+Different texts that share an id are one vertex, which has the links of all of them; their
+``n_links`` are counted for each text. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -105,6 +105,7 @@ class _Unit:
 
     def __init__(self, rows: pa.Table, n: int, breaks: np.ndarray, fold: bool):
         self.ids = rows["rep"].to_numpy()
+        self.row_keys = rows["row_key"].to_numpy()
         self.copies = rows["copies"].to_numpy()
         self.block = rows["block"].to_numpy()
         self.cross = rows["i"][0].as_py() != rows["j"][0].as_py()
@@ -177,8 +178,9 @@ def _verify(rows: pa.Table, n: int, threshold: float, breaks: np.ndarray, fold:
     some = np.flatnonzero(counts)
     roots = np.array([find(i) for i in some.tolist()], np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(unit.ids[some]), pa.array(unit.ids[roots] if len(some) else unit.ids[:0]),
-         pa.array(counts[some])], ["rep", "root", "links"])
+        [pa.array(unit.ids[some]), pa.array(unit.row_keys[some]),
+         pa.array(unit.ids[roots] if len(some) else unit.ids[:0]), pa.array(counts[some])],
+        ["rep", "row_key", "root", "links"])
 
 
 def _units(n: int, threshold: float, breaks: np.ndarray, fold: bool):
@@ -227,36 +229,48 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "k0", "k1", F.col("at.doc_id").alias("rep"), F.col("at.row_key").alias("row_key"),
         "copies", "bands", "n_runs"), "classes")
     distinct = classes.filter("rep IS NOT NULL")
+    # Ids with several classes: their texts meet in a family, and their copies tie classes.
+    repeated = materialize(signed.filter("n_runs > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("k0").alias("a0"), F.max("k0").alias("b0"), F.min("k1").alias("a1"),
+        F.max("k1").alias("b1")).filter("a0 <> b0 OR a1 <> b1").select("doc_id"), "repeated")
+    ties = signed.filter("n_runs > 0").join(repeated, "doc_id").join(
+        distinct.select("k0", "k1", "rep"), ["k0", "k1"]).filter("doc_id <> rep").select(
+        "rep", F.col("doc_id").alias("root"))
 
     banded = distinct.select("rep", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.min("rep").alias("low"), F.count("*").alias("texts"))
     edges = banded.join(buckets.filter("texts > 1"), "band").filter("rep <> low").select(
         F.col("rep").alias("u"), F.col("low").alias("v"))
+    found = components(edges).select(F.col("id").alias("rep"), F.col("root").alias("family"))
+    alone = repeated.select(F.col("doc_id").alias("rep"), F.col("doc_id").alias("family")).join(
+        found, "rep", "left_anti")
     families = materialize(
-        components(edges).select(F.col("id").alias("rep"), F.col("root").alias("family"))
+        found.unionByName(alone)
         .join(distinct.select("rep", "row_key", "copies", "bands", "n_runs"), "rep"), "families")
     sizes = families.groupBy("family").agg(
         F.greatest(F.ceil(F.count("*") / block[0]), F.ceil(F.sum("n_runs") / block[1])).cast("int")
         .alias("blocks"))
     members = families.join(sizes, "family").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        "block", F.pmod(F.xxhash64("rep", "row_key"), F.col("blocks")).cast("int"))
     texts = members.join(
         source.select(F.col("doc_id").alias("rep"), "row_key", "text").filter("rep IS NOT NULL"),
         ["rep", "row_key"])
     units = texts.select(
-        "family", "rep", "copies", "bands", "text", "block",
+        "family", "rep", "row_key", "copies", "bands", "text", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "rep", "copies", "bands", "text", "block")
+        "rep", "row_key", "copies", "bands", "text", "block")
     # Rows that repeat both id and text stand once.
     verified = materialize(
-        units.repartition("family", "i", "j").dropDuplicates(["family", "i", "j", "rep"])
-        .sortWithinPartitions("family", "i", "j", "rep")
-        .mapInArrow(_units(n, threshold, breaks, fold), "rep bigint, root bigint, links bigint"),
-        "links")
-    counted = verified.groupBy("rep").agg(F.sum("links").alias("links"))
-    linked = components(verified, "rep", "root").withColumnsRenamed({"id": "rep", "root": "class_id"})
-    reps = classes.join(counted, "rep", "left").join(linked, "rep", "left").select(
+        units.repartition("family", "i", "j")
+        .dropDuplicates(["family", "i", "j", "rep", "row_key"])
+        .sortWithinPartitions("family", "i", "j", "rep", "row_key")
+        .mapInArrow(_units(n, threshold, breaks, fold),
+                    "rep bigint, row_key bigint, root bigint, links bigint"), "links")
+    counted = verified.groupBy("rep", "row_key").agg(F.sum("links").alias("links"))
+    linked = components(verified.select("rep", "root").unionByName(ties), "rep", "root"
+                        ).withColumnsRenamed({"id": "rep", "root": "class_id"})
+    reps = classes.join(counted, ["rep", "row_key"], "left").join(linked, "rep", "left").select(
         "k0", "k1", F.coalesce("class_id", "rep").alias("class_id"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     out = signed.join(reps, ["k0", "k1"], "left")

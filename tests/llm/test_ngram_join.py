@@ -83,6 +83,20 @@ def test_edge_cases(spark):
     assert left.columns == documents(spark, rows).columns
 
 
+@pytest.mark.parametrize("block", [(N.BLOCK_TEXTS, N.BLOCK_RUNS), (2, 400)])
+def test_texts_that_share_an_id_keep_the_links_of_each(spark, block):
+    rng = random.Random(12)
+    a, b, c, d, e = (sentence(rng, 200) for _ in range(5))
+    rows = [(5, a), (5, b), (9, edited(rng, a, 1)), (10, edited(rng, b, 1)), (5, a),
+            # A copy under a smaller id brings the other text of its id along.
+            (20, c), (21, c), (21, d), (22, edited(rng, d, 1)),
+            # Similar texts of one id alone, and an id with only one of its texts linked.
+            (30, e), (30, edited(rng, e, 2)), (31, sentence(rng, 50)), (31, edited(rng, d, 2))]
+    want = brute(rows)
+    assert [w[0] for w in want if not w[3]] == [9, 10, 21, 21, 22, 31, 31]
+    assert result(N.near_duplicates(documents(spark, rows), block=block)) == want
+
+
 def test_empty_table(spark):
     assert N.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
