@@ -138,15 +138,46 @@ def take_mix(docs: DataFrame, quality: DataFrame | None = None, doc_id: str = "d
              text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, whole; columns unchanged.
 
-    Documents without words take no budget; they come as often as the complete epochs.
+    Documents without words take no budget; they come as often as the complete epochs. Rows
+    that share id, text and source divide what the mix takes of them as evenly as it goes.
     """
-    chosen = mix(docs, quality, doc_id, text, whole=True, **options).groupBy(
-        F.col("doc_id").alias("_mix_id"), F.col("row_key").alias("_mix_key")).agg(
-        F.sum("copies").alias("_sum"), F.count("*").alias("_rows"))
+    source = options.get("source", "source")
+    chosen = materialize(mix(docs, quality, doc_id, text, whole=True, **options).groupBy(
+        F.col("doc_id").alias("_mix_id"), F.col("row_key").alias("_mix_key"),
+        F.col("source").alias("_mix_source")).agg(
+        F.sum("copies").alias("_sum"), F.count("*").alias("_rows")).select(
+        "_mix_id", "_mix_key", "_mix_source", F.floor(F.col("_sum") / F.col("_rows")).alias("_each"),
+        (F.col("_sum") % F.col("_rows")).alias("_more")), "chosen")
     keyed = docs.withColumn("_row_key", F.xxhash64(text))
-    # Rows that share id and text divide what the mix takes of them, rounded down.
-    found = keyed.join(chosen, F.col(doc_id).eqNullSafe(F.col("_mix_id"))
-                       & (F.col("_row_key") == F.col("_mix_key")))
-    times = F.floor(F.col("_sum") / F.col("_rows")).cast("int")
-    return found.withColumn("_times", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+
+    def found(rows: DataFrame, taken: DataFrame) -> DataFrame:
+        return rows.join(taken, F.col(doc_id).eqNullSafe(F.col("_mix_id"))
+                         & (F.col("_row_key") == F.col("_mix_key"))
+                         & F.col(source).cast("string").eqNullSafe(F.col("_mix_source")))
+
+    def copies(rows: DataFrame, times) -> DataFrame:
+        times = times.cast("int")
+        return rows.withColumn("_times", F.explode(
+            F.when(times > 0, F.sequence(F.lit(1), times)))).select(
+            *[F.col(f"`{c}`") for c in docs.columns])
+
+    uneven = chosen.filter("_more > 0")
+    if uneven.isEmpty():
+        return copies(found(keyed, chosen), F.col("_each"))
+    # The first rows get one copy more; they are numbered by part, so no group is in one task.
+    dealt = materialize(found(keyed.withColumn("_at", F.monotonically_increasing_id()), uneven)
+                        .withColumn("_part", F.shiftright("_at", 33)), "uneven")
+    same = ["_mix_id", "_mix_key", "_mix_source"]
+    parts = dealt.groupBy(*same, "_part").agg(F.count("*").alias("_n"))
+    before = parts.select(
+        *[F.col(c).alias(f"{c}_of") for c in same], F.col("_part").alias("_part_of"),
+        (F.sum("_n").over(Window.partitionBy(*same).orderBy("_part")) - F.col("_n")).alias("_before"))
+    numbered = dealt.withColumn("_place", F.row_number().over(
+        Window.partitionBy(*same, "_part").orderBy("_at"))).join(
+        before, F.col("_mix_id").eqNullSafe(F.col("_mix_id_of"))
+        & (F.col("_mix_key") == F.col("_mix_key_of"))
+        & F.col("_mix_source").eqNullSafe(F.col("_mix_source_of"))
+        & (F.col("_part") == F.col("_part_of")))
+    extra = (F.col("_before") + F.col("_place") <= F.col("_more")).cast("int")
+    return copies(found(keyed, chosen.filter("_more = 0")), F.col("_each")).unionByName(
+        copies(numbered, F.col("_each") + extra))

@@ -86,6 +86,21 @@ def test_whole_documents(spark):
     assert M.take_mix(docs).columns == docs.columns
 
 
+def test_equal_rows_share_all_that_is_taken(spark):
+    rng = random.Random(11)
+    base = sentence(rng, 10)
+    rows = [(1, base, "a")] * 101 + [(1, base, "b")] * 7 + [(None, base, "c")] * 3
+    rows += [(10 + i // 2, sentence(random.Random(i // 2), 10), "c") for i in range(40)]
+    docs = documents(spark, rows).repartition(3)
+    want, got = defaultdict(int), defaultdict(int)
+    for r in M.mix(docs, whole=True).collect():
+        want[r.source, r.doc_id] += r.copies
+    for r in M.take_mix(docs).collect():
+        got[r.source, r.doc_id] += 1
+    assert got == {k: n for k, n in want.items() if n}
+    assert want["a", 1] % 101 and want["a", 1] > 101
+
+
 def test_empty_table(spark):
     assert M.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     assert M.take_mix(spark.createDataFrame([], SCHEMA)).count() == 0
