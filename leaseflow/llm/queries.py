@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from leaseflow.llm import (
+    collocations,
     exact_dedup,
     mixing,
     ngram_join,
@@ -198,3 +199,46 @@ SELECT d.doc_id, count(m.i) AS n_words, count(*) FILTER (WHERE NOT m.stays) AS n
 FROM documents d LEFT JOIN marked m ON m.doc_id = d.doc_id GROUP BY d.doc_id""")
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op12_collocations", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+parts AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM parts GROUP BY lang),
+runs AS (
+  SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i
+  FROM parts, (SELECT unnest(range(1, 5)) AS m) WHERE len(w) >= m),
+f AS (
+  SELECT lang, m, list_aggregate(w[i:i + m - 1], 'string_agg', ' ') AS phrase, count(*) AS a
+  FROM runs GROUP BY ALL HAVING count(*) >= 30),
+longer AS (SELECT lang, m AS long_m, string_split(phrase, ' ') AS w, a FROM f WHERE m > 2),
+inside AS (
+  SELECT lang, list_aggregate(w[i:i + s - 1], 'string_agg', ' ') AS phrase, max(a) AS a
+  FROM (SELECT lang, w, a, s, unnest(range(1, long_m - s + 2)) AS i
+        FROM longer, (SELECT unnest(range(2, 4)) AS s) WHERE s < long_m) GROUP BY ALL),
+kept AS (
+  SELECT c.lang, c.m, c.phrase, c.a, string_split(c.phrase, ' ') AS w
+  FROM f c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase
+  WHERE c.m > 1 AND (i.a IS NULL OR 100::HUGEINT * i.a < 80::HUGEINT * c.a)),
+cuts AS (
+  SELECT lang, phrase, a, k, list_aggregate(w[1:k], 'string_agg', ' ') AS head,
+         list_aggregate(w[k + 1:], 'string_agg', ' ') AS rest
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r,
+         ((2000000::HUGEINT * c.a) // (x.a + y.a)::HUGEINT)::BIGINT AS score,
+         row_number() OVER (PARTITION BY c.lang, c.phrase
+           ORDER BY (2000000::HUGEINT * c.a) // (x.a + y.a)::HUGEINT, k) AS place
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head
+  JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+         phrase, a, l, r, score
+  FROM scored WHERE place = 1)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

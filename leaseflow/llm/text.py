@@ -154,3 +154,31 @@ def sequence_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
         if some.any():
             out[some, k] = np.add.reduceat(salted, first[:-1][some])
     return mix(out + counts.astype(np.uint64)[:, None])
+
+
+def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray
+               ) -> tuple[np.ndarray, pa.StringArray]:
+    """A number for each word, and the different words by number, compared as bytes."""
+    lengths = ends - starts
+    places = np.zeros(len(data) + 1, np.int8)
+    # A word may end where the next begins, at the border of two texts.
+    places[starts] += 1
+    places[ends] -= 1
+    inside = np.cumsum(places[:-1], dtype=np.int8).view(bool)
+    bounds = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(lengths, out=bounds[1:])
+    flat = pa.LargeStringArray.from_buffers(
+        len(starts), pa.py_buffer(bounds), pa.py_buffer(data[inside].tobytes()))
+    coded = flat.dictionary_encode()
+    return np.asarray(coded.indices).astype(np.int64), coded.dictionary
+
+
+def string_hashes(strings: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each string's bytes; the array has no nulls."""
+    if not len(strings):
+        return np.zeros(0, np.uint64)
+    flat = strings.cast(pa.large_string()) if strings.type != pa.large_string() else strings
+    _, where, bytes_ = flat.buffers()
+    bounds = np.frombuffer(where, np.int64)[flat.offset:flat.offset + len(flat) + 1]
+    data = np.frombuffer(bytes_, np.uint8) if bytes_ is not None else np.zeros(0, np.uint8)
+    return word_hashes(data, bounds[:-1], bounds[1:])
