@@ -1,12 +1,12 @@
 """Phrase collocations by the stripes pattern.
 
 A stripe belongs to a prefix of 0 to 3 words and counts what comes next: ``prefix -> {next
-word: count}``, where "nothing, or a word that makes no frequent phrase" is one more entry.
-Tasks make stripes of their slices of text, stripes of a prefix are shuffled as wholes and
-merged elementwise. One structure then gives
+word: count}``. Tasks make stripes of their slices of text, stripes of a prefix are shuffled as
+wholes and merged elementwise. One structure then gives
 
 * the extensions of a phrase and their counts (the entries of its stripe),
-* the count of a prefix (the sum of its stripe), and
+* the total of a prefix (its own entry one level up; that of the empty prefix is the sum of
+  its stripe), and
 * the most frequent longer phrase around a phrase (the largest entry of its own stripe, and
   the largest entry that ends the stripe of a longer prefix).
 
@@ -36,7 +36,7 @@ from leaseflow.llm import text as X
 from leaseflow.sources.scratch import materialize
 
 LEAST, LONGEST, SUBSUMED, TOP = 30, 4, 80, 2000
-SLICE = 16 << 20
+SLICE = 12 << 20
 FILTER_BITS, PROBES = 1 << 27, 4
 #: Parts of a split stripe; a prefix is split above this share of all words.
 PARTS, HOT_SHARE = 64, 1000
@@ -120,53 +120,48 @@ def _slice_stripes(data: np.ndarray, offsets: np.ndarray, langs: pa.Array, level
         return None
     codes, vocabulary = X.word_codes(data, starts, ends)
     coded = langs.dictionary_encode()
-    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    lang = np.asarray(coded.indices).astype(np.int64)[doc]
-    hashes = X.string_hashes(vocabulary)
-    pieces = np.cumsum(SEPARATORS[data], dtype=np.int32)[starts]
+    lang = np.repeat(np.asarray(coded.indices), np.diff(first))
+    pieces = np.searchsorted(np.flatnonzero(SEPARATORS[data]), starts)
+    del data, starts, ends
     joins = np.zeros(n, bool)  # whether the next word is in the same piece
-    joins[:-1] = (pieces[1:] == pieces[:-1]) & (doc[1:] == doc[:-1])
+    np.equal(pieces[1:], pieces[:-1], out=joins[:-1])
+    joins[first[first > 0] - 1] = False
+    del pieces
+    hashes = X.string_hashes(vocabulary)
     size = len(vocabulary)
     if level == 0:
         _, where, ids = np.unique(lang, return_index=True, return_inverse=True)
-        follow = codes + 1
-        split = np.ones(len(where), bool)
+        split, follow = np.ones(len(where), bool), codes
     else:
         grams = gram_hashes(hashes[codes], X.string_hashes(coded.dictionary)[lang], level)
-        whole = np.ones(len(grams), bool)
         for k in range(level - 1):
-            whole &= joins[k:k + len(grams)]
-        good = np.zeros(n, bool)
-        some = np.flatnonzero(whole)
-        good[some] = may_hold(known, grams[some])
-        at = np.flatnonzero(good)
+            joins[:n - 1 - k] &= joins[1:n - k]
+        # joins: a run of level + 1 words; it counts where the filter knows both runs of level words
+        at = np.flatnonzero(joins[:len(grams) - 1])
+        at = at[may_hold(known, grams[at])]
+        at = at[may_hold(known, grams[at + 1])]
         if not len(at):
             return None
-        goes_on = joins[at + level - 1]
-        goes_on[goes_on] = good[at[goes_on] + 1]
-        follow = np.zeros(len(at), np.int64)
-        follow[goes_on] = codes[at[goes_on] + level] + 1
-        ids = lang[at]
+        follow, ids = codes[at + level], lang[at].astype(np.int64)
         for k in range(level):
             _, where, ids = np.unique(ids * size + codes[at + k], return_index=True, return_inverse=True)
         where = at[where]
         split = np.isin(grams[where], hot)
-    keys, counts = np.unique(ids * (size + 1) + follow, return_counts=True)
-    of, follow = keys // (size + 1), keys % (size + 1)
-    part = np.zeros(len(keys), np.int64)
-    wide = split[of] & (follow > 0)
-    part[wide] = (hashes[follow[wide] - 1] % np.uint64(PARTS)).astype(np.int64)
-    order = np.lexsort((part, of))
-    of, follow, counts, part = of[order], follow[order], counts[order], part[order]
+        del grams, at
+    keys, counts = np.unique(ids * np.int64(size) + follow, return_counts=True)
+    of, follow = keys // size, keys % size
+    part = np.where(split[of], (hashes[follow] % np.uint64(PARTS)).astype(np.int64), 0)
+    if part.any():
+        order = np.lexsort((part, of))
+        of, follow, counts, part = of[order], follow[order], counts[order], part[order]
     new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (part[1:] != part[:-1])]))
     bounds = pa.array(np.append(new, len(of)).astype(np.int32))
-    nexts = vocabulary.take(pa.array(np.where(follow > 0, follow - 1, 0), mask=follow == 0)).cast(pa.string())
     place = where[of[new]]
     return pa.RecordBatch.from_arrays([
         coded.dictionary.take(pa.array(lang[place])).cast(pa.string()),
         _joined(vocabulary, codes, place, level).cast(pa.string()),
         pa.array(part[new].astype(np.int32)),
-        pa.ListArray.from_arrays(bounds, nexts),
+        pa.ListArray.from_arrays(bounds, vocabulary.take(pa.array(follow)).cast(pa.string())),
         pa.ListArray.from_arrays(bounds, pa.array(counts.astype(np.int64)))],
         ["lang", "prefix", "part", "nexts", "counts"])
 
@@ -187,8 +182,8 @@ def merged_stripes(docs: DataFrame, level: int, known=None, hot: np.ndarray | No
                    least: int = LEAST) -> DataFrame:
     """One row per part of a prefix's stripe: lang, prefix, part, total, best, entries.
 
-    ``total`` counts all occurrences, ``entries`` has (next, n) of those that occur ``least``
-    times or more and ``best`` the largest n among them (null if there is none).
+    ``entries`` has (next, n) of what follows ``least`` times or more and ``best`` the largest
+    n among them (null if there is none); ``total`` is the sum of all that was counted.
     """
     hot = np.zeros(0, np.uint64) if hot is None else hot
     dealt = docs.mapInArrow(_stripes(level, known, hot), STRIPE).repartition("lang", "prefix", "part")
@@ -196,7 +191,7 @@ def merged_stripes(docs: DataFrame, level: int, known=None, hot: np.ndarray | No
     # The partitioning of the stripes holds for both groupings, so neither shuffles.
     counts = dealt.select(*key, F.explode(F.arrays_zip("nexts", "counts")).alias("e")).groupBy(
         *key, F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("n"))
-    often = F.col("next").isNotNull() & (F.col("n") >= least)
+    often = F.col("n") >= least
     return counts.groupBy(*key).agg(
         F.sum("n").alias("total"), F.max(F.when(often, F.col("n"))).alias("best"),
         F.collect_list(F.when(often, F.struct("next", "n"))).alias("entries"))
@@ -246,23 +241,24 @@ def _ranked(levels: list[DataFrame], phrases: list[DataFrame], subsumed: int, to
     totals = levels[0].groupBy("lang").agg(F.sum("total").alias("words"))
     prefixes, inner = None, None
     for level in range(1, LONGEST):
-        ending = phrases[level].groupBy("lang", F.col("rest").alias("phrase")).agg(F.max("n").alias("longest"))
-        own = levels[level].groupBy("lang", F.col("prefix").alias("phrase")).agg(
-            F.sum("total").alias("count"), F.max("best").alias("best"))
-        around = own.join(ending, ["lang", "phrase"], "left").withColumn(
-            "best", F.greatest("best", "longest")).drop("longest")
+        own = levels[level].groupBy("lang", F.col("prefix").alias("phrase")).agg(F.max("best").alias("best"))
+        ending = phrases[level].groupBy("lang", F.col("rest").alias("phrase")).agg(F.max("n").alias("best"))
+        around = own.unionByName(ending)
         prefixes = around if prefixes is None else prefixes.unionByName(around)
         sized = phrases[level].withColumn("m", F.lit(level + 1))
         inner = sized if inner is None else inner.unionByName(sized)
+    prefixes = prefixes.filter(F.instr("phrase", " ") > 0).groupBy("lang", "phrase").agg(
+        F.max("best").alias("best"))
     whole = "decimal(38,0)"
     bounded = inner.join(prefixes, ["lang", "phrase"], "left")
     kept = bounded.filter(F.col("best").isNull() | (F.lit(100).cast(whole) * F.col("best").cast("decimal(20,0)")
                                                     < F.lit(subsumed).cast(whole) * F.col("n").cast("decimal(20,0)")))
     kept = materialize(kept.select("lang", "phrase", F.col("n").alias("a"), "m"), "phrases")
-    words = phrases[0].select("lang", "phrase", F.col("n").alias("count"))
-    longer = prefixes.select("lang", "phrase", "count").filter(F.instr("phrase", " ") > 0)
+    counts = phrases[0].select("lang", "phrase", F.col("n").alias("count"))
+    for level in range(1, LONGEST - 1):
+        counts = counts.unionByName(phrases[level].select("lang", "phrase", F.col("n").alias("count")))
     # A word may begin or end very many phrases: the counts are spread over salts.
-    known = words.unionByName(longer).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     cuts = kept.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("m") - 1))).withColumn(
         "first", F.expr("substring_index(phrase, ' ', k)")).withColumn(
         "rest", F.expr("substring_index(phrase, ' ', k - m)")).withColumn(

@@ -170,7 +170,7 @@ def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray
     flat = pa.LargeStringArray.from_buffers(
         len(starts), pa.py_buffer(bounds), pa.py_buffer(data[inside].tobytes()))
     coded = flat.dictionary_encode()
-    return np.asarray(coded.indices).astype(np.int64), coded.dictionary
+    return np.asarray(coded.indices), coded.dictionary
 
 
 def string_hashes(strings: pa.Array) -> np.ndarray:

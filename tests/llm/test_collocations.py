@@ -97,7 +97,7 @@ def test_stripes_are_split_by_the_next_word(spark):
                             .column(c).combine_chunks() for c in ("lang", "phrase")], 1)
     parts = C.merged_stripes(docs, 1, known, hot, least=1).filter("prefix = 'hot'")
     assert parts.count() > C.PARTS / 2
-    assert parts.groupBy().sum("total").first()[0] == 40 * 300  # the prefix's own count
+    assert parts.groupBy().sum("total").first()[0] == 40 * 300
     whole = C.merged_stripes(docs, 1, known, least=1).filter("prefix = 'hot'").collect()
     assert len(whole) == 1 and whole[0]["total"] == 40 * 300 and whole[0]["best"] == max(
         e["n"] for e in whole[0]["entries"])
