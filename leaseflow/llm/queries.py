@@ -11,6 +11,7 @@ import public_tokenizers
 from leaseflow.llm import (
     collocations,
     exact_dedup,
+    lexical_search,
     mixing,
     ngram_join,
     packing,
@@ -242,3 +243,33 @@ SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
 FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000""")
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op11_lexical_search", r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sized AS (SELECT doc_id, terms, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS words FROM sized),
+counts AS (
+  SELECT doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counts, whole GROUP BY term, n_docs),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT a.item_id, c.doc_id, sum(w.w * ((1000000000 * c.tf)
+    // (1000 * c.tf + 8 * (10 + (90 * c.n * n_docs) // words))))::BIGINT AS score
+  FROM asked a JOIN weights w ON w.term = a.term JOIN counts c ON c.term = a.term, whole
+  GROUP BY a.item_id, c.doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place
+  FROM scored WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 10""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
