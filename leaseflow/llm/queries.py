@@ -15,6 +15,7 @@ from leaseflow.llm import (
     mixing,
     ngram_join,
     packing,
+    secret_scan,
     substring_dedup,
     token_counts,
     toxicity,
@@ -273,3 +274,9 @@ ranked AS (
 SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 10""")
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_secret_scan")
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find_secrets(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")))
