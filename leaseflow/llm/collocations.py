@@ -186,7 +186,7 @@ def merged_stripes(docs: DataFrame, level: int, known=None, hot: np.ndarray | No
     n among them (null if there is none); ``total`` is the sum of all that was counted.
     """
     hot = np.zeros(0, np.uint64) if hot is None else hot
-    dealt = docs.mapInArrow(_stripes(level, known, hot), STRIPE).repartition("lang", "prefix", "part")
+    dealt = docs.mapInArrow(X.frugal(_stripes(level, known, hot)), STRIPE).repartition("lang", "prefix", "part")
     key = ["lang", "prefix", "part"]
     # The partitioning of the stripes holds for both groupings, so neither shuffles.
     counts = dealt.select(*key, F.explode(F.arrays_zip("nexts", "counts")).alias("e")).groupBy(

@@ -126,7 +126,7 @@ def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kind = rows.schema["doc_id"].dataType.simpleString()
     for attempt in range(8):
         key = attempt.to_bytes(4, "little")
-        prints = rows.select("text").mapInArrow(_chunks(key, width), "print binary, chunk binary")
+        prints = rows.select("text").mapInArrow(X.frugal(_chunks(key, width)), "print binary, chunk binary")
         shared = (prints.repartition("print").groupBy("print", "chunk").agg(F.lit(1).alias("one"))
                   .groupBy("print").agg(F.count("*").alias("contents")).filter("contents > 1"))
         if shared.limit(1).count() == 0:
@@ -135,7 +135,7 @@ def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     else:
         raise ValueError("chunk fingerprints keep colliding")
     return materialize(rows.mapInArrow(
-        _recipes(key, width),
+        X.frugal(_recipes(key, width)),
         f"doc_id {kind}, row_key bigint, text_sha256 string, recipe binary"), "recipes")
 
 

@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"),
                          F.xxhash64(text).alias("row_key"))
     signed = materialize(source.mapInArrow(
-        _signatures(n, bands, rows, breaks, fold),
+        X.frugal(_signatures(n, bands, rows, breaks, fold)),
         "doc_id bigint, row_key bigint, k0 bigint, k1 bigint, n_runs bigint, bands array<bigint>"),
         "signatures")
     at = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row_key"))
@@ -265,7 +265,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         units.repartition("family", "i", "j")
         .dropDuplicates(["family", "i", "j", "rep", "row_key"])
         .sortWithinPartitions("family", "i", "j", "rep", "row_key")
-        .mapInArrow(_units(n, threshold, breaks, fold),
+        .mapInArrow(X.frugal(_units(n, threshold, breaks, fold)),
                     "rep bigint, row_key bigint, root bigint, links bigint"), "links")
     counted = verified.groupBy("rep", "row_key").agg(F.sum("links").alias("links"))
     linked = components(verified.select("rep", "root").unionByName(ties), "rep", "root"

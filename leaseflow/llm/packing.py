@@ -32,7 +32,8 @@ from leaseflow.sources.scratch import materialize
 WINDOW, END_ID, OPEN_WINDOWS = 4096, 2, 256
 #: Leftover pieces packed by one task, on average.
 GROUP_PIECES = 50_000
-CACHED_RUNS, CACHED_BYTES = 900_000, 64
+#: Different runs a worker remembers, with a length bound: some 40 MB.
+CACHED_RUNS, CACHED_BYTES = 250_000, 64
 
 _encoders: dict[str, tuple[object, dict[bytes, bytes]]] = {}
 
@@ -205,7 +206,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     schema = (f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
               "sequence_id bigint, offset bigint, leftover boolean" + ", ids binary" * with_ids)
     placed = materialize(source.mapInArrow(
-        _pieces(tokenizer, window, end_id, most_open, with_ids), schema), "pieces")
+        X.frugal(_pieces(tokenizer, window, end_id, most_open, with_ids)), schema), "pieces")
     rest = placed.filter("leftover")
     groups = max(1, -(-rest.count() // GROUP_PIECES))
     # Sequence numbers follow from the order within a task, so the result is stored.

@@ -6,7 +6,8 @@ end, ``offsets`` the first byte of each text and the end of the last. Nulls read
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,8 @@ _BYTES = stream(1, 256)
 _BASE = int(stream(2, 1)[0]) | 1
 SHINGLE_BASE = np.uint64(int(stream(3, 1)[0]) | 1)
 _powers: dict[int, np.ndarray] = {}
+#: Powers kept by a worker for each base, and bytes hashed at a time.
+KEPT_POWERS = 1 << 18
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -54,10 +57,33 @@ def powers(base: int, n: int) -> np.ndarray:
     if have is None or len(have) < n:
         full = np.full(max(n, 1 << 16), base, np.uint64)
         full[0] = 1
-        have = _powers[base] = np.cumprod(full)
+        have = np.cumprod(full)
+        if len(have) <= KEPT_POWERS:
+            _powers[base] = have
     return have[:n]
 
 
+def release() -> None:
+    """Give freed memory back: a worker goes on to other work, beside a large JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def frugal(run: Task) -> Task:
+    """The same task function, giving memory back when its partition is done."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return wrapped
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES
            ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of a batch with about ``limit`` bytes of text: rows, bytes, offsets."""
@@ -105,7 +131,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     inverse = pow(_BASE, -1, 1 << 64)
     at = 0
     while at < len(starts):
-        to = max(int(np.searchsorted(ends, starts[at] + SLICE_BYTES, "right")), at + 1)
+        to = max(int(np.searchsorted(ends, starts[at] + KEPT_POWERS - 1, "right")), at + 1)
         low, high = int(starts[at]), int(ends[to - 1])
         total = np.zeros(high - low + 1, np.uint64)
         np.cumsum(table[data[low:high]] * powers(_BASE, high - low), out=total[1:])

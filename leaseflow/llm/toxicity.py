@@ -277,7 +277,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
                 ["doc_id", "lang", "score", "rejected"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, lang string, score double, rejected boolean")
+    return rows.mapInArrow(X.frugal(run), f"doc_id {kind}, lang string, score double, rejected boolean")
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -288,4 +288,4 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text", lang: str = "l
             least = np.array([model.threshold(v) for v in batch.column(lang).to_pylist()])
             yield batch.filter(pa.array(~(model.trained & (scores >= least)), pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(X.frugal(run), docs.schema)
