@@ -15,6 +15,7 @@ from leaseflow.functions import fields as X
 from leaseflow.operators import checks as K
 from leaseflow.operators import dimensions as DIM
 from leaseflow.operators import enrich as E
+from leaseflow.operators import lateness as LT
 from leaseflow.operators import lifecycle as L
 from leaseflow.operators import replay as R
 from leaseflow.operators import summaries as M
@@ -23,6 +24,7 @@ from leaseflow.plans import oracle as O
 from leaseflow.plans import stored as SD
 from leaseflow.sources import changes as C
 from leaseflow.sources import derived as T
+from leaseflow.sources import snapshots as SN
 from leaseflow.sources import tables as ST
 from leaseflow.sources.scratch import materialize, scratch_path
 
@@ -115,6 +117,50 @@ for _name in W.SPECS:
     register(_name, f"SELECT * FROM {_name}")(partial(window_table, name=_name))
 
 
+# --- G12, G18: what the watermark drops -----------------------------------------------------
+
+# Facts arrive in the order of their own time, up to a minute late.
+JITTER = 61
+
+
+def arriving_facts(spark: SparkSession, sf_dir: str, fact: str) -> DataFrame:
+    time = S.FACT_TIME[fact]
+    seconds = F.expr(f"timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', {time})")
+    return set_fact(spark, sf_dir, fact).withColumn("arrival", seconds + F.col("id") * 7919 % JITTER)
+
+
+def late_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spec = W.SPECS[name]
+    return LT.late_rows(arriving_facts(spark, sf_dir, spec.fact), spec, ["arrival", "id"])
+
+
+def _judged_sql(spec: W.WindowSpec) -> str:
+    time = S.FACT_TIME[spec.fact]
+    there = " AND ".join(f"{c} IS NOT NULL" for c in [time, *spec.required])
+    return f"""(SELECT *, stt + INTERVAL 10 SECOND AS edt FROM (
+  SELECT *, time_bucket(INTERVAL '10 seconds', {time}) AS stt,
+         max({time}) OVER (ORDER BY arrival, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+  FROM (SELECT *, epoch({time})::BIGINT + id * 7919 % {JITTER} AS arrival
+        FROM {spec.fact} WHERE {there})))"""
+
+
+for _name, _spec in W.SPECS.items():
+    register(f"late_rows_{_name}", f"""
+SELECT * FROM {_judged_sql(_spec)} WHERE edt <= seen - INTERVAL 5 SECOND""")(partial(late_rows, name=_name))
+
+
+@register("on_time_dws_lease_sign_win", f"""
+SELECT stt, edt, stt::DATE AS cur_date, count(*) AS apply_count,
+       sum(apply_amount)::DECIMAL(19,2) AS apply_amount, sum(reply_amount)::DECIMAL(19,2) AS reply_amount,
+       sum(credit_amount)::DECIMAL(19,2) AS credit_amount
+FROM {_judged_sql(W.SPECS["dws_lease_sign_win"])}
+WHERE seen IS NULL OR edt > seen - INTERVAL 5 SECOND GROUP BY stt, edt""")
+def on_time_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A window table without what arrived too late for its window."""
+    name = "dws_lease_sign_win"
+    return LT.window_table(name, arriving_facts(spark, sf_dir, W.SPECS[name].fact), {}, ["arrival", "id"])
+
+
 @register("missing_event_time", """
 SELECT time_bucket(INTERVAL '10 seconds', ts) AS stt,
        time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds' AS edt,
@@ -312,6 +358,61 @@ def retain_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.retain_days(facts, AS_OF, ST.FACT_DAYS)
 
 
+@register("retain_days_windows", f"""
+SELECT * REPLACE (apply_count + (extract(day FROM cur_date) % 2)::BIGINT AS apply_count)
+FROM dws_credit_credit_add_win
+WHERE cur_date BETWEEN DATE '{AS_OF}' - 100 AND DATE '{AS_OF}' + 3""")
+def retain_days_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored windows, those of odd days sent again with a count more, then expired by day:
+    only the manifest changes, and readers open the day folders inside the range."""
+    name = "dws_credit_credit_add_win"
+    first = materialize(window_table(spark, sf_dir, name), name)
+    stored = SN.SnapshotTable(spark, scratch_path(spark, "windows"), "cur_date")
+    stored.write(first, ST.Batch("daily", 0))
+    again = first.filter(F.dayofmonth("cur_date") % 2 == 1)
+    stored.write(again.withColumn("apply_count", F.col("apply_count") + 1), ST.Batch("daily", 1))
+    stored.retain(AS_OF, ST.WINDOW_DAYS)
+    return stored.latest(first.schema, W.SPECS[name].table_key).select(*first.columns)
+
+
+_UPSERTS = 5
+_UPSERT_SPAN = 2_000_007  # a fifth of the arrival numbers
+_FACILITY = ", ".join(c for c, _ in S.RAW["credit_facility"])
+
+
+def _latest_sql(where: str, reader: str) -> str:
+    return f"""
+SELECT {_FACILITY}, op, '{reader}' AS reader FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn
+  FROM facility_changes WHERE {where}) WHERE rn = 1"""
+
+
+@register("compact_then_upsert", _latest_sql("TRUE", "now") + " UNION ALL" + _latest_sql(
+    f"seq < {3 * _UPSERT_SPAN}", "before_fold"))
+def compact_then_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A changed table in five batches, folded after the third; the last batch is sent twice
+    and a folded one again. A reader that opened the table before the fold sees it as it was."""
+    rows = T.replay_changes(spark, sf_dir, "credit_facility")
+    stored = SN.SnapshotTable(spark, scratch_path(spark, "upserts"))
+    schema = S.T.StructType([f for f in rows.schema.fields])
+
+    def send(number: int) -> None:
+        part = rows.filter(F.floor(F.col("seq") / _UPSERT_SPAN) == number)
+        stored.write(part, ST.Batch("daily", number))
+
+    def visible(reader: str) -> DataFrame:
+        return stored.latest(schema, ["id"], ["seq"]).select(
+            *[c for c, _ in S.RAW["credit_facility"]], "op", F.lit(reader).alias("reader"))
+
+    for number in range(3):
+        send(number)
+    before = visible("before_fold")
+    stored.fold(schema, ["id"], ["seq"])
+    for number in (3, 4, 4, 1):
+        send(number)
+    return visible("now").unionByName(before)
+
+
 @register("append_fact_by_day", """
 SELECT f.*, f.reject_time::DATE AS dt FROM dwd_audit_reject f, (VALUES (0), (1)) b(batch_id)""")
 def append_fact_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
