@@ -131,6 +131,22 @@ def enrich(grouped: DataFrame, spec: WindowSpec, dims: Mapping[str, DataFrame])
     return grouped.select(*spec.columns)
 
 
+def partial_windows(facts: DataFrame, spec: WindowSpec, epoch0: bool = False) -> DataFrame:
+    """What some facts add to their windows: bounds, group keys, count and sums."""
+    return with_bounds(aggregate(measured_rows(facts, spec, epoch0), spec))
+
+
+def summed_windows(partials: DataFrame, touched: DataFrame, spec: WindowSpec) -> DataFrame:
+    """Windows of the touched groups (bounds and keys, each once) from all partial sums."""
+    group = [*BOUNDS, *spec.keys]
+    names = {c: f"_{c}" for c in group}
+    same = [F.col(c) == F.col(names[c]) if c in BOUNDS else F.col(c).eqNullSafe(F.col(names[c]))
+            for c in group]
+    met = partials.join(touched.select(group).withColumnsRenamed(names), same, "left_semi")
+    return met.groupBy(*group).agg(F.sum("apply_count").alias("apply_count"),
+                                   *[F.sum(a).cast(S.MONEY).alias(a) for a in spec.amounts])
+
+
 def window_table(name: str, facts: DataFrame, dims: Mapping[str, DataFrame],
                  epoch0: bool = False) -> DataFrame:
     """One window table from its stored facts (batch: every window is complete)."""

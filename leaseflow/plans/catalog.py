@@ -22,6 +22,7 @@ from leaseflow.operators import summaries as M
 from leaseflow.operators import windows as W
 from leaseflow.plans import oracle as O
 from leaseflow.plans import stored as SD
+from leaseflow.plans.warehouse import Warehouse
 from leaseflow.sources import changes as C
 from leaseflow.sources import derived as T
 from leaseflow.sources import snapshots as SN
@@ -117,6 +118,29 @@ for _name in W.SPECS:
     register(_name, f"SELECT * FROM {_name}")(partial(window_table, name=_name))
 
 
+
+# --- G16, G17: windows of a batch -----------------------------------------------------------
+
+def incremental_windows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A window table loaded in two batches. The second is first sent with all facts, by
+    mistake, and then as it should be, which takes the wrong sums back."""
+    fact = W.SPECS[name].fact
+    facts, raw = materialize(set_fact(spark, sf_dir, fact), fact), T.raw_tables(spark, sf_dir)
+    house = Warehouse(spark, scratch_path(spark, "deltas"), "delta")
+    second = F.col("id") % 3 == 2
+    for number, rows in ((0, facts.filter(~second)), (1, facts), (1, facts.filter(second))):
+        stored = rows.withColumn(R.ORDER, F.lit(None).cast("bigint"))
+        ST.append_fact_by_day(stored, f"{house.root}/dwd/{fact}", S.FACT_TIME[fact], ST.Batch("delta", number))
+        house.load_touched_windows(number, [name], raw)
+    return house.touched_window(name)
+
+
+# One table only: each load writes a folder a day, and the given tables have thousands of days
+# with a row or two, so a load is slow here whatever it computes.
+register("incremental_dws_lease_sign_win", "SELECT * FROM dws_lease_sign_win")(
+    partial(incremental_windows, name="dws_lease_sign_win"))
+
+
 # --- G12, G18: what the watermark drops -----------------------------------------------------
 
 # Facts arrive in the order of their own time, up to a minute late.

@@ -1,7 +1,8 @@
 """The whole warehouse as batch runs: logs in, stored layers out.
 
 Layers live under one root: ``chg/`` (decoded lifecycle changes), ``dim/``, ``dwd/`` (facts),
-``dws/`` (windows), ``ads/`` (views), ``rejects/`` (counts of rows without a key). Every step
+``dws/`` (windows), ``ads/`` (views), ``rejects/`` (counts of rows without a key), and with
+:meth:`Warehouse.load_touched_windows` ``sums/`` and ``touched/`` beside ``dws/``. Every step
 reads what the step before it stored, so a run that stops can be repeated with the same batch
 number.
 
@@ -15,7 +16,7 @@ batch, the batches after it are loaded again.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,6 +29,7 @@ from leaseflow.operators import windows as W
 from leaseflow.operators.skew import HOT_ROWS
 from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
+from leaseflow.sources.snapshots import SnapshotTable
 from leaseflow.sources.scratch import materialize
 
 # Marks the rows of the batch that is being loaded.
@@ -113,6 +115,29 @@ class Warehouse:
             rows = W.window_table(name, self.fact(spec.fact), dims)
             ST.replace_aggregate(rows, f"{self.root}/dws/{name}", self._batch(batch_id))
 
+    def load_touched_windows(self, batch_id: int, names: Iterable[str] = W.SPECS,
+                             dims: Mapping[str, DataFrame] | None = None) -> None:
+        """The windows that a batch's facts touch, instead of all.
+
+        What the batch adds to each window is stored as partial sums, in place of what an
+        earlier attempt stored: that takes its sums back. The groups that either attempt
+        touched are summed over the partial sums of all batches and written with names as
+        they are known now. Facts of older batches are not read again. These tables have a
+        manifest (``sums/``, ``touched/``), apart from those of :meth:`load_windows`.
+        """
+        dims = self.dimensions() if dims is None else dims
+        for name in names:
+            spec = W.SPECS[name]
+            own = self._marked(self._stored_facts(spec.fact), batch_id).filter(MINE)
+            added = W.partial_windows(own, spec)
+            sums, group = SnapshotTable(self.spark, f"{self.root}/sums/{name}"), [*W.BOUNDS, *spec.keys]
+            before = self._marked(sums.rows(added.schema), batch_id).filter(MINE).select(*group)
+            sums.write(added, self._batch(batch_id))
+            stored = sums.rows(added.schema)
+            touched = self._marked(stored, batch_id).filter(MINE).select(*group).unionByName(before).distinct()
+            rows = W.enrich(W.summed_windows(stored, touched, spec), spec, dims)
+            self.touched_table(name).write(rows, self._batch(batch_id))
+
     def refresh_views(self) -> None:
         """Recompute all summary views from the stored facts and dimensions."""
         facts, dims = {f: self.fact(f) for f in S.FACTS}, self.dimensions()
@@ -174,6 +199,19 @@ class Warehouse:
         stored = self.spark.read.parquet(f"{self.root}/dws/{name}")
         return ST.latest_by_key(stored, W.SPECS[name].table_key).select(*W.SPECS[name].columns)
 
+    def touched_table(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root}/touched/{name}", "cur_date")
+
+    def window_schema(self, name: str) -> S.T.StructType:
+        empty = {t: self.spark.createDataFrame([], S.raw_schema(t)) for t in S.DIMENSIONS}
+        facts = self.spark.createDataFrame([], S.FACTS[W.SPECS[name].fact])
+        return W.window_table(name, facts, empty).schema
+
+    def touched_window(self, name: str) -> DataFrame:
+        """A window table as :meth:`load_touched_windows` keeps it."""
+        return self.touched_table(name).latest(self.window_schema(name), W.SPECS[name].table_key).select(
+            *W.SPECS[name].columns)
+
     def view(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/ads/{name}")
 

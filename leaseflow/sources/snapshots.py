@@ -238,6 +238,10 @@ class SnapshotTable:
             rows = rows.filter(inside | F.col(self.day).isNull() if undated else inside)
         return rows
 
+    def whole(self) -> DataFrame:
+        """The current version of a table that is replaced as a whole."""
+        return self.spark.read.parquet(*[f"{self.path}/data/{e.folder}" for e in self.manifest().entries])
+
     def latest(self, schema: T.StructType, keys: list[str], order: list[str] | None = None,
                version: int | None = None) -> DataFrame:
         """The visible row of each key."""

@@ -20,6 +20,7 @@ from leaseflow.operators import lifecycle as L
 from leaseflow.operators import replay as R
 from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
+from leaseflow.sources.shipping import ship
 from leaseflow.streaming import rules
 
 HOUR_MS = 3_600_000
@@ -191,8 +192,9 @@ def start(tagged: DataFrame, facts: list[str], table_root: str, send: ST.Send,
     """Run a fact stream; the default trigger is the usual ten-second micro-batch.
 
     Its checkpoint names the writer: a new checkpoint numbers its batches afresh, in
-    folders of its own.
+    folders of its own. Workers get the package's sources with the application.
     """
+    ship(tagged.sparkSession)
     write = dual_write(facts, table_root, send, ST.stream_writer(checkpoint))
     return (tagged.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).outputMode("append")
