@@ -2,26 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
+from leaseflow.sources.shipping import ship
 
-from pyspark.sql import SparkSession
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send the package's sources with the application, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parents[1]
-    handle, name = tempfile.mkstemp(suffix=".zip", prefix=f"{package.name}-")
-    os.close(handle)
-    with zipfile.ZipFile(name, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(name)
-    _shipped.add(context.applicationId)
+__all__ = ["ship"]
