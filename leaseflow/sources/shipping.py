@@ -24,4 +24,7 @@ def ship(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
     context.addPyFile(name)
+    # The process that plans stateful operators runs beside the driver and reads no shipped files.
+    known = context.environment.get("PYTHONPATH")
+    context.environment["PYTHONPATH"] = os.pathsep.join([known, name] if known else [name])
     _shipped.add(context.applicationId)

@@ -129,6 +129,8 @@ def credit_rows(produce_topic: DataFrame, contract_log: DataFrame) -> DataFrame:
 # --- stateful operators ------------------------------------------------------------
 
 def _keyed(rows: DataFrame, key: str, processor: KeyedRules, facts: list[str]) -> DataFrame:
+    # The stateful function takes along the sources known when it is built, so they come first.
+    ship(rows.sparkSession)
     return rows.groupBy(key).transformWithState(
         statefulProcessor=processor, outputStructType=output_schema(facts),
         outputMode="Append", timeMode="ProcessingTime" if processor.ttl_ms else "None")
@@ -192,9 +194,8 @@ def start(tagged: DataFrame, facts: list[str], table_root: str, send: ST.Send,
     """Run a fact stream; the default trigger is the usual ten-second micro-batch.
 
     Its checkpoint names the writer: a new checkpoint numbers its batches afresh, in
-    folders of its own. Workers get the package's sources with the application.
+    folders of its own.
     """
-    ship(tagged.sparkSession)
     write = dual_write(facts, table_root, send, ST.stream_writer(checkpoint))
     return (tagged.writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).outputMode("append")
