@@ -1,15 +1,17 @@
 """An FM-index over sequences of words, in numpy.
 
-Suffixes are sorted by their first ``depth`` symbols (a context-bound Burrows-Wheeler
-transform: backward search is right for patterns up to that length). The transform is kept as
-a wavelet matrix, one packed bit vector with sampled ranks for each bit of a symbol, and all
-patterns are searched side by side.
+Suffixes are sorted once; what stays is the Burrows-Wheeler transform as a wavelet matrix, one
+packed bit vector with sampled ranks for each bit of a symbol, and a sample of the places. All
+patterns are searched side by side, and rows found are located by walking back to a sample.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+#: One place in so many is kept.
+SAMPLE = 8
+
 
 class Bits:
     """A packed bit vector with ranks."""
@@ -51,48 +53,95 @@ class WaveletMatrix:
         """How often each symbol occurs before the place beside it."""
         return self._walk(symbols, at) - self.begin[symbols]
 
+    def access(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol at each place, and how often it occurs before."""
+        symbol = np.zeros(len(at), np.int64)
+        for shift, bits, zeros in self.levels:
+            ones = bits.ones(at)
+            one = bits.ones(at + 1) > ones
+            symbol |= one.astype(np.int64) << shift
+            at = np.where(one, zeros + ones, at - ones)
+        return symbol, at - self.begin[symbol]
+
 
 class FMIndex:
-    """Index of a text of symbols (0 separates its parts)."""
+    """Index of a text of symbols; 0 ends each of its parts, and the text.
 
-    def __init__(self, text: np.ndarray, depth: int):
-        self.depth = depth
+    What is kept: the wavelet matrix of the transform, where each symbol begins, and for one
+    place in ``sample`` (and each first place of a part) its place in the text.
+    """
+
+    def __init__(self, text: np.ndarray, sample: int = SAMPLE):
         sigma = int(text.max()) + 1
-        self.classes = _ranks(text, depth)
-        self.order = np.argsort(self.classes, kind="stable")
-        self.matrix = WaveletMatrix(text[self.order - 1], sigma)
+        order = _suffix_order(text)
+        self.size = len(text)
+        self.matrix = WaveletMatrix(text[order - 1], sigma)
         self.smaller = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
-
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Backward search of (n, depth) patterns: rows [low, high) and the matched length.
-
-        A search ends early once a single row is left (the pattern's own occurrence, for
-        patterns taken from the text) or none; ``length`` says how far it came.
+        ends = np.flatnonzero(text == 0)
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        inside = np.arange(len(text)) - np.repeat(begins, np.diff(np.append(begins, len(text))))
+        marked = (inside % sample == 0)[order]
+        self.marks = Bits(marked)
+        self.places = order[marked].astype(np.int32)
+
+    def search(self, patterns: np.ndarray, alone: int = 1
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Backward search of (n, m) patterns: rows [low, high) and the matched length.
+
+        The length is the matching statistic at the pattern's end, cut off at m: how many
+        words before that end occur in the text. A search ends early once at most ``alone``
+        rows are left (1: the pattern's own occurrence, for patterns taken from the text).
         """
         n = len(patterns)
-        low, high = np.zeros(n, np.int64), np.full(n, len(self.order), np.int64)
+        low, high = np.zeros(n, np.int64), np.full(n, self.size, np.int64)
         length = np.zeros(n, np.int64)
         live = np.arange(n)
-        for k in range(self.depth - 1, -1, -1):
+        for k in range(patterns.shape[1] - 1, -1, -1):
             c = patterns[live, k]
             base = self.smaller[c]
             a = base + self.matrix.rank(c, low[live])
             b = base + self.matrix.rank(c, high[live])
             low[live], high[live] = a, b
             length[live] += b > a
-            live = live[b - a > 1]
+            live = live[b - a > alone]
             if not len(live):
                 break
         return low, high, length
 
-
-def _ranks(text: np.ndarray, depth: int) -> np.ndarray:
-    """Rank of each place by its next ``depth`` symbols (0 past the end), by doubling."""
-    rank, have = np.unique(text, return_inverse=True)[1].astype(np.int64) + 1, 1
-    while have < depth:
-        step = min(have, depth - have)
+    def locate(self, rows: np.ndarray) -> np.ndarray:
+        """Place in the text of each row: steps back to a sampled place, counted."""
+        at, steps = rows.astype(np.int64), np.zeros(len(rows), np.int64)
+        place = np.empty(len(rows), np.int64)
+        live = np.arange(len(rows))
+        while len(live):
+            here = at[live]
+            number = self.marks.ones(here)
+            done = self.marks.ones(here + 1) > number
+            place[live[done]] = self.places[number[done]] + steps[live[done]]
+            live, here = live[~done], here[~done]
+            symbol, before = self.matrix.access(here)
+            at[live] = self.smaller[symbol] + before
+            steps[live] += 1
+        return place
+
+
+def _suffix_order(text: np.ndarray) -> np.ndarray:
+    """Places by the text that follows them, by doubling; ends of parts are ordered by place,
+    so no suffix is compared beyond its part and all differ."""
+    ends = np.flatnonzero(text == 0)
+    rank = text + len(ends) - 1
+    rank[ends] = np.arange(len(ends))
+    have, kinds = 1, 0
+    while True:
+        order = np.argsort(rank, kind="stable")
+        ordered = rank[order]
+        new = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+        kinds = int(new[-1]) + 1
+        if kinds == len(text):
+            return order
+        rank = np.empty_like(rank)
+        rank[order] = new
         after = np.zeros_like(rank)
-        after[:-step] = rank[step:]
-        rank = np.unique(rank * (rank.max() + 1) + after, return_inverse=True)[1].astype(np.int64) + 1
-        have += step
-    return rank
+        after[:-have] = rank[have:]
+        rank = rank * kinds + after
+        have *= 2

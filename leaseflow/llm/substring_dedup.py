@@ -1,8 +1,9 @@
 """Substring dedup: passages that also start in a document with a smaller id are removed.
 
-The core is an FM-index per shard: documents are streamed against the shard's index, backward
-search over its wavelet matrix gives matching statistics cut off at the window length, and
-intervals that reach it are reported with the smallest document that has them.
+The core is a compressed FM-index per shard: documents are streamed against the shard's index,
+backward search over its wavelet matrix gives matching statistics cut off at the window length,
+and the rows of intervals that reach it are located by the index's sampled places; the smallest
+document among them is reported.
 
 Shards are made by content, so that no document meets every shard:
 
@@ -17,8 +18,9 @@ Shards are made by content, so that no document meets every shard:
    are removed.
 
 Hot anchors: where many classes of one slice share an anchor, two rows of it are shuffled
-instead of all, and everywhere its windows are dealt one by one by their own hash, so that a
-line that a third of the documents share spreads over all shards by what follows it.
+instead of all. The windows of such an anchor, and of one that is spread thinly over many
+slices, are dealt one by one by their own hash, so that a line that a third of the documents
+share spreads over all shards by what follows it.
 
 Rules: words are runs of bytes other than ASCII white space, kept as they are; null counts as
 empty; rows with a null id lose nothing and remove nothing; rows that share an id don't remove
@@ -38,11 +40,13 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from leaseflow.llm import text as X
 from leaseflow.llm.fm_index import FMIndex
-from leaseflow.sources.scratch import materialize
+from leaseflow.sources.scratch import discard, materialize, store
 
 WINDOW, ANCHOR = 13, 7
 #: Classes of one slice that share an anchor, from which it counts as hot.
 HOT = 16
+#: Rows of one anchor from all slices, from which it counts as hot too.
+SPREAD = 4096
 #: Words indexed together.
 SHARD_WORDS = 200_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
@@ -157,9 +161,13 @@ def _segments(part: Slice, wanted: np.ndarray, hot: np.ndarray
     return first, windows, key, content
 
 
-def _stretches(window: int, anchor: int, contents: bool):
-    """Candidate stretches of documents with their answered anchors: contents (one of each a
-    slice, with its smallest document) or places."""
+STRETCHES = ("key bigint, content bigint, doc_id bigint, row_key bigint, start bigint, "
+             "many boolean, words binary")
+
+
+def _stretches(window: int, anchor: int):
+    """Candidate stretches of documents with their answered anchors, each with its place; the
+    smallest document of each content in a slice has its words too, and whether it is alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in X.slices(batch, "text"):
@@ -176,33 +184,34 @@ def _stretches(window: int, anchor: int, contents: bool):
                     part, np.isin(mine, known), np.isin(mine, known[is_hot]))
                 if not len(first):
                     continue
-                ids = rows.column("doc_id").to_numpy()[part.text_of[first]]
-                if contents:
-                    order = np.lexsort((ids, content, key))
-                    once = np.concatenate([[True], (np.diff(key[order]) != 0) | (np.diff(content[order]) != 0)])
-                    pick = order[once]
-                    # Sorted by document last: a content has several if its ends differ.
-                    last = order[np.append(np.flatnonzero(once)[1:], len(order)) - 1]
-                    joined = [part.joined(a, a + w + window - 1) for a, w in
-                              zip(first[pick].tolist(), windows[pick].tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[pick].view(np.int64)), pa.array(content[pick].view(np.int64)),
-                         pa.array(ids[pick]), pa.array(ids[pick] != ids[last]),
-                         pa.array(joined, pa.binary())],
-                        ["key", "content", "doc_id", "many", "words"])
-                else:
-                    place = first - part.first[part.text_of[first]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(ids),
-                         rows.column("row_key").take(pa.array(part.text_of[first])), pa.array(place)],
-                        ["key", "content", "doc_id", "row_key", "start"])
+                texts = part.text_of[first]
+                ids = rows.column("doc_id").to_numpy()[texts]
+                order = np.lexsort((ids, content, key))
+                once = np.concatenate([[True], (np.diff(key[order]) != 0) | (np.diff(content[order]) != 0)])
+                pick = order[once]
+                # Sorted by document last: a content has several if its ends differ.
+                last = order[np.append(np.flatnonzero(once)[1:], len(order)) - 1]
+                many = np.zeros(len(first), bool)
+                many[pick] = ids[pick] != ids[last]
+                words: list[bytes | None] = [None] * len(first)
+                for at, low, n in zip(pick.tolist(), first[pick].tolist(), windows[pick].tolist(), strict=True):
+                    words[at] = part.joined(low, low + n + window - 1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(content.view(np.int64)), pa.array(ids),
+                     rows.column("row_key").take(pa.array(texts)),
+                     pa.array(first - part.first[texts]), pa.array(many), pa.array(words, pa.binary())],
+                    ["key", "content", "doc_id", "row_key", "start", "many", "words"])
     return run
 
 
 def shard_answers(contents: list[bytes], ids: np.ndarray, window: int
                   ) -> tuple[list[np.ndarray], list[bool]]:
     """For each content, given with its smallest document: the smallest document of each of
-    its windows, and whether any window is found elsewhere in the shard."""
+    its windows, and whether any window is found elsewhere in the shard.
+
+    Only the index answers: rows of an interval that reaches the window's length are located
+    in the text, once for all windows that end in the same interval.
+    """
     words = [c.split(b" ") for c in contents]
     lengths = np.array([len(w) for w in words])
     symbols = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode().indices
@@ -210,18 +219,20 @@ def shard_answers(contents: list[bytes], ids: np.ndarray, window: int
     ends = np.cumsum(lengths + 1)
     begins = ends - lengths - 1
     text = np.zeros(ends[-1], np.int64)
-    owner = np.repeat(np.arange(len(words)), lengths + 1)
     text[np.setdiff1d(np.arange(len(text)), ends - 1, assume_unique=True)] = symbols.to_numpy() + 1
-    index = FMIndex(text, window)
+    index = FMIndex(text)
     counts = lengths - window + 1
     starts = np.repeat(begins - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
     low, high, length = index.search(text[starts[:, None] + np.arange(window)])
     found = (length == window) & (high - low > 1)
-    # A full-length interval is a whole class of places; its smallest document is taken once.
-    head = np.flatnonzero(np.diff(index.classes[index.order], prepend=-1))
-    least = np.minimum.reduceat(ids[owner[index.order]], head)
-    answer = ids[owner[starts]].copy()
-    answer[found] = least[np.searchsorted(head, low[found], "right") - 1]
+    answer = np.repeat(ids, counts)
+    if found.any():
+        heads, once, which = np.unique(low[found], return_index=True, return_inverse=True)
+        sizes = high[found][once] - heads
+        at = np.cumsum(sizes) - sizes
+        rows = np.repeat(heads - at, sizes) + np.arange(sizes.sum())
+        owner = np.searchsorted(begins, index.locate(rows), "right") - 1
+        answer[found] = np.minimum.reduceat(ids[owner], at)[which]
     at = np.concatenate([[0], np.cumsum(counts)])
     spans = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
     return [answer[a:b] for a, b in spans], [bool(found[a:b].any()) for a, b in spans]
@@ -296,7 +307,8 @@ def _lengths(lists: pa.ListArray) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT,
-                   shard_words: int = SHARD_WORDS, with_text: bool = False) -> DataFrame:
+                   shard_words: int = SHARD_WORDS, with_text: bool = False,
+                   spread: int = SPREAD) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256; integer ids.
 
     ``with_text`` adds the kept words joined by spaces as ``kept``, null where nothing is
@@ -317,30 +329,33 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         _anchors(window, anchor, hot), "p bigint, v bigint, kind tinyint")
     same = Window.partitionBy(F.col("kind") == DIRECT, "p")
     shared = dealt.withColumns({
-        "low": F.min("v").over(same), "high": F.max("v").over(same), "most": F.max("kind").over(same)})
+        "low": F.min("v").over(same), "high": F.max("v").over(same), "most": F.max("kind").over(same),
+        "spread": F.count("*").over(same)})
+    is_hot = (F.col("most") > PLAIN) | (F.col("spread") > spread)
     answers = shared.filter(f"kind = {DIRECT} OR (kind = {PLAIN} AND low <> high)").select(
         F.when(F.col("kind") == DIRECT, F.col("p")).otherwise(F.col("v")).alias("k0"),
         F.struct(F.when(F.col("kind") == DIRECT, F.col("v")).otherwise(F.col("p")).alias("anchor"),
-                 (F.col("most") > PLAIN).alias("hot")).alias("a"))
-    candidates = materialize(
+                 ((F.col("kind") == DIRECT) | is_hot).alias("hot")).alias("a"))
+    candidates, candidates_at = store(
         answers.groupBy("k0").agg(F.collect_set("a").alias("anchors"))
         .join(classes, "k0").select("rep", "rep_key", "anchors"), "candidates")
 
     listed = texts.join(candidates, (F.col("doc_id") == F.col("rep"))
                         & (F.col("row_key") == F.col("rep_key"))).select(
         "doc_id", "row_key", "text", "anchors")
-    contents = listed.mapInArrow(
-        _stretches(window, anchor, True),
-        "key bigint, content bigint, doc_id bigint, many boolean, words binary")
+    # One pass over the texts, stored: words of contents and places are read from it apart.
+    stretches, stretches_at = store(
+        listed.mapInArrow(X.frugal(_stretches(window, anchor)), STRETCHES), "stretches")
+    discard(docs.sparkSession, candidates_at)
+    contents = stretches.filter("words IS NOT NULL").select("key", "content", "doc_id", "many", "words")
     least = contents.repartition("key").sortWithinPartitions("key").mapInArrow(
-        _shards(window, shard_words), "key bigint, content bigint, least array<bigint>")
-    places = listed.mapInArrow(
-        _stretches(window, anchor, False),
-        "key bigint, content bigint, doc_id bigint, row_key bigint, start bigint")
+        X.frugal(_shards(window, shard_words)), "key bigint, content bigint, least array<bigint>")
+    places = stretches.select("key", "content", "doc_id", "row_key", "start")
     hits = materialize(
         places.join(least, ["key", "content"]).filter("array_min(least) < doc_id")
         .select("doc_id", "row_key", F.struct("start", "least").alias("hit"))
         .groupBy("doc_id", "row_key").agg(F.collect_list("hit").alias("hits")), "hits")
+    discard(docs.sparkSession, stretches_at)
     changed = texts.join(hits.withColumnsRenamed({"doc_id": "hit_id", "row_key": "hit_key"}),
                          (F.col("doc_id") == F.col("hit_id")) & (F.col("row_key") == F.col("hit_key"))
                          ).select("doc_id", "row_key", "text", "hits").mapInArrow(

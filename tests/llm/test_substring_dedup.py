@@ -92,20 +92,66 @@ def test_wavelet_ranks():
             int((sequence[:a] == c).sum()) for c, a in zip(symbols, at, strict=True)]
 
 
-def test_backward_search():
+@pytest.mark.parametrize("sample", [1, 3, 8])
+def test_backward_search(sample):
     rng = np.random.default_rng(8)
     text = rng.integers(1, 4, 3000)
     text[49::50] = 0  # the last symbol ends the text
-    index = FMIndex(text, 5)
+    text[150:160] = 0
+    index = FMIndex(text, sample)
     where = defaultdict(list)
     for i in range(len(text) - 4):
         if text[i:i + 5].all():
             where[tuple(text[i:i + 5])].append(i)
     patterns = np.array([*where, (3, 3, 3, 3, 3), (1, 2, 1, 2, 1)])
-    low, high, length = index.search(patterns)
+    low, high, length = index.search(patterns, alone=0)
     for pattern, a, b, n in zip(patterns, low, high, length, strict=True):
         places = where.get(tuple(pattern), [])
-        if len(places) > 1:
-            assert n == 5 and sorted(index.order[a:b].tolist()) == places
-        elif places:
-            assert b - a == 1 and places[0] <= index.order[a] <= places[0] + 4
+        assert sorted(index.locate(np.arange(a, b)).tolist()) == places
+        assert (n == 5) == bool(places)
+    assert sorted(index.locate(np.arange(len(text))).tolist()) == list(range(len(text)))
+
+
+def test_matching_statistics():
+    rng = np.random.default_rng(9)
+    text = np.append(rng.integers(1, 5, 400), 0)
+    joined = bytes(text.tolist())
+    patterns = rng.integers(1, 5, (200, 9))
+    length = FMIndex(text).search(patterns, alone=0)[2]
+    assert length.tolist() == [
+        max(n for n in range(10) if bytes(p[9 - n:].tolist()) in joined) for p in patterns]
+
+
+def _shard():
+    rng = random.Random(4)
+    shared = [sentence(rng, 14).split() for _ in range(5)]
+    contents = [" ".join([*rng.choice(shared), *sentence(rng, k % 4).split()]).encode() for k in range(40)]
+    return contents, np.array(rng.sample(range(1000), 40))
+
+
+def test_shard_answers():
+    contents, ids = _shard()
+    least: dict = {}
+    for c, d in zip(contents, ids.tolist(), strict=True):
+        words = c.split()
+        for i in range(len(words) - 12):
+            key = tuple(words[i:i + 13])
+            least[key] = min(least.get(key, d), d)
+    answers, _ = S.shard_answers(contents, ids, 13)
+    for c, a in zip(contents, answers, strict=True):
+        words = c.split()
+        assert a.tolist() == [least[tuple(words[i:i + 13])] for i in range(len(words) - 12)]
+
+
+def test_the_search_decides(monkeypatch):
+    contents, ids = _shard()
+    right, _ = S.shard_answers(contents, ids, 13)
+    rank = WaveletMatrix.rank
+    monkeypatch.setattr(WaveletMatrix, "rank", lambda self, symbols, at: rank(self, symbols, at) // 2)
+    wrong, _ = S.shard_answers(contents, ids, 13)
+    assert any(a.tolist() != b.tolist() for a, b in zip(right, wrong, strict=True))
+
+
+def test_anchor_spread_over_slices(spark):
+    rows = passages(5)
+    assert result(S.remove_repeats(documents(spark, rows), hot=1000, spread=3, shard_words=50)) == brute(rows)
