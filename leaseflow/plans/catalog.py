@@ -15,6 +15,7 @@ from leaseflow.functions import fields as X
 from leaseflow.operators import checks as K
 from leaseflow.operators import dimensions as DIM
 from leaseflow.operators import enrich as E
+from leaseflow.operators import expiry as EX
 from leaseflow.operators import lateness as LT
 from leaseflow.operators import lifecycle as L
 from leaseflow.operators import replay as R
@@ -55,9 +56,16 @@ def replay_fact(spark: SparkSession, sf_dir: str, fact: str) -> DataFrame:
     return R.fact(T.replay_tables(spark, sf_dir), fact)
 
 
+def replay_ttl_fact(spark: SparkSession, sf_dir: str, fact: str) -> DataFrame:
+    """State is forgotten after an hour; arrival numbers count as milliseconds."""
+    return EX.fact(T.replay_tables(spark, sf_dir), fact, clock=R.ORDER)
+
+
 for _fact in S.FACTS:
     register(_fact, f"SELECT * FROM {_fact}")(partial(set_fact, fact=_fact))
     register(f"replay_{_fact}", f"SELECT * FROM replay_{_fact}")(partial(replay_fact, fact=_fact))
+    register(f"replay_ttl_{_fact}", f"SELECT * FROM replay_ttl_{_fact}")(
+        partial(replay_ttl_fact, fact=_fact))
 
 
 # --- E: contexts, one-pass output, first facts -----------------------------------------

@@ -179,7 +179,8 @@ CTES["contract_changes"] = _replay(
 CTES["facility_history"] = """
   SELECT fk, seq, kind, status, moment,
          last_value(fseq IGNORE NULLS) OVER w AS fseq, last_value(rseq IGNORE NULLS) OVER w AS rseq,
-         last_value(man IGNORE NULLS) OVER w AS man
+         last_value(man IGNORE NULLS) OVER w AS man,
+         last_value(CASE WHEN man IS NOT NULL THEN seq END IGNORE NULLS) OVER w AS mseq
   FROM (
     SELECT id AS fk, seq, 'f' AS kind, NULL::INTEGER AS status, NULL::TIMESTAMP AS moment, seq AS fseq,
            NULL::BIGINT AS rseq, NULL::BIGINT AS man FROM facility_changes
@@ -192,37 +193,51 @@ CTES["facility_history"] = """
   WINDOW w AS (PARTITION BY fk ORDER BY seq ROWS UNBOUNDED PRECEDING)"""
 
 
-def _replay_audit(fact: str, code: int) -> str:
+# What an hour after its arrival (``seq`` in milliseconds) is still known.
+HOUR = 3_600_000
+
+
+def _still(seq: str, value: str) -> str:
+    return f"CASE WHEN seq < {seq} + {HOUR} THEN {value} END"
+
+
+CTES["facility_history_ttl"] = f"""
+  SELECT fk, seq, kind, status, moment, {_still('fseq', 'fseq')} AS fseq, {_still('rseq', 'rseq')} AS rseq,
+         {_still('mseq', 'man')} AS man
+  FROM facility_history"""
+
+
+def _replay_audit(code: int, ttl: bool = False) -> str:
     """A status row emits at the first complete row before the next such status row."""
-    complete = "h.fseq IS NOT NULL"
+    complete = "fseq IS NOT NULL"
     if code == 16:
-        complete += " AND h.rseq IS NOT NULL AND h.man IS NOT NULL"
+        complete += " AND rseq IS NOT NULL AND man IS NOT NULL"
     time = {16: "approve_time", 20: "reject_time", 21: "cancel_time"}[code]
     reply_columns = (", r.id AS reply_id, r.credit_amount AS reply_amount,"
                      " r.create_time AS reply_time, r.irr, r.period" if code == 16 else "")
-    reply_join = ("JOIN reply_changes r ON r.credit_facility_id = e.fk AND r.seq = h.rseq"
+    reply_join = ("JOIN reply_changes r ON r.credit_facility_id = e.fk AND r.seq = e.at.rseq"
                   if code == 16 else "")
     return f"""
   SELECT e.fk AS id, e.moment AS {time}, f.lease_organization, f.business_partner_id, f.industry_id,
-         f.salesman_id, h.man AS audit_man_id, f.credit_amount AS apply_amount{reply_columns}
+         f.salesman_id, e.at.man AS audit_man_id, f.credit_amount AS apply_amount{reply_columns}
   FROM (
-    SELECT fk, moment, emit_seq FROM (
-      SELECT fk, moment, status,
-             min(CASE WHEN {complete} THEN h.seq END) OVER (PARTITION BY fk ORDER BY seq
-               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS emit_seq,
-             min(CASE WHEN status = {code} THEN h.seq END) OVER (PARTITION BY fk ORDER BY seq
-               ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_seq
-      FROM facility_history h)
-    WHERE status = {code} AND emit_seq IS NOT NULL AND (next_seq IS NULL OR emit_seq < next_seq)
+    SELECT fk, seq, moment, status,
+           first_value(CASE WHEN {complete}
+             THEN {{'seq': seq, 'fseq': fseq, 'rseq': rseq, 'man': man}} END IGNORE NULLS)
+             OVER (PARTITION BY fk ORDER BY seq ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS at,
+           first_value(CASE WHEN status = {code} THEN seq END IGNORE NULLS)
+             OVER (PARTITION BY fk ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_seq
+    FROM facility_history{'_ttl' if ttl else ''}
   ) e
-  JOIN facility_history h ON h.fk = e.fk AND h.seq = e.emit_seq
-  JOIN facility_changes f ON f.id = e.fk AND f.seq = h.fseq
-  {reply_join}"""
+  JOIN facility_changes f ON f.id = e.fk AND f.seq = e.at.fseq
+  {reply_join}
+  WHERE e.status = {code} AND (e.next_seq IS NULL OR e.at.seq < e.next_seq)
+    {f'AND e.at.seq < e.seq + {HOUR}' if ttl else ''}"""
 
 
-CTES["replay_dwd_audit_approve"] = _replay_audit("dwd_audit_approve", 16)
-CTES["replay_dwd_audit_reject"] = _replay_audit("dwd_audit_reject", 20)
-CTES["replay_dwd_audit_cancel"] = _replay_audit("dwd_audit_cancel", 21)
+for _fact, _code in (("dwd_audit_approve", 16), ("dwd_audit_reject", 20), ("dwd_audit_cancel", 21)):
+    CTES[f"replay_{_fact}"] = _replay_audit(_code)
+    CTES[f"replay_ttl_{_fact}"] = _replay_audit(_code, ttl=True)
 
 CTES["amount_history"] = """
   SELECT fk, seq, kind, last_value(fseq IGNORE NULLS) OVER w AS fseq,
@@ -233,48 +248,57 @@ CTES["amount_history"] = """
     UNION ALL SELECT credit_facility_id, seq, 'c', NULL, NULL FROM credit_changes
   )
   WINDOW w AS (PARTITION BY fk ORDER BY seq ROWS UNBOUNDED PRECEDING)"""
-CTES["amounts_known"] = """
+CTES["amount_history_ttl"] = f"""
+  SELECT fk, seq, kind, {_still('fseq', 'fseq')} AS fseq, {_still('rseq', 'rseq')} AS rseq
+  FROM amount_history"""
+for _end in ("", "_ttl"):
+    CTES[f"amounts_known{_end}"] = f"""
   SELECT h.fk, h.seq, h.kind, h.fseq, f.credit_amount AS apply_amount,
          r.credit_amount AS reply_amount
-  FROM amount_history h
+  FROM amount_history{_end} h
   LEFT JOIN facility_changes f ON f.id = h.fk AND f.seq = h.fseq
   LEFT JOIN reply_changes r ON r.credit_facility_id = h.fk AND r.seq = h.rseq"""
 
 
-def _replay_credit(event: str, columns: str) -> str:
+def _replay_credit(event: str, columns: str, ttl: bool = False) -> str:
     """Known amounts: at its own row. Otherwise at the next facility or reply row that
     has a facility and a reply amount, unless another waiting credit comes first."""
+    known, in_time = ("amounts_known_ttl", f"AND g.seq < t.seq + {HOUR}") if ttl else ("amounts_known", "")
     return f"""
   SELECT {columns}, c.credit_facility_id, e.apply_amount, e.reply_amount, c.credit_amount
   FROM (
     SELECT k.fk, k.seq AS cseq, k.apply_amount, k.reply_amount
-    FROM amounts_known k JOIN credit_changes c ON c.credit_facility_id = k.fk AND c.seq = k.seq
+    FROM {known} k JOIN credit_changes c ON c.credit_facility_id = k.fk AND c.seq = k.seq
     WHERE k.kind = 'c' AND {event} AND k.apply_amount IS NOT NULL AND k.reply_amount IS NOT NULL
     UNION ALL
     SELECT w.fk, w.seq, g.apply_amount, g.reply_amount
     FROM (
       SELECT t.fk, t.seq, min(g.seq) AS emit_seq
       FROM (SELECT k.fk, k.seq, lead(k.seq) OVER (PARTITION BY k.fk ORDER BY k.seq) AS next_seq
-            FROM amounts_known k JOIN credit_changes c ON c.credit_facility_id = k.fk AND c.seq = k.seq
+            FROM {known} k JOIN credit_changes c ON c.credit_facility_id = k.fk AND c.seq = k.seq
             WHERE k.kind = 'c' AND {event} AND (k.apply_amount IS NULL OR k.reply_amount IS NULL)) t
-      JOIN amounts_known g ON g.fk = t.fk AND g.seq > t.seq AND (t.next_seq IS NULL OR g.seq < t.next_seq)
-       AND g.kind IN ('f', 'r') AND g.fseq IS NOT NULL AND g.reply_amount IS NOT NULL
+      JOIN {known} g ON g.fk = t.fk AND g.seq > t.seq AND (t.next_seq IS NULL OR g.seq < t.next_seq)
+       AND g.kind IN ('f', 'r') AND g.fseq IS NOT NULL AND g.reply_amount IS NOT NULL {in_time}
       GROUP BY t.fk, t.seq
-    ) w JOIN amounts_known g ON g.fk = w.fk AND g.seq = w.emit_seq
+    ) w JOIN {known} g ON g.fk = w.fk AND g.seq = w.emit_seq
   ) e JOIN credit_changes c ON c.credit_facility_id = e.fk AND c.seq = e.cseq"""
 
 
-CTES["replay_dwd_credit_add"] = _replay_credit(
-    "c.op IN ('r', 'c')", "c.id, c.create_time AS add_time")
-CTES["replay_dwd_credit_occupy"] = _replay_credit(
-    "c.credit_occupy_time IS NOT NULL", "c.id, c.credit_occupy_time AS occupy_time")
-CTES["replay_dwd_lease_contract_produce"] = _replay_credit(
-    "c.contract_produce_time IS NOT NULL",
-    "coalesce(c.contract_id, 0) AS id, c.contract_produce_time AS produced_time, c.id AS credit_id")
-CTES["produce_in_order"] = CTES["replay_dwd_lease_contract_produce"].replace(
-    "SELECT coalesce", "SELECT e.emit_seq AS seq, coalesce", 1).replace(
-    "SELECT k.fk, k.seq AS cseq,", "SELECT k.fk, k.seq AS cseq, k.seq AS emit_seq,").replace(
-    "SELECT w.fk, w.seq,", "SELECT w.fk, w.seq, w.emit_seq,")
+_CREDIT_EVENTS = {
+    "dwd_credit_add": ("c.op IN ('r', 'c')", "c.id, c.create_time AS add_time"),
+    "dwd_credit_occupy": ("c.credit_occupy_time IS NOT NULL", "c.id, c.credit_occupy_time AS occupy_time"),
+    "dwd_lease_contract_produce": (
+        "c.contract_produce_time IS NOT NULL",
+        "coalesce(c.contract_id, 0) AS id, c.contract_produce_time AS produced_time, c.id AS credit_id"),
+}
+for _fact, (_event, _columns) in _CREDIT_EVENTS.items():
+    CTES[f"replay_{_fact}"] = _replay_credit(_event, _columns)
+    CTES[f"replay_ttl_{_fact}"] = _replay_credit(_event, _columns, ttl=True)
+for _kind, _end in (("replay", ""), ("replay_ttl", "_ttl")):
+    CTES[f"produce_in_order{_end}"] = CTES[f"{_kind}_dwd_lease_contract_produce"].replace(
+        "SELECT coalesce", "SELECT e.emit_seq AS seq, coalesce", 1).replace(
+        "SELECT k.fk, k.seq AS cseq,", "SELECT k.fk, k.seq AS cseq, k.seq AS emit_seq,").replace(
+        "SELECT w.fk, w.seq,", "SELECT w.fk, w.seq, w.emit_seq,")
 
 for _fact, _time in (("dwd_lease_sign", "signed_time"), ("dwd_lease_execution", "execution_time")):
     CTES[f"replay_{_fact}"] = f"""
@@ -293,6 +317,7 @@ for _fact, _time in (("dwd_lease_sign", "signed_time"), ("dwd_lease_execution",
   ) m
   JOIN contract_changes k ON k.credit_id = m.credit_id AND k.seq = m.seq
   JOIN produce_in_order p ON p.credit_id = m.credit_id AND p.seq = m.pseq"""
+    CTES[f"replay_ttl_{_fact}"] = CTES[f"replay_{_fact}"].replace("produce_in_order", "produce_in_order_ttl")
 
 # --- windows ------------------------------------------------------------------------------
 

@@ -82,8 +82,26 @@ def frames(spark, rows: dict[str, list[dict]]):
     return result
 
 
-def run_rules(rows: dict[str, list[dict]], strict_parity: bool = False) -> dict[str, list[tuple]]:
-    """The row-by-row rules over the same changes, both stages."""
+class Forgetful(dict):
+    """What a key has seen, each entry with the moment it was written."""
+
+    def __init__(self):
+        super().__init__()
+        self.now, self.written = 0, {}
+
+    def __setitem__(self, name, value):
+        super().__setitem__(name, value)
+        self.written[name] = self.now
+
+    def advance(self, now: int, ttl: int | None) -> None:
+        self.now = now
+        for name in [n for n in self if ttl is not None and now >= self.written[n] + ttl]:
+            del self[name]
+
+
+def run_rules(rows: dict[str, list[dict]], strict_parity: bool = False,
+              ttl: int | None = None) -> dict[str, list[tuple]]:
+    """The row-by-row rules over the same changes, both stages; ``ttl`` in units of ``seq``."""
     from leaseflow.streaming import rules
 
     kinds = {"credit_facility": ("facility", "id"), "credit_facility_status":
@@ -100,8 +118,9 @@ def run_rules(rows: dict[str, list[dict]], strict_parity: bool = False) -> dict[
         facts[fact].append(tuple(values[c] for c in S.FACTS[fact].names))
 
     for key, log in logs.items():
-        known: dict = {}
+        known = Forgetful()
         for row in sorted(log, key=lambda r: r["seq"]):
+            known.advance(row["seq"], ttl)
             for fact, values in rules.facility_row(known, row):
                 name = "id" if fact.startswith("dwd_audit") else "credit_facility_id"
                 values = {name: key, **values}
