@@ -158,7 +158,7 @@ def _links(rows: pa.Table, how: Plan, cosine: float) -> pa.RecordBatch:
             met = np.maximum(one, two) <= np.minimum(one, two) + HALF_WINDOW
             new = ~((codes[a] == codes[b]) & met).any(axis=1)
             a, b = a[new], b[new]
-        near = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine - 1e-12
+        near = np.einsum("ij,ij->i", unit[a], unit[b]) >= cosine
         a, b = a[near], b[near]
         np.add.at(counts, a, copies[b])
         np.add.at(counts, b, copies[a])
