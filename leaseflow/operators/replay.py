@@ -203,25 +203,33 @@ def stage_one_fact(changes: Changes, fact: str, limit: int | None = HOT_ROWS,
     return scan_by_key(log, KEY, ORDER, step, limit)
 
 
+def _tagged(facts: list[str], condition, columns) -> Column:
+    """Array of what a row emits: one struct a fact, with its name and its columns."""
+    rows = F.array(*[
+        F.when(condition(fact), F.struct(
+            F.lit(fact).alias("fact_type"),
+            *[(F.struct(*columns(other)) if other == fact
+               else F.lit(None).cast(S.FACTS[other])).alias(other)
+              for other in facts]))
+        for fact in facts
+    ])
+    return F.filter(rows, lambda r: r.isNotNull())
+
+
+def facility_facts() -> Column:
+    """Stage-one facts of a row with running state."""
+    return _tagged(STAGE_ONE_FACTS, emits, emitted)
+
+
 def tagged_facts(changes: Changes, limit: int | None = HOT_ROWS,
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """All six stage-one facts in one pass: ``fact_type``, ``seq`` and one struct per fact.
 
     ``keep`` names columns of the inputs to take along from the row that emits.
     """
-    rows = F.array(*[
-        F.when(emits(fact), F.struct(
-            F.lit(fact).alias("fact_type"),
-            *[(F.struct(*emitted(other)) if other == fact
-               else F.lit(None).cast(S.FACTS[other])).alias(other)
-              for other in STAGE_ONE_FACTS]))
-        for fact in STAGE_ONE_FACTS
-    ])
-
     def step(part: DataFrame, scan: Scan) -> DataFrame:
         state = credit_state(audit_state(part, scan), scan)
-        present = F.filter(rows, lambda r: r.isNotNull())
-        return state.select(ORDER, *keep, F.explode(present).alias("_r")).select(
+        return state.select(ORDER, *keep, F.explode(facility_facts()).alias("_r")).select(
             ORDER, *keep, "_r.*")
 
     return scan_by_key(facility_log(changes, keep=keep), KEY, ORDER, step, limit)
@@ -283,22 +291,29 @@ def contract_state(log: DataFrame, scan: Scan, strict_parity: bool = False) -> D
     return state
 
 
-def stage_two_fact(produce: DataFrame, contract: DataFrame, fact: str,
-                   strict_parity: bool = False, limit: int | None = HOT_ROWS,
-                   census: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Signed or started lease facts in arrival order."""
+def contract_emitted(fact: str) -> list[Column]:
+    """The columns of a signed or started lease on a row that emits it."""
     own = F.col(CONTRACT).isNotNull()
     image = lambda c: F.when(own, F.col(f"{CONTRACT}.{c}")).otherwise(
         F.col(f"wait_{fact}.{CONTRACT}.{c}"))
     carried = lambda c: F.when(own, F.col(f"made.{c}")).otherwise(F.col(f"{PRODUCE}.{c}"))
+    named = {"id": image("id"), S.FACT_TIME[fact]: image(L.CONTRACT_MILESTONE[fact]),
+             "credit_id": F.col("credit_id"), **{c: carried(c) for c in L.PRODUCE_CARRIED}}
+    return [named[c].cast(S.FACTS[fact][c].dataType).alias(c) for c in S.FACTS[fact].names]
+
 
+def credit_facts() -> Column:
+    """Stage-two facts of a row with running state."""
+    return _tagged(STAGE_TWO_FACTS, lambda fact: F.col(f"emits_{fact}"), contract_emitted)
+
+
+def stage_two_fact(produce: DataFrame, contract: DataFrame, fact: str,
+                   strict_parity: bool = False, limit: int | None = HOT_ROWS,
+                   census: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Signed or started lease facts in arrival order."""
     def step(part: DataFrame, scan: Scan) -> DataFrame:
         state = contract_state(part, scan, strict_parity).filter(F.col(f"emits_{fact}"))
-        return state.select(
-            image("id").alias("id"),
-            image(L.CONTRACT_MILESTONE[fact]).alias(S.FACT_TIME[fact]), "credit_id",
-            *[carried(c).alias(c) for c in L.PRODUCE_CARRIED], *keep,
-        ).select(*S.FACTS[fact].names, *keep)
+        return state.select(*contract_emitted(fact), *keep)
 
     return scan_by_key(credit_log(produce, contract, keep), "credit_id", ORDER, step, limit, census)
 

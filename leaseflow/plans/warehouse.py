@@ -1,16 +1,22 @@
 """The whole warehouse as batch runs: logs in, stored layers out.
 
-Layers live under one root: ``chg/`` (decoded lifecycle changes), ``dim/``, ``dwd/`` (facts),
-``dws/`` (windows), ``ads/`` (views), ``rejects/`` (counts of rows without a key), and with
+Layers live under one root: ``chg/`` (decoded lifecycle changes), ``state/`` (what each facility
+and credit had shown by the end of a batch), ``dim/``, ``dwd/`` (facts), ``dws/`` (windows),
+``ads/`` (views), ``rejects/`` (counts of rows without a key), and with
 :meth:`Warehouse.load_touched_windows` ``sums/`` and ``touched/`` beside ``dws/``. Every step
 reads what the step before it stored, so a run that stops can be repeated with the same batch
 number.
 
-Batches come in arrival order, each with a number of its own. A batch decodes its changes once
-and stores them; then it replays the whole stored history of the facilities and credits it
-touches and keeps the facts that its own rows emit. So a fact may complete in a later batch
-than it began, and a batch loaded again leaves the same facts. After a correction of an older
-batch, the batches after it are loaded again.
+Batches come in arrival order, numbered upwards by one writer. A batch decodes its changes once
+and stores them; its facts come from these and from the stored state of the facilities and
+credits it touches, see :mod:`leaseflow.operators.resume`. So a fact may complete in a later
+batch than it began, older changes and facts are not read, and a batch loaded again leaves the
+same facts. After a correction of an older batch, the batches after it are loaded again.
+
+State rows lie in folders by key hash, of which a batch opens those it touches. State is folded to one
+row a key every few batches (``fold_after``); batches before a fold are settled: sent again, they
+change nothing. Where state is behind the stored changes (an older warehouse, a batch that
+stopped and was not repeated), the changes in between are read once more to catch up.
 """
 
 from __future__ import annotations
@@ -18,30 +24,42 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leaseflow import schemas as S
 from leaseflow.operators import checks as K
 from leaseflow.operators import dimensions as DIM
 from leaseflow.operators import replay as R
+from leaseflow.operators import resume as RS
 from leaseflow.operators import summaries as M
 from leaseflow.operators import windows as W
 from leaseflow.operators.skew import HOT_ROWS
 from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
-from leaseflow.sources.snapshots import SnapshotTable
+from leaseflow.sources.snapshots import FOLDED, SnapshotTable
 from leaseflow.sources.scratch import materialize
 
 # Marks the rows of the batch that is being loaded.
 MINE = "_mine"
 
+# Folders that state rows are dealt to by key; fixed for stored tables.
+BUCKET, BUCKETS = "bucket", 64
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.hash(key), F.lit(BUCKETS)).alias(BUCKET)
+
 
 class Warehouse:
-    """Stored layers under a root folder; ``writer`` names who numbers the batches."""
+    """Stored layers under a root folder; ``writer`` names who numbers the batches.
+
+    ``fold_after`` is the number of batches whose states lie side by side before they are folded.
+    """
 
     def __init__(self, spark: SparkSession, root: str, writer: str,
-                 limit: int | None = HOT_ROWS):
+                 limit: int | None = HOT_ROWS, fold_after: int = 8):
         self.spark, self.root, self.writer, self.limit = spark, root, writer, limit
+        self.fold_after = fold_after
 
     # --- loading ---------------------------------------------------------------
 
@@ -60,49 +78,100 @@ class Warehouse:
         changes = {t: C.ordered_changes(logs[t], t) for t in C.TABLE_NUMBER}
         for table, rows in changes.items():
             ST.write_batch(rows, f"{self.root}/chg/{table}", self._batch(batch_id))
-        stored = {t: self._changes(t, batch_id).filter(MINE) for t in changes}
+        stored = {t: self._changes(t, batch_id, batch_id - 1) for t in changes}
         ST.write_batch(R.keyless_rows(stored), f"{self.root}/rejects", self._batch(batch_id))
 
-    def _changes(self, table: str, batch_id: int) -> DataFrame:
+    def _since(self, path: str, schema: S.T.StructType, batch_id: int, since: int | None) -> DataFrame:
+        """Rows of the batches after ``since`` up to this one, those of this one marked."""
+        if since == batch_id - 1:
+            own = ST.read_batch(self.spark, path, schema, self._batch(batch_id))
+            return own.withColumn(MINE, F.lit(True))
+        rows = ST.read_batches(self.spark, path, schema).filter(F.col(ST.BATCH) <= batch_id)
+        if since is not None:
+            rows = rows.filter(F.col(ST.BATCH) > since)
+        return self._marked(rows, batch_id)
+
+    def _changes(self, table: str, batch_id: int, since: int | None) -> DataFrame:
         schema = S.T.StructType([*S.raw_schema(table).fields,
                                  S.T.StructField("op", S.T.StringType()),
                                  S.T.StructField(R.ORDER, S.T.LongType())])
-        return self._marked(ST.read_batches(self.spark, f"{self.root}/chg/{table}", schema), batch_id)
+        return self._since(f"{self.root}/chg/{table}", schema, batch_id, since)
 
     def _marked(self, rows: DataFrame, batch_id: int) -> DataFrame:
         mine = (F.col(ST.WRITER) == self.writer) & (F.col(ST.BATCH) == batch_id)
         return rows.withColumn(MINE, mine).drop(ST.WRITER, ST.BATCH)
 
-    @staticmethod
-    def _touched(parts: Mapping[str, DataFrame], keys: Mapping[str, str], key: str
-                 ) -> dict[str, DataFrame]:
-        """All history of the keys that the batch's own rows have."""
-        own = M.union_all([rows.filter(MINE).select(F.col(keys[t]).alias(key))
-                           for t, rows in parts.items()])
-        own = materialize(own.filter(F.col(key).isNotNull()).distinct(), "touched")
-        return {t: rows.join(own, rows[keys[t]] == own[key], "left_semi") for t, rows in parts.items()}
-
     def load_facts(self, logs: Mapping[str, DataFrame], batch_id: int,
                    strict_parity: bool = False) -> None:
         """The facts that a batch of logs emits, given all batches before it.
 
-        One pass over the facility logs makes six facts; the stored produced-contract
-        facts, with their order, feed the sign and start facts.
+        One pass over the facility changes makes six facts, one over the contract changes and
+        the produced-contract facts, with their order, the sign and start facts.
         """
+        if self.settled(batch_id):
+            return
         self.load_changes(logs, batch_id)
-        facility = {t: self._changes(t, batch_id) for t in S.FACILITY_TABLES}
-        tagged = materialize(R.tagged_facts(self._touched(facility, R.LOG_KEY, R.KEY), self.limit,
-                                            keep=(MINE,)).filter(MINE).drop(MINE), "facts")
-        for fact in R.STAGE_ONE_FACTS:
-            self._append(fact, R.of_type(tagged, fact, keep_order=True), batch_id)
+        since = self._state_before("facility", batch_id)
+        facility = {t: self._changes(t, batch_id, since) for t in S.FACILITY_TABLES}
+        self._emit(R.facility_log(facility, keep=(MINE,)), RS.facility_stage(), "facility",
+                   R.STAGE_ONE_FACTS, batch_id, since)
+        since = self._state_before("credit", batch_id)
         produce = "dwd_lease_contract_produce"
-        credit = {produce: self._marked(self._stored_facts(produce), batch_id),
-                  "contract": self._changes("contract", batch_id)}
-        credit = self._touched(credit, dict.fromkeys(credit, "credit_id"), "credit_id")
-        for fact in R.STAGE_TWO_FACTS:
-            rows = R.stage_two_fact(credit[produce], credit["contract"], fact, strict_parity,
-                                    self.limit, keep=(MINE,)).filter(MINE).drop(MINE)
-            self._append(fact, rows.withColumn(R.ORDER, F.lit(None).cast("bigint")), batch_id)
+        made = self._since(f"{self.root}/dwd/{produce}", self._fact_schema(produce), batch_id, since)
+        log = R.credit_log(made, self._changes("contract", batch_id, since), keep=(MINE,))
+        self._emit(log, RS.credit_stage(strict_parity), "credit", R.STAGE_TWO_FACTS, batch_id, since)
+
+    def _emit(self, log: DataFrame, stage: RS.Stage, name: str, facts: list[str], batch_id: int,
+              since: int | None) -> None:
+        """Store what a stage's log emits in this batch, then the states it leaves."""
+        table, schema = self.state_table(name), self._state_schema(log, stage)
+        entries = table.manifest().entries
+        if len(entries) >= self.fold_after and all(e.batch < batch_id for e in entries):
+            table.fold(schema, [stage.key])
+        states = None if since is None else self._states_of(log, table, schema, stage, batch_id)
+        rows = materialize(RS.go_on(log, stage, states, (MINE,), self.limit), "going-on")
+        tagged = RS.facts_of(rows.filter(MINE))
+        for fact in facts:
+            made = R.of_type(tagged, fact, keep_order=True)
+            if fact in R.STAGE_TWO_FACTS:
+                made = made.withColumn(R.ORDER, F.lit(None).cast("bigint"))
+            self._append(fact, made, batch_id)
+        table.write(RS.new_states(rows, stage).withColumn(BUCKET, _bucket(stage.key)),
+                    self._batch(batch_id))
+
+    def _states_of(self, log: DataFrame, table: SnapshotTable, schema: S.T.StructType,
+                   stage: RS.Stage, batch_id: int) -> DataFrame:
+        """States before this batch of the keys that the log has, from the folders they lie in."""
+        touched = materialize(log.select(stage.key).distinct(), "touched")
+        buckets = [r[0] for r in touched.select(_bucket(stage.key)).distinct().collect()]
+        before = table.rows(schema).filter(F.col(BUCKET).isin(buckets) & (F.col(ST.BATCH) < batch_id))
+        return ST.latest_by_key(before.join(touched, stage.key, "left_semi"), [stage.key])
+
+    def state_table(self, name: str) -> SnapshotTable:
+        """States by key, of one of the two stages: ``facility`` or ``credit``."""
+        return SnapshotTable(self.spark, f"{self.root}/state/{name}", BUCKET)
+
+    @staticmethod
+    def _state_schema(log: DataFrame, stage: RS.Stage) -> S.T.StructType:
+        return S.T.StructType([S.T.StructField(stage.key, S.T.LongType()),
+                               S.T.StructField(RS.STATE, RS.state_type(log, stage)),
+                               S.T.StructField(BUCKET, S.T.IntegerType())])
+
+    def settled(self, batch_id: int) -> bool:
+        """Whether a later batch has folded this one's states: it can't be loaded again."""
+        return any(self.state_table(n).manifest().covers(self._batch(batch_id))
+                   for n in ("facility", "credit"))
+
+    def _state_before(self, name: str, batch_id: int) -> int | None:
+        """The last batch before this one whose states are stored."""
+        now = self.state_table(name).manifest()
+        others = {e.writer for e in now.entries} | set(now.covered)
+        if others - {self.writer, FOLDED}:
+            raise ValueError(f"the facts under {self.root} are loaded by another writer: {sorted(others)}")
+        stored = [e.batch for e in now.entries if e.writer == self.writer and e.batch < batch_id]
+        if self.writer in now.covered:
+            stored.append(now.covered[self.writer])
+        return max(stored, default=None)
 
     def _append(self, fact: str, rows: DataFrame, batch_id: int) -> None:
         ST.append_fact_by_day(rows, f"{self.root}/dwd/{fact}", S.FACT_TIME[fact],
@@ -158,11 +227,14 @@ class Warehouse:
     def dimensions(self) -> dict[str, DataFrame]:
         return {t: self.dimension(t) for t in S.DIMENSIONS}
 
+    @staticmethod
+    def _fact_schema(fact: str) -> S.T.StructType:
+        return S.T.StructType([*S.FACTS[fact].fields, S.T.StructField(R.ORDER, S.T.LongType()),
+                               S.T.StructField(ST.DAY, S.T.DateType())])
+
     def _stored_facts(self, fact: str) -> DataFrame:
         """Facts with their order and batch."""
-        schema = S.T.StructType([*S.FACTS[fact].fields, S.T.StructField(R.ORDER, S.T.LongType()),
-                                 S.T.StructField(ST.DAY, S.T.DateType())])
-        return ST.read_batches(self.spark, f"{self.root}/dwd/{fact}", schema)
+        return ST.read_batches(self.spark, f"{self.root}/dwd/{fact}", self._fact_schema(fact))
 
     def fact(self, fact: str) -> DataFrame:
         return self._stored_facts(fact).select(*S.FACTS[fact].names)

@@ -90,6 +90,17 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         return spark.createDataFrame([], full)
 
 
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch: Batch) -> DataFrame:
+    """One batch of a table, empty if it isn't there; other folders aren't even listed."""
+    try:
+        return spark.read.schema(schema).parquet(
+            f"{path}/{WRITER}={batch.writer}/{BATCH}={batch.number}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_facts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Stored facts with their day column, duplicates kept."""
     with_day = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
