@@ -58,6 +58,11 @@ def _resuming(scan: Scan, seeded: bool, ends: dict[str, str]) -> Scan:
     return run
 
 
+def _ended(ends: Mapping[str, str]) -> Column:
+    """What a row leaves to its key's next."""
+    return F.struct(*[F.col(column).alias(name) for name, column in ends.items()]).alias(STATE)
+
+
 def _step(part: DataFrame, scan: Scan, stage: Stage, keep: tuple[str, ...], seeded: bool) -> DataFrame:
     ends: dict[str, str] = {}
     rows = stage.running(part, _resuming(scan, seeded, ends))
@@ -67,14 +72,16 @@ def _step(part: DataFrame, scan: Scan, stage: Stage, keep: tuple[str, ...], seed
     if seeded:
         facts = F.when(F.col(R.ORDER) != FIRST, facts)
     rows = rows.withColumns({"_last": is_last, FACTS: facts})
-    state = F.struct(*[F.col(column).alias(name) for name, column in ends.items()])
-    return rows.select(stage.key, R.ORDER, *keep, FACTS, F.when(F.col("_last"), state).alias(STATE)).filter(
+    return rows.select(stage.key, R.ORDER, *keep, FACTS,
+                       F.when(F.col("_last"), _ended(ends)).alias(STATE)).filter(
         (F.size(FACTS) > 0) | F.col(STATE).isNotNull())
 
 
 def state_type(log: DataFrame, stage: Stage) -> T.DataType:
     """Type of a key's state; nothing runs."""
-    return _step(log, plain_scan(stage.key, R.ORDER), stage, (), seeded=False).schema[STATE].dataType
+    ends: dict[str, str] = {}
+    rows = stage.running(log, _resuming(plain_scan(stage.key, R.ORDER), False, ends))
+    return rows.select(_ended(ends)).schema[STATE].dataType
 
 
 def go_on(log: DataFrame, stage: Stage, states: DataFrame | None = None, keep: tuple[str, ...] = (),

@@ -111,10 +111,18 @@ class Warehouse:
         if self.settled(batch_id):
             return
         self.load_changes(logs, batch_id)
+        self.load_facility_facts(batch_id)
+        self.load_lease_facts(batch_id, strict_parity)
+
+    def load_facility_facts(self, batch_id: int) -> None:
+        """The six stage-one facts, from the stored changes of a batch."""
         since = self._state_before("facility", batch_id)
         facility = {t: self._changes(t, batch_id, since) for t in S.FACILITY_TABLES}
         self._emit(R.facility_log(facility, keep=(MINE,)), RS.facility_stage(), "facility",
                    R.STAGE_ONE_FACTS, batch_id, since)
+
+    def load_lease_facts(self, batch_id: int, strict_parity: bool = False) -> None:
+        """Sign and start facts, from the stored contract changes and produced contracts."""
         since = self._state_before("credit", batch_id)
         produce = "dwd_lease_contract_produce"
         made = self._since(f"{self.root}/dwd/{produce}", self._fact_schema(produce), batch_id, since)
