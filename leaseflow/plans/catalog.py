@@ -89,20 +89,26 @@ def reply_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.reply_context(T.raw_table(spark, sf_dir, "reply"))
 
 
-@register("side_outputs", " UNION ALL ".join(
-    f"SELECT '{f}' AS fact_type, id, {S.FACT_TIME[f]} AS fact_time, apply_amount, "
-    + ("reply_amount" if "reply_amount" in S.FACTS[f].names else "NULL::DECIMAL(19,2)")
-    + f" AS reply_amount FROM replay_{f}" for f in R.STAGE_ONE_FACTS))
+# Columns of the stage-one facts, each once, with their types.
+_SIDE = {f.name: f.dataType for fact in R.STAGE_ONE_FACTS for f in S.FACTS[fact].fields}
+
+
+def _side_sql(fact: str) -> str:
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+             "decimal(19,2)": "DECIMAL(19,2)"}
+    columns = [c if c in S.FACTS[fact].names else f"NULL::{kinds[t.simpleString()]} AS {c}"
+               for c, t in _SIDE.items()]
+    return f"SELECT '{fact}' AS fact_type, {', '.join(columns)} FROM replay_{fact}"
+
+
+@register("side_outputs", " UNION ALL ".join(_side_sql(f) for f in R.STAGE_ONE_FACTS))
 def side_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All six facts of one pass over the facility log, in the columns they share."""
-    def shared(column) -> Column:
-        return F.coalesce(*[F.col(f"{f}.{column(f)}") for f in R.STAGE_ONE_FACTS
-                            if column(f) in S.FACTS[f].names])
+    """All six facts of one pass over the facility log, whole; columns a fact lacks are null."""
+    def value(column: str) -> Column:
+        return F.coalesce(*[F.col(f"{f}.{column}") for f in R.STAGE_ONE_FACTS
+                            if column in S.FACTS[f].names]).alias(column)
 
-    return R.tagged_facts(T.replay_tables(spark, sf_dir)).select(
-        "fact_type", shared(lambda f: "id").alias("id"),
-        shared(lambda f: S.FACT_TIME[f]).alias("fact_time"),
-        *[shared(lambda f, c=c: c).alias(c) for c in ("apply_amount", "reply_amount")])
+    return R.tagged_facts(T.replay_tables(spark, sf_dir)).select("fact_type", *map(value, _SIDE))
 
 
 @register("first_occupy_facts", """
@@ -340,14 +346,13 @@ SELECT {', '.join(c for c, _ in S.RAW[_table])} FROM (
   FROM ({_history_sql(_table)})) WHERE rn = 1""")(partial(dimension_table, table=_table))
 
 
-@register("upsert_latest", """
-SELECT id, lease_organization, credit_amount, op FROM (
+@register("upsert_latest", f"""
+SELECT {', '.join(c for c, _ in S.RAW["credit_facility"])}, op FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn
   FROM facility_changes) WHERE rn = 1""")
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = T.replay_changes(spark, sf_dir, "credit_facility").select(
-        "id", "lease_organization", "credit_amount", "op", "seq")
-    return DIM.upsert_latest(rows, ["id"], ["seq"])
+    """The latest change of each facility, whole."""
+    return DIM.upsert_latest(T.replay_changes(spark, sf_dir, "credit_facility"), ["id"], ["seq"])
 
 
 _AUDITOR_WINDOW = "dws_audit_audit_man_reject_win"
