@@ -1,0 +1,83 @@
+"""What a batch load shuffles and writes: states once, keys counted in groups, tasks by rows."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from leaseflow import schemas as S
+from leaseflow.operators import replay as R
+from leaseflow.operators import resume as RS
+from leaseflow.operators import skew as SK
+from leaseflow.plans import warehouse as WH
+from leaseflow.sources import tables as ST
+from tests import traces as TR
+from tests.test_lifecycle import random_trace
+from tests.test_resume import cut, logs, stored, wanted
+
+
+def plan(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_states_are_not_shuffled_again(spark):
+    rows = TR.parse({key: random_trace(random.Random(key)) for key in range(1, 9)})
+    stage = RS.facility_stage()
+    went = RS.materialize(RS.go_on(R.facility_log(TR.frames(spark, rows)), stage), "went")
+    states = RS.new_states(went, stage)
+    assert "Exchange" not in plan(states)
+    assert states.count() == states.select(stage.key).distinct().count() == 8
+
+
+def test_a_hot_key_leaves_one_state(spark):
+    rng = random.Random(1)
+    rows = TR.parse({1: "F A7 R", 2: " ".join(random_trace(rng) for _ in range(10))})
+    stage, changes = RS.facility_stage(), TR.frames(spark, rows)
+    hot, plain = (RS.new_states(RS.go_on(R.facility_log(changes), stage, limit=limit), stage) for limit in (10, None))
+    assert SK.find_hot(R.facility_log(changes), R.KEY, 10) is not None
+    assert sorted(map(str, hot.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_keys_are_counted_in_groups(spark):
+    """No key is hot, though every group of keys is full: 20,000 keys in 4,096 groups."""
+    rows = spark.range(40_000).select((F.col("id") % 20_000).alias("k"))
+    assert SK.count_keys(rows, "k", 3) == (40_000, None)
+    total, hot = SK.count_keys(rows.unionByName(spark.range(5).select(F.lit(7).cast("bigint").alias("k"))), "k", 6)
+    assert total == 40_005 and [r.k for r in hot.keys.collect()] == [7] and hot.segments == 2
+    assert SK.count_keys(rows.filter("k < 0"), "k", 3) == (0, None)
+
+
+def test_tasks_are_as_many_as_rows_need(spark):
+    log = spark.range(100).select("id")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert SK.dealt(log, "id", 100) is log
+    assert SK.dealt(log, "id", SK.TASK_ROWS * (parts + 1)).rdd.getNumPartitions() == parts + 1
+    assert SK.dealt(log, "id", 0, 64).rdd.getNumPartitions() == 64
+    assert SK.dealt(log, "id", SK.TASK_ROWS * 65, 64).rdd.getNumPartitions() == 128
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_untouched_keys_keep_their_states(spark, tmp_path, monkeypatch, few):
+    """Many keys or few: the same facts, and a batch writes states of keys it has changes of alone."""
+    monkeypatch.setattr(WH, "FEW_ROWS", few)
+    rng = random.Random(3)
+    rows = TR.parse({key: random_trace(rng) for key in range(1, 40)})
+    end = 1 + max(r["seq"] for records in rows.values() for r in records)
+    late = cut(rows, 4, end)
+    late = {t: [r for r in records if (r["id"] if t == "credit_facility" else r.get(R.KEY, 1)) != 5]
+            for t, records in late.items()}
+    early = cut(rows, 0, 4)
+    house = WH.Warehouse(spark, str(tmp_path), "w")
+    for number, part in ((0, early), (1, late), (1, late)):
+        house.load_facts(logs(spark, part), number)
+    both = {t: early[t] + late[t] for t in rows}
+    assert stored(house) == wanted(both)
+    table = house.state_table("facility")
+    schema = S.T.StructType([S.T.StructField(R.KEY, S.T.LongType())])
+    mine = table.rows(schema).filter(F.col(ST.BATCH) == 1)
+    keys = [r[0] for r in mine.select(R.KEY).collect()]
+    touched = {r["id"] for r in late["credit_facility"]} | {
+        r[R.KEY] for t in S.FACILITY_TABLES[1:] for r in late[t]}
+    assert sorted(keys) == sorted(touched) and 5 not in keys
