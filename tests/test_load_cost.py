@@ -81,3 +81,13 @@ def test_untouched_keys_keep_their_states(spark, tmp_path, monkeypatch, few):
     touched = {r["id"] for r in late["credit_facility"]} | {
         r[R.KEY] for t in S.FACILITY_TABLES[1:] for r in late[t]}
     assert sorted(keys) == sorted(touched) and 5 not in keys
+
+
+def test_what_rows_emit_is_compiled(spark):
+    """A filter of the array of facts would be interpreted, with all that it filters."""
+    rows = TR.parse({key: random_trace(random.Random(key)) for key in range(1, 9)})
+    tagged = R.tagged_facts(TR.frames(spark, rows))
+    assert "filter(array(" not in plan(tagged)
+    assert tagged.filter("fact_type is null").count() == 0
+    found = {f: TR.canonical(R.of_type(tagged, f).collect()) for f in R.STAGE_ONE_FACTS}
+    assert found == {f: TR.canonical(TR.run_rules(rows)[f]) for f in R.STAGE_ONE_FACTS}
