@@ -91,3 +91,17 @@ def test_what_rows_emit_is_compiled(spark):
     assert tagged.filter("fact_type is null").count() == 0
     found = {f: TR.canonical(R.of_type(tagged, f).collect()) for f in R.STAGE_ONE_FACTS}
     assert found == {f: TR.canonical(TR.run_rules(rows)[f]) for f in R.STAGE_ONE_FACTS}
+
+
+def test_a_load_compiles_and_reads_facts_one_by_one(spark):
+    """Nothing filters an array of facts, and a stored fact is read without the others."""
+    rows = TR.parse({key: random_trace(random.Random(key)) for key in range(1, 9)})
+    stage, log = RS.facility_stage(), R.facility_log(TR.frames(spark, rows))
+    went = RS.go_on(log, stage)
+    assert "filter(array(" not in plan(went)
+    stored_rows = RS.materialize(went, "went")
+    for f in R.STAGE_ONE_FACTS:
+        one = RS.fact_of(stored_rows, f)
+        read = plan(one).split("ReadSchema: ")[1]
+        assert f in read and not any(other in read for other in R.STAGE_ONE_FACTS if other != f)
+        assert TR.canonical(one.select(*S.FACTS[f].names).collect()) == TR.canonical(TR.run_rules(rows)[f])
