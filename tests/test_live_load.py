@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import json
 import random
+import threading
 
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from leaseflow import schemas as S
 from leaseflow.plans import stored as SD
+from leaseflow.session import side_by_side
 from leaseflow.sources import changes as C
+from leaseflow.sources import derived as D
 from leaseflow.sources import tables as ST
 from leaseflow.streaming import facts as SF
 from leaseflow.streaming import rules
 from tests import traces as TR
 from tests.test_lifecycle import random_trace
-from tests.test_live_state import APPROVED, ASSIGNED, FACILITY, REPLY, Store, approve_code, handle, processor
+from tests.test_live_state import (
+    APPROVED, ASSIGNED, COLUMNS, FACILITY, KEYS, REPLY, Store, approve_code, handle, processor)
 from tests.test_streaming import ONCE, read_all, wait
 
 
@@ -69,3 +77,74 @@ def test_state_parts_follow_the_rows(spark):
     with SD._state_tasks(spark, 1_000_000_001) as parts:
         assert parts == 2001
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_frames_give_what_rows_give():
+    """Also for order numbers above 2 ** 53, a missing one and rows out of order."""
+    code, assigned = approve_code()
+    late, rows = {**APPROVED, "status": code}, []
+    for key in (128, 200):
+        rows += [(2 ** 60 + 3, {**late, SF.KEY: key}), (2 ** 60 + 1, {**FACILITY, SF.KEY: key}),
+                 (2 ** 60 + 2, {**REPLY, SF.KEY: key}), (2 ** 60, {**ASSIGNED, "status": assigned, SF.KEY: key})]
+    for given in (rows, [(None, {**FACILITY, SF.KEY: 128})]):
+        stores = Store(), Store()
+        made = SF.FrameRules(rules.facility_row, COLUMNS, KEYS, None)
+        made.init(stores[0])
+        frames = [pd.DataFrame({"seq": [None if seq is None else str(seq) for seq, _ in part],
+                                "row": [json.dumps(row) for _, row in part]}) for part in (given[:3], given[3:])]
+        found = [tuple(row) for frame in made.handleInputRows((1,), iter(frames), TimerValues(-1, -1))
+                 for row in frame.itertuples(index=False)]
+        texts = [(seq, json.dumps(row)) for seq, row in given]
+        assert found == list(processor(stores[1]).facts((1,), texts, -1))
+        assert [seq for _, seq, _ in found] == ([2 ** 60 + 3] * 2 if given is rows else [])
+        assert stores[0].values == stores[1].values
+
+
+def test_times_of_writing_are_kept_where_state_expires_only():
+    for ttl_ms, kept in ((None, {}), (100, {"7": {"facility": 5}})):
+        store = Store()
+        handle(processor(store, ttl_ms), 5, FACILITY)
+        assert json.loads(store.values["block"][1]) == kept
+
+
+def test_side_by_side(spark):
+    """Two actions that wait for each other end; a failure is raised after all have ended."""
+    meet, ended = threading.Barrier(2, timeout=20), []
+
+    def fails():
+        meet.wait()
+        raise ValueError("of one")
+
+    def works():
+        meet.wait()
+        ended.append(1)
+
+    with pytest.raises(ValueError, match="of one"):
+        side_by_side(spark, [fails, works])
+    assert ended == [1]
+    side_by_side(spark, [])
+
+
+def test_facts_of_a_micro_batch_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    meet, sent = threading.Barrier(len(SF.STAGE_ONE), timeout=20), []
+    monkeypatch.setattr(ST, "append_fact_by_day", lambda *_: meet.wait())
+    batch = spark.createDataFrame([], SF.output_schema(SF.STAGE_ONE))
+    SF.dual_write(SF.STAGE_ONE, str(tmp_path), lambda rows, number: sent.append(number), "w")(batch, 4)
+    assert sent == [4]
+
+
+def test_logs_are_written_whole_in_few_files(spark, tmp_path, monkeypatch):
+    """Without a shuffle; the files of a table fit one micro-batch however many parts its source has."""
+    orders = spark.range(700).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"),
+        F.element_at(F.array(*map(F.lit, "FOP")), (F.col("id") % 3 + 1).cast("int")).alias("o_orderstatus"),
+        (F.col("id") * 1.25).alias("o_totalprice"), F.expr("timestamp_ntz'1995-03-04 00:00:00'").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.repartition(5).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(C, "FILES_PER_BATCH", 3)
+    rows = SD._write_logs(spark, str(tmp_path), str(tmp_path / "in"))
+    for table in C.TABLE_NUMBER:
+        assert 1 <= len(list((tmp_path / "in" / table).glob("part-*"))) <= 3
+        written, whole = C.read_log(spark, str(tmp_path / "in" / table)), SD._log(spark, str(tmp_path), table)
+        assert rows[table] == whole.count() == D.replay_changes(spark, str(tmp_path), table).count()
+        assert written.exceptAll(whole).count() == 0 and whole.exceptAll(written).count() == 0
