@@ -111,3 +111,21 @@ def test_no_function_depends_on_the_session_zone(spark, wall):
     assert back.text == f"{wall:%Y-%m-%d %H:%M:%S.%f}"
     micros = (wall - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
     assert back.us == back.instant == micros
+
+
+def test_zone_is_resolved_once_not_by_name_for_every_row(spark):
+    """Zone rules are those of convert_timezone, whose look-ups cost more than the conversion:
+    before standard time, at both ends of summer time, far years."""
+    micros = [None, 0, -1, 253402300799999999, -62135596800000000, *(
+        at + step for at in (-2177481943_000000, 515520000_000000, 527007600_000000, 684867600_000000)
+        for step in (-3600_000000, -1, 0, 1, 1800_000000, 3600_000000, 8 * 3600_000000))]
+    rows = spark.createDataFrame([(m,) for m in micros], "m bigint").withColumn(
+        "utc", F.timestamp_add("MICROSECOND", F.col("m"), F.expr("timestamp_ntz'1970-01-01 00:00:00'")))
+    zone, utc = F.lit(D.WALL_ZONE), F.lit("UTC")
+    wall = rows.select("m", D.micros_to_wall("m").alias("found"), F.convert_timezone(utc, zone, "utc").alias("expected"))
+    back = rows.select("m", D.wall_to_micros("utc").alias("found"),
+                       D.naive_micros(F.convert_timezone(zone, utc, "utc")).alias("expected"))
+    for compared in (wall, back):
+        assert compared.filter(~F.col("found").eqNullSafe(F.col("expected"))).collect() == []
+        assert compared.count() == len(micros)
+        assert "convert_timezone" not in compared.select("found")._jdf.queryExecution().optimizedPlan().toString()

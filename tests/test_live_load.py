@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from leaseflow import schemas as S
+from leaseflow.functions import fields as X
 from leaseflow.plans import stored as SD
 from leaseflow.session import side_by_side
 from leaseflow.sources import changes as C
@@ -148,3 +149,71 @@ def test_logs_are_written_whole_in_few_files(spark, tmp_path, monkeypatch):
         written, whole = C.read_log(spark, str(tmp_path / "in" / table)), SD._log(spark, str(tmp_path), table)
         assert rows[table] == whole.count() == D.replay_changes(spark, str(tmp_path), table).count()
         assert written.exceptAll(whole).count() == 0 and whole.exceptAll(written).count() == 0
+
+
+def test_topics_of_a_micro_batch_are_written_beside_its_facts(spark, tmp_path, monkeypatch):
+    meet, sent = threading.Barrier(len(SF.STAGE_ONE) + 1, timeout=20), []
+
+    def send(rows, number):
+        meet.wait()
+        sent.append(number)
+
+    monkeypatch.setattr(ST, "append_fact_by_day", lambda *_: meet.wait())
+    batch = spark.createDataFrame([], SF.output_schema(SF.STAGE_ONE))
+    SF.dual_write(SF.STAGE_ONE, str(tmp_path), send, "w")(batch, 5)
+    assert sent == [5]
+
+
+def test_facts_of_a_micro_batch_are_dealt_and_sorted_once(spark, tmp_path, monkeypatch):
+    """What a fact's write is given needs no shuffle and no sort of its own."""
+    given = {}
+    monkeypatch.setattr(ST, "append_fact_by_day", lambda rows, path, *_: given.update(
+        {path.rsplit("/", 1)[1]: rows._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")}))
+    batch = spark.createDataFrame([], SF.output_schema(SF.STAGE_ONE))
+    SF.dual_write(SF.STAGE_ONE, str(tmp_path), lambda *_: None, "w")(batch, 0)
+    assert sorted(given) == sorted(SF.STAGE_ONE)
+    for own, stored, *_ in given.values():
+        assert "Exchange" not in own and "Sort" not in own
+        assert "Exchange" in stored and "Sort" in stored
+
+
+def test_large_days_of_one_kind_are_dealt_to_several_tasks(spark, monkeypatch):
+    rows = spark.range(600).select(
+        "id", F.when(F.col("id") < 500, "big").when(F.col("id") < 590, "small").alias("kind"),
+        F.expr("if(id % 7 = 0, null, date'2020-01-01' + cast(id % 2 as int))").alias("day"))
+    counts = {(r["kind"], r["day"]): r["count"] for r in rows.groupBy("kind", "day").count().collect()}
+    monkeypatch.setattr(ST, "FILE_ROWS", 100)
+    dealt = ST.dealt_by_day(rows, "kind", "day", counts)
+    assert dealt.exceptAll(rows).count() == 0 and rows.exceptAll(dealt).count() == 0
+    placed = dealt.withColumn("task", F.spark_partition_id()).groupBy("kind", "day").agg(
+        F.countDistinct("task").alias("tasks"))
+    tasks = {(r["kind"], r["day"]): r["tasks"] for r in placed.collect()}
+    assert all(n == 1 for (kind, _), n in tasks.items() if kind != "big")
+    assert max(n for (kind, _), n in tasks.items() if kind == "big") > 1
+
+
+def test_messages_carry_what_the_json_of_their_fact_has(spark):
+    for facts in (SF.STAGE_ONE, SF.STAGE_TWO):
+        schema = SF.output_schema(facts)
+        values = {"long": "id * 7", "string": "concat('a\"', id)", "int": "3", "decimal(19,2)": "cast(id as decimal(19,2)) / 4",
+                  "timestamp_ntz": "timestamp_ntz'2020-01-01 00:00:00.5' + make_dt_interval(id)"}
+        given = {c.name: F.expr(f"if(id % 3 = 0, null, {values.get(c.dataType.simpleString(), 'id')})").cast(c.dataType)
+                 for c in schema if c.name not in ("fact_type", "seq")}
+        rows = spark.range(40).select(
+            F.element_at(F.array(*map(F.lit, facts)), (F.col("id") % len(facts) + 1).cast("int")).alias("fact_type"),
+            F.col("id").alias("seq"), *[v.alias(n) for n, v in given.items()])
+        made = {(r["topic"], r["arrival"]): (r["value"], r["key"]) for r in SF._messages(rows, facts).collect()}
+        assert len(made) == 40
+        for fact in facts:
+            for r in SF.of_type(rows, fact, ("seq",)).select("seq", X.fact_json(fact, ("seq",)).alias("value"),
+                                                             F.col(SF.topic_key(fact)).cast("string").alias("key")).collect():
+                assert made[fact, r["seq"]] == (r["value"], r["key"])
+
+
+def test_rows_of_a_block_are_decoded_many_at_a_time(monkeypatch):
+    calls, loads = [], json.loads
+    monkeypatch.setattr(SF, "DECODED_ROWS", 20)
+    monkeypatch.setattr(SF.json, "loads", lambda text: calls.append(1) or loads(text))
+    texts = [(n, json.dumps({"n": n})) for n in range(50)]
+    assert list(SF._decoded(texts)) == [(n, {"n": n}) for n in range(50)]
+    assert len(calls) == 3 and not list(SF._decoded([]))
