@@ -211,9 +211,9 @@ def test_messages_carry_what_the_json_of_their_fact_has(spark):
 
 
 def test_rows_of_a_block_are_decoded_many_at_a_time(monkeypatch):
-    calls, loads = [], json.loads
+    calls, decode = [], SF._decode
     monkeypatch.setattr(SF, "DECODED_ROWS", 20)
-    monkeypatch.setattr(SF.json, "loads", lambda text: calls.append(1) or loads(text))
+    monkeypatch.setattr(SF, "_decode", lambda text: calls.append(1) or decode(text))
     texts = [(n, json.dumps({"n": n})) for n in range(50)]
     assert list(SF._decoded(texts)) == [(n, {"n": n}) for n in range(50)]
     assert len(calls) == 3 and not list(SF._decoded([]))
