@@ -1,4 +1,4 @@
-"""What the live facts leave on disk: packed logs and topics."""
+"""What the live facts leave on disk: packed logs and topics, a batch stored once."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from leaseflow.plans import stored as SD
 from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
+from leaseflow.streaming import facts as SF
 
 
 def plain(files):
@@ -54,3 +55,25 @@ def test_tasks_read_packed_files_of_few_rows(spark):
     with SD._state_tasks(spark, 10):
         assert spark.conf.get(name) == str(SD.PACKED_TASK)
     assert spark.conf.get(name) == before
+
+
+def test_a_micro_batch_lies_once_while_it_is_written(spark, tmp_path, monkeypatch):
+    """And what it is made from runs once, though the batch is let go before."""
+    kept, made = [], spark.sparkContext.accumulator(0)
+    persisted = spark.sparkContext._jsc.getPersistentRDDs
+
+    def counted(rows):
+        for row in rows:
+            made.add(1)
+            yield row
+
+    monkeypatch.setattr(ST, "append_fact_by_day", lambda rows, *_: kept.append((rows.count(), persisted().size())))
+    rows = [{"fact_type": f, "seq": n, "id": n} for n, f in enumerate(SF.STAGE_ONE * 5)]
+    schema = SF.output_schema(SF.STAGE_ONE)
+    batch = spark.createDataFrame(spark.sparkContext.parallelize(
+        [tuple(row.get(c) for c in schema.names) for row in rows], 3).mapPartitions(counted), schema)
+    before = persisted().size()
+    SF.dual_write(SF.STAGE_ONE, str(tmp_path), lambda sent, _: kept.append((sent.count(), persisted().size())),
+                  "w")(batch, 0)
+    assert sorted(kept) == [(5, before + 1)] * len(SF.STAGE_ONE) + [(len(rows), before + 1)]
+    assert made.value == len(rows) and persisted().size() == before
