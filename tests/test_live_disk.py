@@ -1,15 +1,22 @@
-"""What the live facts leave on disk: packed logs and topics, a batch stored once."""
+"""What the live facts leave on disk: packed logs, topics and states, short rows, a batch stored once."""
 
 from __future__ import annotations
 
 import gzip
+import random
+import zipfile
 
 from pyspark.sql import functions as F
 
+from leaseflow import schemas as S
 from leaseflow.plans import stored as SD
 from leaseflow.sources import changes as C
 from leaseflow.sources import tables as ST
 from leaseflow.streaming import facts as SF
+from leaseflow.streaming import rules
+from tests import traces as TR
+from tests.test_lifecycle import random_trace
+from tests.test_streaming import ONCE, read_all, wait
 
 
 def plain(files):
@@ -17,6 +24,16 @@ def plain(files):
     return sum(f.stat().st_size for f in files), [gzip.open(f).read().splitlines() for f in files]
 
 
+def traces(seed, keys):
+    rng = random.Random(seed)
+    return TR.parse({key: random_trace(rng) for key in keys})
+
+
+def logs(spark, rows):
+    return {table: df.select(F.col("seq").alias("arrival"), C.to_envelope(df, table).alias("value"))
+            for table, df in TR.frames(spark, rows).items()}
+
+
 def test_logs_are_packed_in_files_that_a_task_can_read(spark, tmp_path, monkeypatch):
     spark.range(4000).select(
         F.col("id").alias("o_orderkey"), (F.col("id") % 9).alias("o_custkey"),
@@ -77,3 +94,39 @@ def test_a_micro_batch_lies_once_while_it_is_written(spark, tmp_path, monkeypatc
                   "w")(batch, 0)
     assert sorted(kept) == [(5, before + 1)] * len(SF.STAGE_ONE) + [(len(rows), before + 1)]
     assert made.value == len(rows) and persisted().size() == before
+
+
+def test_rows_carry_what_the_rules_read(spark):
+    class Seen(dict):
+        def __getitem__(self, name):
+            read.add(name)
+            return super().__getitem__(name)
+
+    rows = traces(11, range(60))
+    sent = SF.facility_rows(logs(spark, rows)).collect()
+    for kind, columns in rules.READ.items():
+        of_kind = [row.asDict() for row in sent if row["kind"] == kind]
+        assert of_kind and not any(row[c] is not None for row in of_kind for c in row
+                                   if c not in (*columns, "credit_facility_id", "seq", "kind"))
+        read: set[str] = set()
+        for row in of_kind:
+            known = {"facility": dict.fromkeys(rules.FACILITY_FIELDS, 1), "auditor": {"employee_id": 1},
+                     "reply": dict.fromkeys(rules.REPLY_FIELDS, 1)}
+            for waiting in ({}, known):
+                list(rules.facility_row(waiting, Seen(row)))
+        assert read - {"kind"} == set(columns)
+
+
+def test_packed_states_give_the_same_facts(spark, tmp_path):
+    rows = traces(12, [*range(-3, 30), 2 ** 45])
+    for table, log in logs(spark, rows).items():
+        log.write.options(**ST.PACKED).json(str(tmp_path / "in" / table))
+    given = {t: C.stream_log(spark, str(tmp_path / "in" / t)) for t in S.FACILITY_TABLES}
+    wait(SF.start(SF.stage_one(SF.facility_rows(given), ttl_ms=None), SF.STAGE_ONE, str(tmp_path / "dwd"),
+                  ST.file_topics(str(tmp_path / "topics")), str(tmp_path / "check"), ONCE))
+    expected = TR.run_rules(rows)
+    for fact in SF.STAGE_ONE:
+        assert TR.canonical(read_all(spark, tmp_path / "dwd", fact).collect()) == TR.canonical(expected[fact])
+    options = [archive.read(name).decode() for path in (tmp_path / "check" / "state").rglob("*.zip")
+               for archive in [zipfile.ZipFile(path)] for name in archive.namelist() if "OPTIONS" in name]
+    assert options and all("compression=kZSTD" in text for text in options)
